@@ -1,0 +1,57 @@
+"""Runs a query in Spark and its SQL in DuckDB and compares names, types, rows."""
+
+import datetime
+import decimal
+import glob
+import os
+
+import duckdb
+
+
+def connect(folder):
+    con = duckdb.connect()
+    for path in glob.glob(f"{folder}/*.parquet"):
+        name = os.path.basename(path).removesuffix(".parquet")
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return con
+
+
+def plain(v):
+    if isinstance(v, decimal.Decimal):
+        return float(v)
+    if isinstance(v, float):
+        return float(f"{v:.12g}")
+    if isinstance(v, (datetime.datetime, datetime.date)):
+        return v.isoformat()
+    return v
+
+
+def rows_of(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
+
+
+KIND = {
+    "BIGINT": "bigint",
+    "INTEGER": "int",
+    "DOUBLE": "double",
+    "VARCHAR": "string",
+    "BOOLEAN": "boolean",
+    "HUGEINT": "hugeint",
+}
+
+
+def differences(df, con, sql):
+    rel = con.sql(sql)
+    names, expected = rel.columns, rel.fetchall()
+    kinds = {n: KIND.get(str(t), str(t)) for n, t in zip(names, rel.types)}
+    if sorted(df.columns) != sorted(names):
+        return f"columns {sorted(df.columns)} != {sorted(names)}"
+    wrong = {f.name: (f.dataType.simpleString(), kinds[f.name]) for f in df.schema if f.dataType.simpleString() != kinds[f.name]}
+    got, want = rows_of(df.columns, df.collect()), rows_of(names, expected)
+    if len(got) != len(want):
+        return f"{len(got)} rows, expected {len(want)}"
+    for a, b in zip(got, want):
+        if a != b:
+            return f"{a} != {b}"
+    return f"types {wrong}" if wrong else None
