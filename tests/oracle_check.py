@@ -55,3 +55,14 @@ def differences(df, con, sql):
         if a != b:
             return f"{a} != {b}"
     return f"types {wrong}" if wrong else None
+
+
+def same_rows(df, sql, **tables):
+    """Assert that ``df`` has the rows DuckDB finds on the same small tables."""
+    con = duckdb.connect()
+    for name, t in tables.items():
+        con.register(name, t.toArrow())
+    rel = con.sql(sql)
+    names, expected = rel.columns, rel.fetchall()
+    assert sorted(df.columns) == sorted(names)
+    assert rows_of(df.columns, df.collect()) == rows_of(names, expected)

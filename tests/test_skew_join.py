@@ -1,0 +1,107 @@
+"""Joins with hot keys give the rows of a plain join."""
+
+import pytest
+from oracle_check import same_rows
+from pyspark.sql import functions as F
+
+from tunesmith.plans.skew import equi_join, hot_keys, sketch_keys, skew_join
+
+SQL = {
+    "inner": "SELECT k, v, w FROM l JOIN r USING (k)",
+    "left": "SELECT l.k, v, w FROM l LEFT JOIN r ON l.k = r.k",
+    "right": "SELECT r.k, v, w FROM l RIGHT JOIN r ON l.k = r.k",
+    "full": "SELECT coalesce(l.k, r.k) AS k, v, w FROM l FULL JOIN r ON l.k = r.k",
+    "left_semi": "SELECT k, v FROM l WHERE k IN (SELECT k FROM r)",
+    "left_anti": "SELECT k, v FROM l WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.k = l.k)",
+}
+
+
+def sides(spark):
+    """Key 1 is hot left, 2 right, 3 on both; 4 and 5 have no partner; copies and NULLs."""
+    left = [(1, i % 3) for i in range(60)] + [(3, i) for i in range(30)] + [(4, i) for i in range(25)]
+    left += [(2, 7), (6, 8), (None, 1)] + [(None, i) for i in range(40)]
+    right = [(2, i) for i in range(50)] + [(3, i % 2) for i in range(20)] + [(5, i) for i in range(30)]
+    right += [(1, 9), (6, 1), (6, 2), (None, 5)] + [(None, 5)] * 30
+    return (
+        spark.createDataFrame(left, "k int, v int").repartition(4),
+        spark.createDataFrame(right, "k int, w int").repartition(4),
+    )
+
+
+@pytest.mark.parametrize("how", SQL)
+def test_hot_keys(spark, how):
+    l, r = sides(spark)
+    same_rows(skew_join(l, r, "k", how, hot_rows=4), SQL[how], l=l, r=r)
+
+
+@pytest.mark.parametrize("how", SQL)
+def test_no_hot_keys(spark, how):
+    l, r = sides(spark)
+    same_rows(skew_join(l, r, "k", how), SQL[how], l=l, r=r)
+
+
+@pytest.mark.parametrize("how", SQL)
+@pytest.mark.parametrize("empty", ["l", "r"])
+def test_empty_side(spark, how, empty):
+    l, r = sides(spark)
+    l, r = (l.where("false"), r) if empty == "l" else (l, r.where("false"))
+    same_rows(skew_join(l, r, "k", how, hot_rows=4), SQL[how], l=l, r=r)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_two_keys_of_other_names(spark, how):
+    l, r = sides(spark)
+    l = l.withColumn("t", F.when(F.col("v") % 2 == 0, "even").otherwise("odd"))
+    r = r.select(F.col("k").alias("rk"), "w", F.when(F.col("w") % 2 == 0, "even").otherwise("odd").alias("rt"))
+    out = skew_join(l, r, [("k", "rk"), ("t", "rt")], how, hot_rows=4)
+    kind = {"inner": "JOIN", "left": "LEFT JOIN", "right": "RIGHT JOIN", "full": "FULL JOIN"}[how]
+    same_rows(out, f"SELECT k, v, t, rk, w, rt FROM l {kind} r ON k = rk AND t = rt", l=l, r=r)
+
+
+def test_hot_keys_are_counted_exactly(spark):
+    l, r = sides(spark)
+    left, right = sketch_keys([(l, ["k"]), (r, ["k"])], 4)
+    assert (left.nulls, right.nulls) == (41, 31)
+    assert {tuple(x) for x in hot_keys(l, ["k"], left.likely, 4).collect()} == {(1, 60), (3, 30), (4, 25)}
+    (groups,) = sketch_keys([(l, ["k"])], 4, null_is_key=True)
+    assert (None, 41) in {tuple(x) for x in hot_keys(l, ["k"], groups.likely, 4, null_is_key=True).collect()}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "full"])
+@pytest.mark.parametrize("kind", ["double", "timestamp", "binary", "date", "decimal(20,3)"])
+def test_hot_keys_of_any_type(spark, how, kind):
+    """Keys that Python would change or mix up: NaN, an hour that comes twice, bytes."""
+    value = {
+        "double": "element_at(array(double('NaN'), 0.0D, -0.0D, 1.5D), int(id % 4) + 1)",
+        "timestamp": "timestamp_seconds(1730610000 + (id % 4) * 3600)",
+        "binary": "unhex(element_at(array('00', '0000', 'ff', 'fe'), int(id % 4) + 1))",
+        "date": "date_add(date'2024-01-01', int(id % 4))",
+        "decimal(20,3)": "cast(id % 4 + 0.125 as decimal(20,3))",
+    }[kind]
+    l = spark.range(40).selectExpr(f"{value} AS k", "id AS v")
+    r = spark.range(30).where("id % 4 < 3").selectExpr(f"{value} AS k", "id AS w")
+    out = skew_join(l, r, "k", how, hot_rows=3)
+    plain = equi_join(l, r, "k", how)
+    assert out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """90% of the rows on one key do not end up in one task."""
+    fact = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(-1).alias("k"), "id")
+    dim = spark.createDataFrame([(-1, "hot"), (10, "cold")], "k bigint, name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = skew_join(fact, dim, "k", hot_rows=1_000)
+        largest = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert out.count() == 18_001
+        assert largest < 9_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_column_clash_is_refused(spark):
+    l, r = sides(spark)
+    with pytest.raises(ValueError):
+        skew_join(l, r.withColumnRenamed("w", "v"), "k")

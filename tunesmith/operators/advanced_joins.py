@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tunesmith.functions.exact import any_null, spread_hash
-from tunesmith.operators.joins import broadcast_join
 from tunesmith.plans.ordered import last_value, running_sum
 from tunesmith.plans.sizing import fits_broadcast
 from tunesmith.plans.skew import equi_join, key_pairs, skew_join
@@ -114,15 +113,16 @@ def star_join(fact: DataFrame, dims, limit: int | None = None, **skew) -> DataFr
     moved; a partition column among the keys is pruned at run time. A dimension
     over the limit is joined by shuffle, after the others have thinned the fact.
     """
-    waiting = []
-    for dim, on in dims:
-        known = all(k in fact.columns for k, _ in key_pairs(on))
-        if known and fits_broadcast(dim, limit):
-            fact = equi_join(fact, F.broadcast(dim), on)
-        else:
-            waiting.append((dim, on))
-    for dim, on in waiting:
-        fact = broadcast_join(fact, dim, on, "inner", limit, **skew)
+    waiting = [(dim, on, fits_broadcast(dim, limit)) for dim, on in dims]
+    while waiting:
+        # A dimension reached through another one waits for its key.
+        ready = [d for d in waiting if all(k in fact.columns for k, _ in key_pairs(d[1]))]
+        if not ready:
+            raise ValueError(f"no such join keys: {[on for _, on, _ in waiting]}")
+        chosen = next((d for d in ready if d[2]), ready[0])
+        dim, on, small = chosen
+        fact = equi_join(fact, F.broadcast(dim), on) if small else skew_join(fact, dim, on, "inner", **skew)
+        waiting = [d for d in waiting if d is not chosen]
     return fact
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tunesmith.plans.ordered import previous_value
+from tunesmith.sources.scratch import stored
 
 
 def _union(frames) -> DataFrame:
@@ -91,7 +92,7 @@ def order_switches(df: DataFrame, key, block: str, hot_rows: int | None = None)
         F.max("__b").alias("__last"),
         F.sum("__n").alias("__n"),
     )
-    walk = previous_value(per_key, [], keys, "__last", "__before", hot_rows)
+    walk = previous_value(stored(per_key, "keys"), [], keys, "__last", "__before", hot_rows)
     moved = F.when(F.col("__before") != F.col("__first"), 1).otherwise(0)
     total = walk.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),

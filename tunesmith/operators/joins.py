@@ -119,7 +119,7 @@ def scalar_lookup(df: DataFrame, inner: DataFrame, on, agg: Column, name: str, e
     partners get ``empty``: NULL, or 0 for a count.
     """
     keys = [b for _, b in key_pairs(on)]
-    out = skew_join(df, _grouped(inner, keys, agg, name), on, "left", **skew)
+    out = skew_join(df, _grouped(inner, keys, agg, name), on, "left", unique_right=True, **skew)
     if empty is not None:
         out = out.withColumn(name, F.coalesce(F.col(name), F.lit(empty)))
     return out.select(*df.columns, name)
@@ -135,7 +135,7 @@ def scalar_filter(
     """
     if empty is None:
         keys = [b for _, b in key_pairs(on)]
-        joined = skew_join(df, _grouped(inner, keys, agg, "__agg"), on, "inner", **skew)
+        joined = skew_join(df, _grouped(inner, keys, agg, "__agg"), on, "inner", unique_right=True, **skew)
     else:
         joined = scalar_lookup(df, inner, on, agg, "__agg", empty, **skew)
     return joined.where(COMPARE[cmp](value, F.col("__agg"))).select(df.columns)
@@ -151,7 +151,8 @@ def top1_lookup(df: DataFrame, inner: DataFrame, on, order, cols, **skew) -> Dat
     keys = [b for _, b in pairs]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     first = inner.where(~any_null(keys)).withColumn("__rn", rank).where(F.col("__rn") == 1)
-    return skew_join(df, first.select(*keys, *cols), pairs, "left", **skew).select(*df.columns, *cols)
+    found = skew_join(df, first.select(*keys, *cols), pairs, "left", unique_right=True, **skew)
+    return found.select(*df.columns, *cols)
 
 
 def semi_join(l: DataFrame, r: DataFrame, on, **skew) -> DataFrame:

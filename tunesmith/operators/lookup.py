@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tunesmith.functions.exact import all_of, any_of
 from tunesmith.operators.joins import broadcast_join
@@ -16,6 +16,7 @@ ONE_TASK_N = 100_000
 GROUP_N = 100
 # Keys that are put into a scan's filter as literals.
 LITERAL_KEYS = 10_000
+LITERAL_LIST = 1_000
 
 
 def write_summary(df: DataFrame, keys, measures, path: str) -> None:
@@ -85,7 +86,7 @@ def late_fetch(df: DataFrame, key: str, order, n: int, wide_cols) -> DataFrame:
     narrow = list(dict.fromkeys([key, *[c for c, _ in order]]))
     chosen = top_n(df.select(*narrow), sort, n)
     fetched = df.select(*dict.fromkeys([*narrow, *wide_cols]))
-    if n <= LITERAL_KEYS:
+    if n <= LITERAL_KEYS and _as_literal(df, key):
         keys = [r[0] for r in chosen.select(key).collect()]
         rows = fetched.where(_any_key(F.col(key), keys))
     else:
@@ -94,6 +95,11 @@ def late_fetch(df: DataFrame, key: str, order, n: int, wide_cols) -> DataFrame:
     return top_n(rows, sort, n)
 
 
+def _as_literal(df: DataFrame, col: str) -> bool:
+    """Do values of this type come back unchanged from the driver?"""
+    return isinstance(df.schema[col].dataType, (T.IntegralType, T.StringType, T.DateType, T.DecimalType, T.TimestampNTZType))
+
+
 def _any_key(col: Column, keys) -> Column:
     given = [k for k in keys if k is not None]
     found = col.isin(given) if given else F.lit(False)
@@ -107,10 +113,16 @@ def in_list(df: DataFrame, col: str, values: DataFrame, ranges=(), limit: int |
     """Rows whose ``col`` is in the first column of ``values`` or in a range.
 
     ``ranges`` holds (lo, hi) pairs, both ends included. Each row comes once.
-    The list may be of any size; it is broadcast only if it is small.
+    A short list goes into the scan's filter; a longer one, of any size, is a
+    semi join that broadcasts the list only if it is small.
     """
     listed = values.select(F.col(values.columns[0]).alias("__v")).where(F.col("__v").isNotNull()).distinct()
     in_range = any_of([F.col(col).between(lo, hi) for lo, hi in ranges])
+    if _as_literal(listed, "__v"):
+        few = [row[0] for row in listed.limit(LITERAL_LIST + 1).collect()]
+        if len(few) <= LITERAL_LIST:
+            # One scan, whose filter can skip row groups.
+            return df.where(in_range | _any_key(F.col(col), few) if few else in_range)
     if not ranges:
         return broadcast_join(df, listed, [(col, "__v")], "left_semi", limit, **skew)
     outside = df.where(~F.coalesce(in_range, F.lit(False)))

@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from tunesmith.functions.exact import null_safe
-from tunesmith.plans.skew import HOT_ROWS, HotGroups, hot_groups, split_hot
+from tunesmith.plans.skew import HOT_ROWS, hot_keys, sketch_keys, split_hot
 from tunesmith.sources.scratch import stored
 
 MAX_PARTS = 20_000
@@ -43,14 +43,17 @@ def ordered_scan(
     by, order = list(by), list(order)
     if not by:
         return _by_parts(df, by, order, name, local, summary, carry, merge, df.count(), hot_rows)
-    hot = hot_groups(df, by, hot_rows, null_is_key=True)
     plain = local(Window.partitionBy(*by).orderBy(*order))
-    if not hot.counts:
+    (seen,) = sketch_keys([(df, by)], hot_rows, null_is_key=True)
+    if not seen.likely:
+        return df.withColumn(name, plain)
+    hot = stored(hot_keys(df, by, seen.likely, hot_rows, null_is_key=True), "hot")
+    total = hot.agg(F.coalesce(F.sum("__skew_n"), F.lit(0))).first()[0]
+    if total == 0:
         return df.withColumn(name, plain)
     cold_rows, hot_part = split_hot(df, by, hot)
-    total = sum(hot.counts.values())
-    scanned = _by_parts(hot_part, by, order, name, local, summary, carry, merge, total, hot_rows)
     cold = cold_rows.withColumn(name, plain)
+    scanned = _by_parts(hot_part, by, order, name, local, summary, carry, merge, total, hot_rows)
     return cold.unionByName(scanned.withColumn(name, F.col(name).cast(cold.schema[name].dataType)))
 
 

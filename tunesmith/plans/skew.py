@@ -10,13 +10,14 @@ With no hot key the plan is an ordinary join.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from tunesmith.functions.exact import all_of, any_null, null_safe, spread_hash
 from tunesmith.plans.sizing import shuffle_partitions
+from tunesmith.sources.scratch import stored
 
 # Rows of one key that a single task handles without trouble.
 HOT_ROWS = 2_000_000
@@ -55,49 +56,68 @@ def equi_join(l: DataFrame, r: DataFrame, on, how: str = "inner") -> DataFrame:
 
 
 @dataclass
-class HotGroups:
-    """Exact row counts of the hot keys, at most ``HOT_KEYS`` of them."""
+class Sketch:
+    """What one pass over the key columns of a side found."""
 
-    counts: dict
-    nulls: int
-    rows: int
+    likely: list  # hashes of keys that may be hot, at most HOT_KEYS
+    nulls: int  # rows with a NULL among the keys
 
 
-def hot_groups(df: DataFrame, keys, hot_rows: int, null_is_key: bool = False) -> HotGroups:
-    """Keys of ``df`` with more than ``hot_rows`` rows.
+def sketch_keys(sides, hot_rows: int, null_is_key: bool = False) -> list[Sketch]:
+    """Sketch the keys of one or more (table, keys) in one job.
 
-    ``null_is_key`` counts NULL as a key of its own, as grouping does; a join
-    leaves NULL keys out of the keys and only wants their number.
+    ``null_is_key`` counts NULL as a key, as grouping does; a join does not.
+    The sketch finds every key with more than a few thousandths of the rows.
     """
-    usable = F.lit(True) if null_is_key else ~any_null(keys)
-    digest = F.xxhash64(*[F.col(k) for k in keys])
-    found = df.select(usable.alias("ok"), digest.alias("h")).agg(
-        F.expr(f"approx_top_k(CASE WHEN ok THEN h END, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
-        F.count_if(~F.col("ok")).alias("nulls"),
-        F.count(F.lit(1)).alias("rows"),
-    ).first()
-    likely = [t["item"] for t in found["top"] or [] if t["count"] > hot_rows and t["item"] is not None]
-    counts = {}
-    if likely:
-        exact = df.where(usable & digest.isin(likely)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__skew_n"))
-        for row in exact.where(F.col("__skew_n") > hot_rows).collect():
-            counts[tuple(row[k] for k in keys)] = row["__skew_n"]
-    return HotGroups(counts, found["nulls"], found["rows"])
-
-
-def _cells(df: DataFrame, keys, left_hot: dict, right_hot: dict, hot_rows: int) -> DataFrame:
-    most = shuffle_partitions(df.sparkSession)
+    digests = [
+        df.select(
+            F.lit(i).alias("side"),
+            (F.lit(True) if null_is_key else ~any_null(keys)).alias("ok"),
+            F.xxhash64(*[F.col(k) for k in keys]).alias("h"),
+        )
+        for i, (df, keys) in enumerate(sides)
+    ]
+    found = {
+        row["side"]: row
+        for row in reduce(DataFrame.unionAll, digests)
+        .groupBy("side")
+        .agg(
+            F.expr(f"approx_top_k(CASE WHEN ok THEN h END, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+            F.count_if(~F.col("ok")).alias("nulls"),
+        )
+        .collect()
+    }
+    out = []
+    for i in range(len(sides)):
+        top = found[i]["top"] or [] if i in found else []
+        likely = [t["item"] for t in top if t["count"] > hot_rows and t["item"] is not None]
+        out.append(Sketch(likely, found[i]["nulls"] if i in found else 0))
+    return out
+
+
+def hot_keys(df: DataFrame, keys, likely, hot_rows: int, null_is_key: bool = False) -> DataFrame:
+    """Hot keys as ``__skew_k0, ...`` with their exact row counts ``__skew_n``."""
+    maybe = F.xxhash64(*[F.col(k) for k in keys]).isin(likely) if likely else F.lit(False)
+    usable = maybe if null_is_key else maybe & ~any_null(keys)
+    counted = df.where(usable).groupBy(*[F.col(k).alias(f"__skew_k{i}") for i, k in enumerate(keys)])
+    return counted.agg(F.count(F.lit(1)).alias("__skew_n")).where(F.col("__skew_n") > hot_rows)
+
+
+def _cells(left_hot: DataFrame, right_hot: DataFrame, n_keys: int, hot_rows: int) -> DataFrame:
+    """Hot keys of both sides with their numbers of cells, at most 2 * HOT_KEYS rows."""
+    names = [f"__skew_k{i}" for i in range(n_keys)]
+    most = shuffle_partitions(left_hot.sparkSession)
 
     def cut(n):
-        return max(1, min(most, math.ceil(n / hot_rows)))
+        return F.greatest(F.lit(1), F.least(F.lit(most), F.ceil(F.sum(n) / hot_rows))).cast("int")
 
-    rows = [
-        (*k, cut(left_hot.get(k, 0)), cut(right_hot.get(k, 0))) for k in left_hot.keys() | right_hot.keys()
-    ]
-    schema = ", ".join(
-        [f"__skew_k{i} {df.schema[k].dataType.simpleString()}" for i, k in enumerate(keys)] + ["__skew_ca int", "__skew_cb int"]
+    none, rows = F.lit(0).cast("long"), F.col("__skew_n")
+    both = left_hot.select(*names, rows.alias("l"), none.alias("r")).unionAll(
+        right_hot.select(*names, none.alias("l"), rows.alias("r"))
     )
-    return df.sparkSession.createDataFrame(rows, schema)
+    cells = both.groupBy(*names).agg(cut("l").alias("__skew_ca"), cut("r").alias("__skew_cb"))
+    # Written, so that both sides of the join see the same cells.
+    return stored(cells, "cells")
 
 
 def _in_cells(df, keys, cells, own, own_cells, other, other_cells, spread_on):
@@ -129,24 +149,26 @@ def skew_join(
     hot_rows: int | None = None,
     hint: str | None = None,
     hint_left: bool = False,
+    unique_right: bool = False,
     spread_on=None,
 ) -> DataFrame:
     """Equi join with hot keys cut into cells.
 
     ``how``: inner, left, right, full, left_semi or left_anti. ``spread_on``
     names left columns that differ between rows of one key (default: all). It
-    is read only when there is a hot key.
+    is read only when there is a hot key. ``unique_right`` says that no key
+    comes twice on the right, which saves looking for hot keys there.
     """
     hot_rows = hot_rows or HOT_ROWS
     pairs = key_pairs(on)
     lk, rk = [a for a, _ in pairs], [b for _, b in pairs]
     if how in ONE_SIDED:
         # One row per key is enough to know that a key exists.
-        r = r.select(*rk).where(~any_null(rk)).distinct()
-    left = hot_groups(l, lk, hot_rows)
-    right = HotGroups({}, 0, 0) if how in ONE_SIDED else hot_groups(r, rk, hot_rows)
+        r, unique_right = r.select(*rk).where(~any_null(rk)).distinct(), True
     keeps_left = how in ("left", "full", "left_anti")
     keeps_right = how in ("right", "full")
+    sides = [(l, lk)] if unique_right else [(l, lk), (r, rk)]
+    left, right = (sketch_keys(sides, hot_rows) + [Sketch([], 0)])[:2]
 
     def hinted(a, b):
         if not hint:
@@ -154,22 +176,25 @@ def skew_join(
         return (a.hint(hint), b) if hint_left else (a, b.hint(hint))
 
     crowded_nulls = (keeps_left and left.nulls > hot_rows) or (keeps_right and right.nulls > hot_rows)
-    if not (left.counts or right.counts or crowded_nulls):
+    if not (left.likely or right.likely or crowded_nulls):
         a, b = hinted(l, r)
         return equi_join(a, b, pairs, how)
 
-    cells = _cells(l, lk, left.counts, right.counts, hot_rows)
+    cells = _cells(
+        hot_keys(l, lk, left.likely, hot_rows), hot_keys(r, rk, right.likely, hot_rows), len(pairs), hot_rows
+    )
     a = l if keeps_left else l.where(~any_null(lk))
     b = r if keeps_right else r.where(~any_null(rk))
-    a = _in_cells(a, lk, cells, "__skew_a", "__skew_ca", "__skew_b", "__skew_cb", spread_on).withColumnRenamed("__skew_copies", "__skew_lcopies")
-    b = _in_cells(b, rk, cells, "__skew_b", "__skew_cb", "__skew_a", "__skew_ca", None).withColumnRenamed("__skew_copies", "__skew_rcopies")
+    a = _in_cells(a, lk, cells, "__skew_a", "__skew_ca", "__skew_b", "__skew_cb", spread_on)
+    b = _in_cells(b, rk, cells, "__skew_b", "__skew_cb", "__skew_a", "__skew_ca", None)
+    in_cell = pairs + [("__skew_a", "__skew_a"), ("__skew_b", "__skew_b")]
     if how in ONE_SIDED:
         a, b = hinted(a, b)
-        return equi_join(a, b, pairs + [("__skew_a", "__skew_a"), ("__skew_b", "__skew_b")], how).select(l.columns)
-    a = a.withColumn("__skew_lhit", F.lit(1))
-    b = b.withColumn("__skew_rhit", F.lit(1))
+        return equi_join(a, b, in_cell, how).select(l.columns)
+    a = a.withColumnRenamed("__skew_copies", "__skew_lcopies").withColumn("__skew_lhit", F.lit(1))
+    b = b.withColumnRenamed("__skew_copies", "__skew_rcopies").withColumn("__skew_rhit", F.lit(1))
     a, b = hinted(a, b)
-    out = equi_join(a, b, pairs + [("__skew_a", "__skew_a"), ("__skew_b", "__skew_b")], how)
+    out = equi_join(a, b, in_cell, how)
     # A row copied for a key that is hot on the other side does have partners
     # there, so a copy that met none in its cell is not an unmatched row.
     if keeps_left:
@@ -180,11 +205,8 @@ def skew_join(
     return out.select(l.columns + [c for c in r.columns if c not in same])
 
 
-def split_hot(df: DataFrame, by, hot: HotGroups):
+def split_hot(df: DataFrame, by, hot: DataFrame):
     """Rows of cold groups and rows of hot groups; NULL is a group."""
-    names = [f"__skew_g{i}" for i in range(len(by))]
-    schema = ", ".join(f"{n} {df.schema[k].dataType.simpleString()}" for n, k in zip(names, by))
-    table = df.sparkSession.createDataFrame(list(hot.counts), schema)
-    match = null_safe(by, names)
+    match = null_safe(by, [f"__skew_k{i}" for i in range(len(by))])
     # at most HOT_KEYS rows
-    return df.join(F.broadcast(table), match, "left_anti"), df.join(F.broadcast(table), match, "left_semi")
+    return df.join(F.broadcast(hot), match, "left_anti"), df.join(F.broadcast(hot), match, "left_semi")

@@ -239,7 +239,8 @@ def running_total_hot(spark, d):
 
 def _orders_by_date(spark, d) -> str:
     path = new_path(spark, "orders-by-date")
-    layout.write_clustered(table(spark, d, "orders"), path, "o_orderdate", files=8)
+    orders = table(spark, d, "orders")
+    layout.write_clustered(orders, path, "o_orderdate", layout.files_for(orders, least=8))
     return path
 
 

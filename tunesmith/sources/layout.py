@@ -6,25 +6,36 @@ partition folders are skipped by name; those two take the index's place.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tunesmith.functions.exact import all_of, spread_hash
 from tunesmith.operators.design import order_switches
+from tunesmith.plans.sizing import estimated_bytes
 
 # Row groups are skipped on a date, but not on a timestamp without a zone or
 # on one in the older 96-bit form. A timestamp key gets a date next to it.
 DAY = "__day"
 
+FILE_BYTES = 512 << 20
+
 
 def _as_list(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def write_clustered(df: DataFrame, path: str, keys, files: int) -> None:
-    """Write ``files`` Parquet files that follow each other in key order.
+def files_for(df: DataFrame, least: int = 1) -> int:
+    """Files of about ``FILE_BYTES`` each, by Catalyst's size estimate."""
+    return max(least, math.ceil(estimated_bytes(df) / FILE_BYTES))
+
+
+def write_clustered(df: DataFrame, path: str, keys, files: int | None = None) -> None:
+    """Write Parquet files that follow each other in key order.
 
     Rows of one hot key value are spread over as many files as they fill.
     """
+    files = files or files_for(df)
     keys = _as_list(keys)
     stamps = [k for k in keys if isinstance(df.schema[k].dataType, (T.TimestampType, T.TimestampNTZType))]
     out = df.withColumns({k + DAY: F.col(k).cast("date") for k in stamps}) if stamps else df
