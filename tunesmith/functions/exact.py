@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+def typed(value, kind: T.DataType) -> Column:
+    """A literal of a column's own type, which a scan can use in its filter.
+
+    A stamp without a zone goes in as text: as a Python value it would be read
+    in one zone and turned back in another.
+    """
+    if isinstance(kind, T.TimestampNTZType) and isinstance(value, dt.datetime):
+        return F.lit(value.isoformat(sep=" ")).cast(kind)
+    return F.lit(value).cast(kind)
+
+
 def money(col) -> Column:
     """Two-decimal exact number, so that a sum is the same in any order."""
     return (F.col(col) if isinstance(col, str) else col).cast("decimal(18,2)")

@@ -170,14 +170,15 @@ def not_in(l: DataFrame, r: DataFrame, on, **skew) -> DataFrame:
 
     Nothing is returned if the list holds a NULL, everything if it is empty,
     and rows with a NULL are not returned otherwise. Spark's own plan for
-    ``NOT IN`` broadcasts the list whatever its size; here the two facts about
-    the list are scalar subqueries and the rest is an ordinary anti join.
+    ``NOT IN`` broadcasts the list whatever its size; here what kind of list it
+    is comes from a scalar subquery and the rest is an ordinary anti join.
     """
     pairs = key_pairs(on)
     if len(pairs) != 1:
         raise ValueError("one column only")
     ((lk, rk),) = pairs
-    has_rows = r.select(F.count(F.lit(1)) > 0).scalar()
-    has_null = r.select(F.coalesce(F.bool_or(F.col(rk).isNull()), F.lit(False))).scalar()
+    unknown = F.coalesce(F.bool_or(F.col(rk).isNull()), F.lit(False))
+    kind = F.when(unknown, "null").when(F.count(F.lit(1)) > 0, "values").otherwise("empty")
+    listed = r.select(kind).scalar()
     rest = anti_join(l, r.select(rk).where(F.col(rk).isNotNull()), pairs, **skew)
-    return rest.where(~has_rows | (~has_null & F.col(lk).isNotNull()))
+    return rest.where((listed == "empty") | ((listed == "values") & F.col(lk).isNotNull()))

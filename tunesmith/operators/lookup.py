@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from tunesmith.functions.exact import all_of, any_of
+from tunesmith.functions.exact import all_of, any_of, typed
 from tunesmith.operators.joins import broadcast_join
 from tunesmith.plans.ordered import row_numbers
 
@@ -88,7 +88,7 @@ def late_fetch(df: DataFrame, key: str, order, n: int, wide_cols) -> DataFrame:
     fetched = df.select(*dict.fromkeys([*narrow, *wide_cols]))
     if n <= LITERAL_KEYS and _as_literal(df, key):
         keys = [r[0] for r in chosen.select(key).collect()]
-        rows = fetched.where(_any_key(F.col(key), keys))
+        rows = fetched.where(_any_key(fetched, key, keys))
     else:
         rows = broadcast_join(fetched, chosen.select(key), key, "left_semi")
     # Other rows with the key of a chosen row are cut off here.
@@ -100,13 +100,13 @@ def _as_literal(df: DataFrame, col: str) -> bool:
     return isinstance(df.schema[col].dataType, (T.IntegralType, T.StringType, T.DateType, T.DecimalType, T.TimestampNTZType))
 
 
-def _any_key(col: Column, keys) -> Column:
-    given = [k for k in keys if k is not None]
-    found = col.isin(given) if given else F.lit(False)
-    if given and len(given) > 1:
+def _any_key(df: DataFrame, col: str, keys) -> Column:
+    given, kind = [k for k in keys if k is not None], df.schema[col].dataType
+    found = F.col(col).isin([typed(k, kind) for k in given]) if given else F.lit(False)
+    if len(given) > 1:
         # A long list reaches the scan as its range only; say it plainly.
-        found = found & col.between(min(given), max(given))
-    return found | col.isNull() if len(given) < len(keys) else found
+        found = found & F.col(col).between(typed(min(given), kind), typed(max(given), kind))
+    return found | F.col(col).isNull() if len(given) < len(keys) else found
 
 
 def in_list(df: DataFrame, col: str, values: DataFrame, ranges=(), limit: int | None = None, **skew) -> DataFrame:
@@ -117,12 +117,13 @@ def in_list(df: DataFrame, col: str, values: DataFrame, ranges=(), limit: int |
     semi join that broadcasts the list only if it is small.
     """
     listed = values.select(F.col(values.columns[0]).alias("__v")).where(F.col("__v").isNotNull()).distinct()
-    in_range = any_of([F.col(col).between(lo, hi) for lo, hi in ranges])
+    kind = df.schema[col].dataType
+    in_range = any_of([F.col(col).between(typed(lo, kind), typed(hi, kind)) for lo, hi in ranges])
     if _as_literal(listed, "__v"):
         few = [row[0] for row in listed.limit(LITERAL_LIST + 1).collect()]
         if len(few) <= LITERAL_LIST:
             # One scan, whose filter can skip row groups.
-            return df.where(in_range | _any_key(F.col(col), few) if few else in_range)
+            return df.where(in_range | _any_key(df, col, few) if few else in_range)
     if not ranges:
         return broadcast_join(df, listed, [(col, "__v")], "left_semi", limit, **skew)
     outside = df.where(~F.coalesce(in_range, F.lit(False)))
@@ -143,22 +144,23 @@ def keyset_page(df: DataFrame, order, after, n: int) -> DataFrame:
     sorted or counted.
     """
     if after is not None:
+        after = [None if v is None else typed(v, df.schema[c].dataType) for (c, _), v in zip(order, after)]
 
         def beyond(c, way, v):
             if v is None:
                 return F.lit(False)
-            step = F.col(c) < F.lit(v) if way == "desc" else F.col(c) > F.lit(v)
+            step = F.col(c) < v if way == "desc" else F.col(c) > v
             return step | F.col(c).isNull()
 
         tails = []
         for i, (c, way) in enumerate(order):
-            same = [F.col(p).eqNullSafe(F.lit(v)) for (p, _), v in zip(order[:i], after)]
+            same = [F.col(p).isNull() if v is None else F.col(p) == v for (p, _), v in zip(order[:i], after)]
             tails.append(all_of([*same, beyond(c, way, after[i])]))
         page = reduce(lambda a, b: a | b, tails)
         (first, way), v = order[0], after[0]
         if v is not None:
             # Implied by the rest, but in a form that a scan can use.
-            start = F.col(first) <= F.lit(v) if way == "desc" else F.col(first) >= F.lit(v)
+            start = F.col(first) <= v if way == "desc" else F.col(first) >= v
             page = (start | F.col(first).isNull()) & page
         df = df.where(page)
     return top_n(df, _sort(order), n)

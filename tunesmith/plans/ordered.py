@@ -12,15 +12,22 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from tunesmith.functions.exact import null_safe
 from tunesmith.plans.skew import HOT_ROWS, hot_keys, sketch_keys, split_hot
+from tunesmith.plans.sizing import shuffle_partitions
 from tunesmith.sources.scratch import stored
 
 MAX_PARTS = 20_000
 
 
+def parts_for(spark: SparkSession, rows: int, hot_rows: int) -> int:
+    """Parts of ``hot_rows`` rows; small ones no more than a few per task slot."""
+    small = min(math.ceil(rows / hot_rows), 4 * shuffle_partitions(spark))
+    return max(1, min(MAX_PARTS, max(small, math.ceil(rows / HOT_ROWS))))
+
+
 def ordered_scan(
     df: DataFrame,
     by,
@@ -58,7 +65,7 @@ def ordered_scan(
 
 
 def _by_parts(df, by, order, name, local, summary, carry, merge, rows, hot_rows):
-    parts = max(1, min(MAX_PARTS, math.ceil(rows / hot_rows)))
+    parts = parts_for(df.sparkSession, rows, hot_rows)
     if parts > 1 or by:
         ranged = df.repartitionByRange(max(2, parts), *by, *order)
         ranged = stored(ranged.withColumn("__scan_part", F.spark_partition_id()), "parts")

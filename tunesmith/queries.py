@@ -28,7 +28,12 @@ def mean(col) -> Column:
 
 
 def stamp(col) -> Column:
-    return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss`` of a stamp without a zone, in any session zone."""
+    return F.substring(F.col(col).cast("string"), 1, 19)
+
+
+def month(col) -> Column:
+    return F.substring(F.col(col).cast("string"), 1, 7)
 
 
 def seconds(col) -> Column:
@@ -246,7 +251,7 @@ def _orders_by_date(spark, d) -> str:
 
 def write_clustered(spark, d):
     orders = layout.key_range(spark, _orders_by_date(spark, d), "o_orderdate")
-    return orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
+    return orders.groupBy(month("o_orderdate").alias("month")).agg(
         F.count("*").alias("n"), total("o_totalprice").alias("total")
     )
 
@@ -263,7 +268,7 @@ def write_summary(spark, d):
     items = table(spark, d, "lineitem").select(
         "l_returnflag",
         "l_linestatus",
-        F.date_format("l_shipdate", "yyyy-MM").alias("month"),
+        month("l_shipdate").alias("month"),
         money("l_extendedprice").alias("price"),
         money("l_quantity").alias("quantity"),
     )
@@ -380,7 +385,7 @@ def scan_footprint(spark, d):
 
 def scan_footprint_files(spark, d):
     """With counts of files and blocks, which depend on how Spark wrote them."""
-    cond = F.col("o_orderdate") < F.lit(dt.datetime(1995, 7, 1)).cast("timestamp_ntz")
+    cond = F.col("o_orderdate") < F.lit("1995-07-01").cast("timestamp_ntz")
     return layout.scan_footprint(spark, _orders_by_date(spark, d), cond)
 
 
@@ -470,7 +475,7 @@ def statement_reuse(spark, d):
 
 def run_params(spark, d):
     orders = table(spark, d, "orders")
-    year = F.date_trunc("year", "o_orderdate")
+    year = F.trunc("o_orderdate", "year")
     spans = orders.groupBy(year.cast("timestamp_ntz").alias("lo")).agg(
         F.max("o_orderdate").alias("hi"), F.lit(300000.0).alias("floor")
     )
@@ -478,7 +483,7 @@ def run_params(spark, d):
         SELECT count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
         FROM {orders} WHERE o_orderdate >= p.lo AND o_orderdate <= p.hi AND o_totalprice > p.floor
     """
-    found = rewrites.run_params(spark, text, spans, orders=orders)
+    found = rewrites.run_params(spark, text, rewrites.shared(spans, written=True), orders=orders)
     return found.select(stamp("lo").alias("lo"), stamp("hi").alias("hi"), "n", "total")
 
 

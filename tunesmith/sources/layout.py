@@ -10,7 +10,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tunesmith.functions.exact import all_of, spread_hash
+from tunesmith.functions.exact import all_of, spread_hash, typed
 from tunesmith.operators.design import order_switches
 from tunesmith.plans.sizing import estimated_bytes
 
@@ -51,10 +51,10 @@ def key_range(spark: SparkSession, path: str, key: str, lo=None, hi=None, cols=N
     conds = []
     for bound, reach in ((lo, Column.__ge__), (hi, Column.__le__)):
         if bound is not None:
-            conds.append(reach(F.col(key), F.lit(bound).cast(df.schema[key].dataType)))
+            value = typed(bound, df.schema[key].dataType)
+            conds.append(reach(F.col(key), value))
             if day in df.columns:
-                stamp = F.lit(bound).cast(df.schema[key].dataType)
-                conds.append(reach(F.col(day), stamp.cast("date")))
+                conds.append(reach(F.col(day), value.cast("date")))
     cols = cols or [c for c in df.columns if not c.endswith(DAY)]
     return df.where(all_of(conds)).select(*cols)
 
