@@ -32,10 +32,12 @@ def test_pages_cover_the_table_once(t, ways):
     assert seen == [r["id"] for r in sorted(t.collect(), key=key)]
 
 
-def test_top_n_ranked_in_place(t, monkeypatch):
+@pytest.mark.parametrize("group_n", [0, 100], ids=["ranked", "teams"])
+def test_top_n_that_is_too_much_for_one_task(t, monkeypatch, group_n):
     order = [F.col("v").desc_nulls_last(), F.col("id")]
     few = lookup.top_n(t, order, 40).collect()
-    monkeypatch.setattr(lookup, "ONE_TASK_N", 1)
+    monkeypatch.setattr(lookup, "ONE_TASK_ROWS", 1)
+    monkeypatch.setattr(lookup, "GROUP_N", group_n)
     assert sorted(lookup.top_n(t, order, 40, hot_rows=50).collect(), key=repr) == sorted(few, key=repr)
 
 

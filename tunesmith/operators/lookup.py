@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -9,10 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from tunesmith.functions.exact import all_of, any_of, typed
 from tunesmith.operators.joins import broadcast_join
 from tunesmith.plans.ordered import row_numbers
+from tunesmith.plans.sizing import scan_tasks
 
-# Up to this n a top-n is merged in one task; above it rows are ranked in place.
-ONE_TASK_N = 100_000
-# Up to this n, groups send their n best rows per map task to one task.
+# Rows that one task merges.
+ONE_TASK_ROWS = 10_000_000
+# Up to this n, groups send their n best rows per map task to one task. Spark
+# cuts groups before the shuffle only below spark.sql.optimizer.windowGroupLimitThreshold.
 GROUP_N = 100
 # Keys that are put into a scan's filter as literals.
 LITERAL_KEYS = 10_000
@@ -54,9 +57,19 @@ def from_summary(spark: SparkSession, path: str, by, aggs: dict[str, tuple[str,
 
 
 def top_n(df: DataFrame, order, n: int, hot_rows: int | None = None) -> DataFrame:
-    """First ``n`` rows of a total order."""
-    if n <= ONE_TASK_N:
+    """First ``n`` rows of a total order.
+
+    Each task keeps ``n`` rows and one task merges them. When that would be too
+    many, groups of tasks are merged first, and for a large ``n`` the rows are
+    ranked in place.
+    """
+    tasks = scan_tasks(df)
+    if n * tasks <= ONE_TASK_ROWS:
         return df.orderBy(*order).limit(n)
+    if n <= GROUP_N:
+        team = F.pmod(F.spark_partition_id(), F.lit(math.ceil(tasks**0.5)))
+        best = top_n_per_group(df.withColumn("__team", team), ["__team"], order, n).drop("__team")
+        return best.orderBy(*order).limit(n)
     return row_numbers(df, [], order, "__rn", hot_rows).where(F.col("__rn") <= n).drop("__rn")
 
 

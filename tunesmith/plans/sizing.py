@@ -15,14 +15,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 # A table estimated above this many times the limit is not counted at all.
 WORTH_COUNTING = 64
 
-_UNIT = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+_UNIT = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def _bytes_of(text: str) -> int:
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", text.strip().lower()).groups()
+    return int(number) * _UNIT[unit]
 
 
 def broadcast_limit(spark: SparkSession) -> int:
     """Bytes a broadcast table may have; negative when broadcasts are off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", text).groups()
-    return int(number) * _UNIT[unit]
+    return _bytes_of(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b"))
+
+
+def scan_tasks(df: DataFrame) -> int:
+    """About how many tasks a scan of this size has."""
+    split = _bytes_of(df.sparkSession.conf.get("spark.sql.files.maxPartitionBytes", "134217728b"))
+    return max(1, -(-estimated_bytes(df) // split))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tunesmith.functions.exact import all_of, any_null, null_safe, spread_hash
-from tunesmith.plans.sizing import shuffle_partitions
+from tunesmith.plans.sizing import broadcast_limit, estimated_bytes, measured_bytes, shuffle_partitions
 from tunesmith.sources.scratch import stored
 
 # Rows of one key that a single task handles without trouble.
@@ -24,6 +24,8 @@ HOT_ROWS = 2_000_000
 # Hot keys looked for, and counters kept by the sketch to find them.
 HOT_KEYS = 1_000
 SKETCH_ITEMS = 10_000
+# Tasks that merge sketches before the last one does.
+MERGERS = 256
 
 ONE_SIDED = ("left_semi", "left_anti")
 
@@ -72,21 +74,26 @@ def sketch_keys(sides, hot_rows: int, null_is_key: bool = False) -> list[Sketch]
     digests = [
         df.select(
             F.lit(i).alias("side"),
+            F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger"),
             (F.lit(True) if null_is_key else ~any_null(keys)).alias("ok"),
             F.xxhash64(*[F.col(k) for k in keys]).alias("h"),
         )
         for i, (df, keys) in enumerate(sides)
     ]
-    found = {
-        row["side"]: row
-        for row in reduce(DataFrame.unionAll, digests)
-        .groupBy("side")
+    # A sketch per input task is too much for one task to merge.
+    sketches = (
+        reduce(DataFrame.unionAll, digests)
+        .groupBy("side", "merger")
         .agg(
-            F.expr(f"approx_top_k(CASE WHEN ok THEN h END, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+            F.expr(f"approx_top_k_accumulate(CASE WHEN ok THEN h END, {SKETCH_ITEMS})").alias("sketch"),
             F.count_if(~F.col("ok")).alias("nulls"),
         )
-        .collect()
-    }
+    )
+    merged = sketches.groupBy("side").agg(
+        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("nulls").alias("nulls")
+    )
+    top = F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})").alias("top")
+    found = {row["side"]: row for row in merged.select("side", "nulls", top).collect()}
     out = []
     for i in range(len(sides)):
         top = found[i]["top"] or [] if i in found else []
@@ -140,6 +147,15 @@ def _in_cells(df, keys, cells, own, own_cells, other, other_cells, spread_on):
     )
 
 
+def _known_size(copied: DataFrame) -> bool:
+    """Spark would broadcast this side by an estimate that ignores the copies:
+    is it small with them too? A side that is planned to be shuffled needs no
+    check, its size is known by then.
+    """
+    limit = broadcast_limit(copied.sparkSession)
+    return estimated_bytes(copied) > limit or measured_bytes(copied) <= limit
+
+
 def skew_join(
     l: DataFrame,
     r: DataFrame,
@@ -188,6 +204,8 @@ def skew_join(
     a = _in_cells(a, lk, cells, "__skew_a", "__skew_ca", "__skew_b", "__skew_cb", spread_on)
     b = _in_cells(b, rk, cells, "__skew_b", "__skew_cb", "__skew_a", "__skew_ca", None)
     in_cell = pairs + [("__skew_a", "__skew_a"), ("__skew_b", "__skew_b")]
+    if not (hint or (_known_size(a) and _known_size(b))):
+        hint = "merge"
     if how in ONE_SIDED:
         a, b = hinted(a, b)
         return equi_join(a, b, in_cell, how).select(l.columns)
