@@ -1,0 +1,180 @@
+"""The physical plan is the one the operator is named for."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tunesmith import queries as q
+from tunesmith.operators import advanced_joins, joins, lookup, rewrites
+from tunesmith.plans import ordered
+from tunesmith.plans.inspect import plan_nodes, plan_text, settings
+from tunesmith.plans.ordered import running_sum
+from tunesmith.sources.tables import table
+
+FOLDER = "/root/testdata/sf0.001"
+ON = [("l_orderkey", "o_orderkey")]
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return table(spark, FOLDER, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+
+
+@pytest.fixture(scope="module")
+def orders(spark):
+    return table(spark, FOLDER, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+        yield
+
+
+def test_join_methods(items, orders):
+    assert "SortMergeJoin" in plan_nodes(joins.merge_join(items, orders, ON))
+    assert "ShuffledHashJoin" in plan_nodes(joins.hash_join(items, orders, ON))
+    assert "BroadcastHashJoin" in plan_nodes(joins.broadcast_join(items, orders, ON))
+
+
+def test_build_side(items, orders):
+    left = joins.hash_join(items, orders, ON, build="left")
+    assert "BuildLeft" in plan_text(left) and "BuildRight" in plan_text(joins.hash_join(items, orders, ON))
+
+
+def test_broadcast_join_over_the_limit_is_shuffled(items, orders, no_broadcast):
+    for how in ("inner", "left", "right", "full", "left_semi", "left_anti"):
+        nodes = plan_nodes(joins.broadcast_join(items, orders, ON, how))
+        assert "SortMergeJoin" in nodes and "BroadcastExchange" not in nodes
+
+
+def test_limit_is_of_bytes(items, orders):
+    assert "BroadcastHashJoin" in plan_nodes(joins.broadcast_join(items, orders, ON, limit=200_000))
+    with_small = joins.broadcast_join(items, orders.where("o_custkey < 3"), ON, limit=20_000)
+    assert "BroadcastHashJoin" in plan_nodes(with_small)
+
+
+def test_theta_join_has_no_cross_product(spark):
+    l = spark.range(50).withColumnRenamed("id", "a")
+    r = spark.range(40).withColumnRenamed("id", "b")
+    assert "BroadcastNestedLoopJoin" in plan_nodes(joins.theta_join(l, r, F.col("a") < F.col("b")))
+    grid = plan_nodes(joins.theta_join(l, r, F.col("a") < F.col("b"), limit=-1))
+    assert "SortMergeJoin" in grid
+    assert not {"CartesianProduct", "BroadcastNestedLoopJoin"} & set(grid)
+
+
+def test_not_in_does_not_broadcast_its_list(spark, orders, no_broadcast):
+    out = joins.not_in(orders, orders.select(F.col("o_orderkey").alias("k")), [("o_custkey", "k")])
+    assert "SortMergeJoin" in plan_nodes(out) and "BroadcastExchange" not in plan_nodes(out)
+    orders.createOrReplaceTempView("o")
+    plain = spark.sql("SELECT * FROM o WHERE o_custkey NOT IN (SELECT o_orderkey FROM o)")
+    assert "BroadcastExchange" in plan_nodes(plain)
+
+
+def test_scalar_lookup_groups_the_inner_table_once(spark):
+    nodes = plan_nodes(q.scalar_lookup(spark, FOLDER))
+    assert nodes.count("HashAggregate") == 2 and sum("Join" in n for n in nodes) == 1
+
+
+def test_top1_cuts_groups_before_the_shuffle(spark):
+    nodes = plan_nodes(q.top1_lookup(spark, FOLDER))
+    assert nodes.count("WindowGroupLimit") == 2
+    assert plan_nodes(q.top_n_per_group(spark, FOLDER)).count("WindowGroupLimit") == 2
+
+
+def test_band_and_or_joins_are_equi_joins(spark):
+    for query in (q.band_join, q.or_join):
+        nodes = plan_nodes(query(spark, FOLDER))
+        assert not {"CartesianProduct", "BroadcastNestedLoopJoin"} & set(nodes)
+    items, part = table(spark, FOLDER, "lineitem"), table(spark, FOLDER, "part")
+    plain = items.join(part, (F.col("l_partkey") == F.col("p_partkey")) | (F.col("l_suppkey") == F.col("p_partkey")))
+    assert "BroadcastNestedLoopJoin" in plan_nodes(plain)
+
+
+def test_asof_join_shuffles_once(spark):
+    assert plan_nodes(q.asof_join(spark, FOLDER)).count("Exchange") == 1
+    assert not any("Join" in n for n in plan_nodes(q.asof_join(spark, FOLDER)))
+
+
+def test_star_join_moves_no_fact_rows(spark):
+    nodes = plan_nodes(q.star_join(spark, FOLDER))
+    assert nodes.count("BroadcastHashJoin") == 4
+    # The one exchange is that of the grouping.
+    assert nodes.count("Exchange") == 1
+
+
+def test_partition_column_is_pruned_at_run_time(spark):
+    assert "dynamicpruning" in plan_text(q.star_join_pruned(spark, FOLDER))
+
+
+def test_eager_aggregation_groups_below_the_join(items, spark):
+    part = table(spark, FOLDER, "part").select("p_partkey", "p_brand")
+    eager = rewrites.eager_agg_join(items, part, [("l_partkey", "p_partkey")], ["p_brand"], {"n": ("sum", "l_quantity")})
+    plain = items.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand").agg(F.sum("l_quantity"))
+    assert plan_nodes(eager).count("HashAggregate") == 4 and plan_nodes(plain).count("HashAggregate") == 2
+
+
+def test_foreign_key_join_is_gone(spark):
+    assert not any("Join" in n for n in plan_nodes(q.drop_fk_join(spark, FOLDER)))
+
+
+def test_set_operations_shuffle_once(spark):
+    for query in (q.intersect, q.except_):
+        nodes = plan_nodes(query(spark, FOLDER))
+        assert nodes.count("Exchange") == 1 and not any("Join" in n for n in nodes)
+
+
+def test_filters_reach_the_scan(spark):
+    for query, text in [
+        (q.key_range, "GreaterThanOrEqual(o_orderdate__day"),
+        (q.keyset_page, "LessThanOrEqual(o_orderdate"),
+        (q.in_list, "In(o_orderdate"),
+        (q.late_fetch, "In(doc_id"),
+        (q.run_once, "EqualTo(o_orderpriority"),
+    ]:
+        df = query(spark, FOLDER)
+        with settings(spark, spark__sql__maxMetadataStringLength=5000):
+            assert text in plan_text(df.select("*")), query.__name__
+
+
+def test_scans_read_needed_columns_only(spark):
+    for query, columns in [
+        (q.merge_join, "struct<l_orderkey:bigint,l_extendedprice:double>"),
+        (q.cardinality_check, "struct<user_id:bigint>"),
+        (q.common_values, "struct<l_partkey:bigint>"),
+    ]:
+        assert f"ReadSchema: {columns}" in plan_text(query(spark, FOLDER))
+
+
+def test_long_lists_are_semi_joins(items, orders, monkeypatch):
+    monkeypatch.setattr(lookup, "LITERAL_LIST", 10)
+    out = lookup.in_list(items, "l_orderkey", orders.select("o_orderkey"))
+    assert "LeftSemi" in plan_text(out)
+
+
+def test_ordered_scan_of_everything_is_cut_in_even_parts(spark, monkeypatch):
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    stored = ordered.stored
+    monkeypatch.setattr(ordered, "stored", keep)
+    # One group holds nearly all rows, in another order than stored.
+    df = spark.range(40_000).select(F.lit("hot").alias("g"), (F.col("id") * 7919 % 40_000).alias("i"), F.lit(1).alias("v"))
+    df = df.union(spark.sql("SELECT 'cold', 1L, 1"))
+    running_sum(df, ["g"], ["i"], "v", "s", hot_rows=4_000)
+    sizes = [r["count"] for r in kept["parts"].groupBy("__scan_part").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 8_000
+    assert kept["hot"].count() == 1
+
+
+def test_salted_join_copies_hot_keys_only(spark):
+    fact = spark.range(10_000).select(F.when(F.col("id") < 8_000, 0).otherwise(F.col("id")).alias("k"), "id")
+    dim = spark.range(10_000).select(F.col("id").alias("k"), F.lit("x").alias("w"))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=-1):
+        out = advanced_joins.salted_join(fact, dim, "k", hot_rows=1_000)
+        assert out.count() == 10_000
+        # 10,000 dimension rows and 7 more copies of the hot key's row.
+        text = out._jdf.queryExecution().toString()
+        assert "SortMergeJoin" in text and "explode" in text
