@@ -55,6 +55,12 @@ def test_methods_agree(spark, or_left, or_keys, join, how):
     same_rows(join(or_left, or_keys, [("x", "k")], how), sql, l=or_left, r=or_keys)
 
 
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_hash_join_builds_the_left_of_an_outer_join(or_left, or_keys, how):
+    sql = f"SELECT x, y, k FROM l {how.upper()} JOIN r ON x = k"
+    same_rows(joins.hash_join(or_left, or_keys, [("x", "k")], how, build="left"), sql, l=or_left, r=or_keys)
+
+
 def test_hash_join_build_side(spark, or_left, or_keys):
     same_rows(
         joins.hash_join(or_left, or_keys, [("x", "k")], build="left"),

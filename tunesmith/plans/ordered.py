@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, fun
 
 from tunesmith.functions.exact import null_safe
 from tunesmith.plans.skew import HOT_ROWS, hot_keys, sketch_keys, split_hot
-from tunesmith.plans.sizing import shuffle_partitions
+from tunesmith.plans.sizing import if_small, shuffle_partitions
 from tunesmith.sources.scratch import stored
 
 MAX_PARTS = 20_000
@@ -76,11 +76,12 @@ def _by_parts(df, by, order, name, local, summary, carry, merge, rows, hot_rows)
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__scan_part").rowsBetween(Window.unboundedPreceding, -1)
     keys = ["__scan_part", *by]
     # One row per part and hot group: at most MAX_PARTS + HOT_KEYS rows.
-    left_over = ranged.groupBy(*keys).agg(summary.alias("__scan_sum")).withColumn("__scan_carry", carry(F.col("__scan_sum"), before))
-    left_over = left_over.select(*[F.col(k).alias(f"__scan_{k}") for k in keys], "__scan_carry")
+    left_over = ranged.groupBy(*keys).agg(summary.alias("__scan_sum"))
+    left_over = left_over.withColumn("__scan_carry", carry(F.col("__scan_sum"), before))
+    left_over = stored(left_over.select(*[F.col(k).alias(f"__scan_{k}") for k in keys], "__scan_carry"), "carry")
     return (
         ranged.withColumn("__scan_value", local(within))
-        .join(F.broadcast(left_over), null_safe(keys, [f"__scan_{k}" for k in keys]), "left")
+        .join(if_small(left_over), null_safe(keys, [f"__scan_{k}" for k in keys]), "left")
         .withColumn(name, merge(F.col("__scan_value"), F.col("__scan_carry")))
         .select(*df.columns, name)
     )

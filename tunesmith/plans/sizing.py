@@ -63,3 +63,8 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     if limit < 0 or estimated_bytes(df) > WORTH_COUNTING * limit:
         return False
     return measured_bytes(df) <= limit
+
+
+def if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Hint that ``df`` be broadcast if it fits; else leave the choice to Spark."""
+    return F.broadcast(df) if fits_broadcast(df, limit) else df

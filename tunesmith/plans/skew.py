@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tunesmith.functions.exact import all_of, any_null, null_safe, spread_hash
-from tunesmith.plans.sizing import broadcast_limit, estimated_bytes, measured_bytes, shuffle_partitions
+from tunesmith.plans.sizing import broadcast_limit, estimated_bytes, if_small, measured_bytes, shuffle_partitions
 from tunesmith.sources.scratch import stored
 
 # Rows of one key that a single task handles without trouble.
@@ -132,7 +132,7 @@ def _in_cells(df, keys, cells, own, own_cells, other, other_cells, spread_on):
     names = [f"__skew_k{i}" for i in range(len(keys))]
     tagged = df.withColumn("__skew_h", spread_hash(df, spread_on)).join(
         # at most 2 * HOT_KEYS rows
-        F.broadcast(cells),
+        if_small(cells),
         all_of([F.col(k) == F.col(n) for k, n in zip(keys, names)]),
         "left",
     )
@@ -227,4 +227,5 @@ def split_hot(df: DataFrame, by, hot: DataFrame):
     """Rows of cold groups and rows of hot groups; NULL is a group."""
     match = null_safe(by, [f"__skew_k{i}" for i in range(len(by))])
     # at most HOT_KEYS rows
-    return df.join(F.broadcast(hot), match, "left_anti"), df.join(F.broadcast(hot), match, "left_semi")
+    hot = if_small(hot)
+    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
