@@ -5,6 +5,7 @@ from oracle_check import same_rows
 from pyspark.sql import functions as F
 
 from tunesmith.operators import lookup
+from tunesmith.plans.inspect import settings
 
 
 @pytest.fixture(scope="module")
@@ -32,23 +33,31 @@ def test_pages_cover_the_table_once(t, ways):
     assert seen == [r["id"] for r in sorted(t.collect(), key=key)]
 
 
-@pytest.mark.parametrize("group_n", [0, 100], ids=["ranked", "teams"])
-def test_top_n_that_is_too_much_for_one_task(t, monkeypatch, group_n):
+@pytest.mark.parametrize("cut", [0, 1000], ids=["ranked", "teams"])
+def test_top_n_that_is_too_much_for_one_task(spark, t, monkeypatch, cut):
     order = [F.col("v").desc_nulls_last(), F.col("id")]
     few = lookup.top_n(t, order, 40).collect()
     monkeypatch.setattr(lookup, "ONE_TASK_ROWS", 1)
-    monkeypatch.setattr(lookup, "GROUP_N", group_n)
-    assert sorted(lookup.top_n(t, order, 40, hot_rows=50).collect(), key=repr) == sorted(few, key=repr)
+    monkeypatch.setattr(lookup, "scan_tasks", lambda df: 5)
+    with settings(spark, spark__sql__optimizer__windowGroupLimitThreshold=cut):
+        assert sorted(lookup.top_n(t, order, 40, hot_rows=50).collect(), key=repr) == sorted(few, key=repr)
 
 
 @pytest.mark.parametrize("n", [2, 150])
-@pytest.mark.parametrize("hot_rows", [None, 20])
-def test_top_n_per_group(t, n, hot_rows):
-    same_rows(
-        lookup.top_n_per_group(t, ["g"], [F.col("v").asc_nulls_last(), F.col("id")], n, hot_rows),
-        f"SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY g ORDER BY v NULLS LAST, id) <= {n}",
-        t=t,
-    )
+@pytest.mark.parametrize("way", ["cut", "teams", "ranked", "ranked in parts"])
+def test_top_n_per_group(spark, t, n, way, monkeypatch):
+    if way == "teams":
+        monkeypatch.setattr(lookup, "ONE_TASK_ROWS", 1)
+        monkeypatch.setattr(lookup, "scan_tasks", lambda df: 5)
+    cut = 0 if "ranked" in way else 1000
+    with settings(spark, spark__sql__optimizer__windowGroupLimitThreshold=cut):
+        same_rows(
+            lookup.top_n_per_group(
+                t, ["g"], [F.col("v").asc_nulls_last(), F.col("id")], n, 20 if way == "ranked in parts" else None
+            ),
+            f"SELECT * FROM t QUALIFY row_number() OVER (PARTITION BY g ORDER BY v NULLS LAST, id) <= {n}",
+            t=t,
+        )
 
 
 @pytest.mark.parametrize("literal", [10_000, 0])

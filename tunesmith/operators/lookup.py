@@ -14,9 +14,6 @@ from tunesmith.plans.sizing import scan_tasks
 
 # Rows that one task merges.
 ONE_TASK_ROWS = 10_000_000
-# Up to this n, groups send their n best rows per map task to one task. Spark
-# cuts groups before the shuffle only below spark.sql.optimizer.windowGroupLimitThreshold.
-GROUP_N = 100
 # Keys that are put into a scan's filter as literals.
 LITERAL_KEYS = 10_000
 LITERAL_LIST = 1_000
@@ -60,16 +57,13 @@ def top_n(df: DataFrame, order, n: int, hot_rows: int | None = None) -> DataFram
     """First ``n`` rows of a total order.
 
     Each task keeps ``n`` rows and one task merges them. When that would be too
-    many, groups of tasks are merged first, and for a large ``n`` the rows are
+    many, teams of tasks are merged first, and for a large ``n`` the rows are
     ranked in place.
     """
-    tasks = scan_tasks(df)
-    if n * tasks <= ONE_TASK_ROWS:
+    if n * scan_tasks(df) <= ONE_TASK_ROWS:
         return df.orderBy(*order).limit(n)
-    if n <= GROUP_N:
-        team = F.pmod(F.spark_partition_id(), F.lit(math.ceil(tasks**0.5)))
-        best = top_n_per_group(df.withColumn("__team", team), ["__team"], order, n).drop("__team")
-        return best.orderBy(*order).limit(n)
+    if n <= _cut_before_shuffle(df):
+        return _best_of_teams(df, [], order, n).orderBy(*order).limit(n)
     return row_numbers(df, [], order, "__rn", hot_rows).where(F.col("__rn") <= n).drop("__rn")
 
 
@@ -77,16 +71,30 @@ def top_n_per_group(df: DataFrame, by, order, n: int, hot_rows: int | None = Non
     """First ``n`` rows of each group.
 
     For a small ``n`` Spark cuts each group to ``n`` rows before and after the
-    shuffle. A large ``n`` would still bring many rows of a hot group to one
-    task, so hot groups are then ranked in parts.
+    shuffle; if a hot group would still get too many rows from all tasks, teams
+    of tasks are merged first. For a large ``n`` hot groups are ranked in parts.
     """
-    if n <= GROUP_N:
+    if n <= _cut_before_shuffle(df):
+        if n * scan_tasks(df) > ONE_TASK_ROWS:
+            df = _best_of_teams(df, by, order, n)
         ranked = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     else:
         ranked = row_numbers(df, by, order, "__rn", hot_rows)
     return ranked.where(F.col("__rn") <= n).drop("__rn")
 
 
+def _cut_before_shuffle(df: DataFrame) -> int:
+    """Largest n for which Spark cuts groups on the map side."""
+    return int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
+def _best_of_teams(df, by, order, n):
+    teams = F.lit(math.ceil(scan_tasks(df) ** 0.5))
+    teamed = df.withColumn("__team", F.pmod(F.spark_partition_id(), teams))
+    rank = F.row_number().over(Window.partitionBy("__team", *by).orderBy(*order))
+    return teamed.withColumn("__rn", rank).where(F.col("__rn") <= n).drop("__team", "__rn")
+
+
 def late_fetch(df: DataFrame, key: str, order, n: int, wide_cols) -> DataFrame:
     """Top ``n`` rows with wide columns that are read for few rows.
 

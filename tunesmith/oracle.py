@@ -201,7 +201,7 @@ ORACLE = {
         QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) <= 3""",
     "top_n_per_hot_group": """
         SELECT o_orderpriority, o_orderkey, o_totalprice FROM orders
-        QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) <= 500""",
+        QUALIFY row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) <= 1500""",
     "keyset_page": f"""
         SELECT o_orderkey, {_stamp('o_orderdate')} AS o_orderdate, o_totalprice FROM (
             SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-06-15'

@@ -38,6 +38,8 @@ def ordered_scan(
     carry: Callable[[Column, WindowSpec], Column],
     merge: Callable[[Column, Column], Column],
     hot_rows: int | None = None,
+    whole: tuple[str, Column, Column] | None = None,
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
     """Add column ``name``, a scan over each group in ``order``.
 
@@ -45,50 +47,68 @@ def ordered_scan(
     ``summary``     aggregate that tells later parts what this part did
     ``carry(s, w)`` the summaries of all earlier parts in one value
     ``merge(x, c)`` the scan's value, given the local value and the carry
+    ``whole``       (name, aggregate, aggregate of summaries): a second column
+                    with a value of the whole group
+    ``counted_in``  a table with at least the rows of each group that is
+                    cheaper to look for hot groups in
     """
     hot_rows = hot_rows or HOT_ROWS
     by, order = list(by), list(order)
+
+    def in_one_task(rows):
+        group = Window.partitionBy(*(by or [F.lit(0)]))
+        out = rows.withColumn(name, local(group.orderBy(*order)))
+        return out.withColumn(whole[0], whole[1].over(group)) if whole else out
+
+    def in_parts(rows, n):
+        parts = max(2, parts_for(df.sparkSession, n, hot_rows))
+        return _by_parts(rows, by, order, name, local, summary, carry, merge, whole, parts)
+
     if not by:
-        return _by_parts(df, by, order, name, local, summary, carry, merge, df.count(), hot_rows)
-    plain = local(Window.partitionBy(*by).orderBy(*order))
-    (seen,) = sketch_keys([(df, by)], hot_rows, null_is_key=True)
+        rows = df.count()
+        return in_one_task(df) if rows <= hot_rows else in_parts(df, rows)
+    source = df if counted_in is None else counted_in
+    (seen,) = sketch_keys([(source, by)], hot_rows, null_is_key=True)
     if not seen.likely:
-        return df.withColumn(name, plain)
-    hot = stored(hot_keys(df, by, seen.likely, hot_rows, null_is_key=True), "hot")
+        return in_one_task(df)
+    hot = stored(hot_keys(source, by, seen.likely, hot_rows, null_is_key=True), "hot")
     total = hot.agg(F.coalesce(F.sum("__skew_n"), F.lit(0))).first()[0]
     if total == 0:
-        return df.withColumn(name, plain)
+        return in_one_task(df)
     cold_rows, hot_part = split_hot(df, by, hot)
-    cold = cold_rows.withColumn(name, plain)
-    scanned = _by_parts(hot_part, by, order, name, local, summary, carry, merge, total, hot_rows)
-    return cold.unionByName(scanned.withColumn(name, F.col(name).cast(cold.schema[name].dataType)))
-
-
-def _by_parts(df, by, order, name, local, summary, carry, merge, rows, hot_rows):
-    parts = parts_for(df.sparkSession, rows, hot_rows)
-    if parts > 1 or by:
-        ranged = df.repartitionByRange(max(2, parts), *by, *order)
-        ranged = stored(ranged.withColumn("__scan_part", F.spark_partition_id()), "parts")
-    else:
-        # The whole input is no more than one task's worth.
-        return df.withColumn(name, local(Window.partitionBy(F.lit(0)).orderBy(*order)))
+    cold, scanned = in_one_task(cold_rows), in_parts(hot_part, total)
+    # A carried sum may have a wider type.
+    return cold.unionByName(scanned.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in cold.schema.fields]))
+
+
+def _by_parts(df, by, order, name, local, summary, carry, merge, whole, parts):
+    ranged = df.repartitionByRange(parts, *by, *order)
+    ranged = stored(ranged.withColumn("__scan_part", F.spark_partition_id()), "parts")
     within = Window.partitionBy("__scan_part", *by).orderBy(*order)
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__scan_part").rowsBetween(Window.unboundedPreceding, -1)
     keys = ["__scan_part", *by]
     # One row per part and hot group: at most MAX_PARTS + HOT_KEYS rows.
     left_over = ranged.groupBy(*keys).agg(summary.alias("__scan_sum"))
     left_over = left_over.withColumn("__scan_carry", carry(F.col("__scan_sum"), before))
-    left_over = stored(left_over.select(*[F.col(k).alias(f"__scan_{k}") for k in keys], "__scan_carry"), "carry")
+    extra = []
+    if whole:
+        left_over = left_over.withColumn(whole[0], whole[2].over(Window.partitionBy(*(by or [F.lit(0)]))))
+        extra = [whole[0]]
+    left_over = left_over.select(*[F.col(k).alias(f"__scan_{k}") for k in keys], "__scan_carry", *extra)
+    left_over = stored(left_over, "carry")
     return (
         ranged.withColumn("__scan_value", local(within))
         .join(if_small(left_over), null_safe(keys, [f"__scan_{k}" for k in keys]), "left")
         .withColumn(name, merge(F.col("__scan_value"), F.col("__scan_carry")))
-        .select(*df.columns, name)
+        .select(*df.columns, name, *extra)
     )
 
 
-def running_sum(df, by, order, value, name, hot_rows=None):
-    """Sum of ``value`` from the first row of the group to this one."""
+def running_sum(df, by, order, value, name, hot_rows=None, total=None, counted_in=None):
+    """Sum of ``value`` from the first row of the group to this one.
+
+    ``total`` names a second column with the sum of the whole group.
+    """
     return ordered_scan(
         df,
         by,
@@ -99,6 +119,8 @@ def running_sum(df, by, order, value, name, hot_rows=None):
         carry=lambda s, w: F.sum(s).over(w),
         merge=lambda x, c: F.when(x.isNull(), c).otherwise(x + F.coalesce(c, F.lit(0))),
         hot_rows=hot_rows,
+        whole=(total, F.sum(value), F.sum("__scan_sum")) if total else None,
+        counted_in=counted_in,
     )
 
 

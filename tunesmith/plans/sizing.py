@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 # A table estimated above this many times the limit is not counted at all.
 WORTH_COUNTING = 64
 
+OWN_LIMIT = 10 << 20
+
 _UNIT = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -65,6 +67,11 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return measured_bytes(df) <= limit
 
 
-def if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
-    """Hint that ``df`` be broadcast if it fits; else leave the choice to Spark."""
+def if_small(df: DataFrame) -> DataFrame:
+    """Hint that a table of few rows be broadcast if its bytes are few too.
+
+    For tables that an operator makes for itself; they go by ``OWN_LIMIT`` where
+    the session's limit is lower.
+    """
+    limit = max(OWN_LIMIT, broadcast_limit(df.sparkSession))
     return F.broadcast(df) if fits_broadcast(df, limit) else df

@@ -127,10 +127,13 @@ def _cells(left_hot: DataFrame, right_hot: DataFrame, n_keys: int, hot_rows: int
     return stored(cells, "cells")
 
 
-def _in_cells(df, keys, cells, own, own_cells, other, other_cells, spread_on):
-    """Give each row a cell of its own side and copy it to the other side's."""
+def _in_cells(df, keys, cells, own, own_cells, other, other_cells, copied, spread_on):
+    """Give each row a cell of its own side and copy it to the other side's.
+
+    ``copied`` is False if no key is hot on the other side.
+    """
     names = [f"__skew_k{i}" for i in range(len(keys))]
-    tagged = df.withColumn("__skew_h", spread_hash(df, spread_on)).join(
+    tagged = df.join(
         # at most 2 * HOT_KEYS rows
         if_small(cells),
         all_of([F.col(k) == F.col(n) for k, n in zip(keys, names)]),
@@ -138,12 +141,13 @@ def _in_cells(df, keys, cells, own, own_cells, other, other_cells, spread_on):
     )
     everywhere = F.lit(shuffle_partitions(df.sparkSession))
     spans = F.when(any_null(keys), everywhere).otherwise(F.coalesce(F.col(own_cells), F.lit(1)))
-    copies = F.coalesce(F.col(other_cells), F.lit(1))
+    cell = F.when(spans > 1, F.pmod(spread_hash(df, spread_on), spans)).otherwise(F.lit(0).cast("long"))
+    copies = F.coalesce(F.col(other_cells), F.lit(1)) if copied else F.lit(1)
+    each = F.explode(F.sequence(F.lit(0).cast("long"), (copies - 1).cast("long")))
     return (
-        tagged.withColumn(own, F.pmod(F.col("__skew_h"), spans).cast("int"))
-        .withColumn(other, F.explode(F.sequence(F.lit(0), copies - 1)))
-        .withColumn("__skew_copies", copies)
-        .drop("__skew_h", "__skew_ca", "__skew_cb", *names)
+        tagged.withColumns({own: cell, "__skew_copies": copies})
+        .withColumn(other, each if copied else F.lit(0).cast("long"))
+        .drop("__skew_ca", "__skew_cb", *names)
     )
 
 
@@ -201,8 +205,8 @@ def skew_join(
     )
     a = l if keeps_left else l.where(~any_null(lk))
     b = r if keeps_right else r.where(~any_null(rk))
-    a = _in_cells(a, lk, cells, "__skew_a", "__skew_ca", "__skew_b", "__skew_cb", spread_on)
-    b = _in_cells(b, rk, cells, "__skew_b", "__skew_cb", "__skew_a", "__skew_ca", None)
+    a = _in_cells(a, lk, cells, "__skew_a", "__skew_ca", "__skew_b", "__skew_cb", bool(right.likely), spread_on)
+    b = _in_cells(b, rk, cells, "__skew_b", "__skew_cb", "__skew_a", "__skew_ca", bool(left.likely), None)
     in_cell = pairs + [("__skew_a", "__skew_a"), ("__skew_b", "__skew_b")]
     if not (hint or (_known_size(a) and _known_size(b))):
         hint = "merge"

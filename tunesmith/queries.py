@@ -326,7 +326,7 @@ def top_n_per_group(spark, d):
 def top_n_per_hot_group(spark, d):
     orders = table(spark, d, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
     order = [F.col("o_totalprice").desc(), F.col("o_orderkey")]
-    return lookup.top_n_per_group(orders, ["o_orderpriority"], order, 500, hot_rows=2_000)
+    return lookup.top_n_per_group(orders, ["o_orderpriority"], order, 1_500, hot_rows=2_000)
 
 
 def keyset_page(spark, d):
