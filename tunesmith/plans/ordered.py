@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, fun
 
 from tunesmith.functions.exact import null_safe
 from tunesmith.plans.skew import HOT_ROWS, hot_keys, sketch_keys, split_hot
-from tunesmith.plans.sizing import if_small, shuffle_partitions
+from tunesmith.plans.sizing import if_small, one_task_reads, shuffle_partitions
 from tunesmith.sources.scratch import stored
 
 MAX_PARTS = 20_000
@@ -52,6 +52,8 @@ def ordered_scan(
     ``counted_in``  a table with at least the rows of each group that is
                     cheaper to look for hot groups in
     """
+    source = df if counted_in is None else counted_in
+    look = hot_rows is not None or not one_task_reads(source)
     hot_rows = hot_rows or HOT_ROWS
     by, order = list(by), list(order)
 
@@ -67,9 +69,8 @@ def ordered_scan(
     if not by:
         rows = df.count()
         return in_one_task(df) if rows <= hot_rows else in_parts(df, rows)
-    source = df if counted_in is None else counted_in
-    (seen,) = sketch_keys([(source, by)], hot_rows, null_is_key=True)
-    if not seen.likely:
+    (seen,) = sketch_keys([(source, by)], hot_rows, null_is_key=True) if look else (None,)
+    if not (seen and seen.likely):
         return in_one_task(df)
     hot = stored(hot_keys(source, by, seen.likely, hot_rows, null_is_key=True), "hot")
     total = hot.agg(F.coalesce(F.sum("__skew_n"), F.lit(0))).first()[0]

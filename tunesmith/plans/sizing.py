@@ -45,6 +45,11 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def one_task_reads(df: DataFrame) -> bool:
+    """Is the whole table, by Catalyst's estimate, what one scan task reads?"""
+    return scan_tasks(df) == 1
+
+
 def _width(field: T.StructField) -> Column:
     kind, col = field.dataType, F.col(f"`{field.name}`")
     if isinstance(kind, (T.StringType, T.BinaryType)):

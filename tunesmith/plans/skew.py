@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tunesmith.functions.exact import all_of, any_null, null_safe, spread_hash
-from tunesmith.plans.sizing import broadcast_limit, estimated_bytes, if_small, measured_bytes, shuffle_partitions
+from tunesmith.plans.sizing import broadcast_limit, estimated_bytes, if_small, measured_bytes, one_task_reads, shuffle_partitions
 from tunesmith.sources.scratch import stored
 
 # Rows of one key that a single task handles without trouble.
@@ -71,6 +71,8 @@ def sketch_keys(sides, hot_rows: int, null_is_key: bool = False) -> list[Sketch]
     ``null_is_key`` counts NULL as a key, as grouping does; a join does not.
     The sketch finds every key with more than a few thousandths of the rows.
     """
+    if not sides:
+        return []
     digests = [
         df.select(
             F.lit(i).alias("side"),
@@ -179,7 +181,6 @@ def skew_join(
     is read only when there is a hot key. ``unique_right`` says that no key
     comes twice on the right, which saves looking for hot keys there.
     """
-    hot_rows = hot_rows or HOT_ROWS
     pairs = key_pairs(on)
     lk, rk = [a for a, _ in pairs], [b for _, b in pairs]
     if how in ONE_SIDED:
@@ -187,8 +188,12 @@ def skew_join(
         r, unique_right = r.select(*rk).where(~any_null(rk)).distinct(), True
     keeps_left = how in ("left", "full", "left_anti")
     keeps_right = how in ("right", "full")
-    sides = [(l, lk)] if unique_right else [(l, lk), (r, rk)]
-    left, right = (sketch_keys(sides, hot_rows) + [Sketch([], 0)])[:2]
+    # No key is hot in a table that one task can read, unless the caller says so.
+    look = [hot_rows is not None or not one_task_reads(l), False]
+    look[1] = not unique_right and (hot_rows is not None or not one_task_reads(r))
+    hot_rows = hot_rows or HOT_ROWS
+    found = iter(sketch_keys([side for side, yes in zip([(l, lk), (r, rk)], look) if yes], hot_rows))
+    left, right = [next(found) if yes else Sketch([], 0) for yes in look]
 
     def hinted(a, b):
         if not hint:
