@@ -59,6 +59,13 @@ def test_asof_join(spark, hot_rows):
     )
 
 
+def test_asof_join_of_columns_that_are_never_null(spark):
+    l = spark.range(30).select((F.col("id") % 2).alias("k"), "id")
+    r = spark.range(30).select((F.col("id") % 2).alias("k"), "id", F.col("id").alias("w"))
+    out = adv.asof_join(l, r, "k", "id", hot_rows=4)
+    assert out.where("w = id").count() == 30
+
+
 def test_asof_join_of_other_names(spark):
     l = spark.createDataFrame([(1, 10), (1, 3)], "a int, t int")
     r = spark.createDataFrame([(1, 4, "x")], "b int, u int, w string")

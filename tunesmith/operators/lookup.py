@@ -137,14 +137,15 @@ def in_list(df: DataFrame, col: str, values: DataFrame, ranges=(), limit: int |
     A short list goes into the scan's filter; a longer one, of any size, is a
     semi join that broadcasts the list only if it is small.
     """
-    listed = values.select(F.col(values.columns[0]).alias("__v")).where(F.col("__v").isNotNull()).distinct()
+    listed = values.select(F.col(values.columns[0]).alias("__v")).where(F.col("__v").isNotNull())
     kind = df.schema[col].dataType
     in_range = any_of([F.col(col).between(typed(lo, kind), typed(hi, kind)) for lo, hi in ranges])
     if _as_literal(listed, "__v"):
         few = [row[0] for row in listed.limit(LITERAL_LIST + 1).collect()]
         if len(few) <= LITERAL_LIST:
             # One scan, whose filter can skip row groups.
-            return df.where(in_range | _any_key(df, col, few) if few else in_range)
+            return df.where(in_range | _any_key(df, col, sorted(set(few))) if few else in_range)
+    listed = listed.distinct()
     if not ranges:
         return broadcast_join(df, listed, [(col, "__v")], "left_semi", limit, **skew)
     outside = df.where(~F.coalesce(in_range, F.lit(False)))

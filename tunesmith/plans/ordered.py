@@ -79,7 +79,8 @@ def ordered_scan(
     cold_rows, hot_part = split_hot(df, by, hot)
     cold, scanned = in_one_task(cold_rows), in_parts(hot_part, total)
     # A carried sum may have a wider type.
-    return cold.unionByName(scanned.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in cold.schema.fields]))
+    made = [c for c in cold.columns if c not in df.columns]
+    return cold.unionByName(scanned.withColumns({c: F.col(c).cast(cold.schema[c].dataType) for c in made}))
 
 
 def _by_parts(df, by, order, name, local, summary, carry, merge, whole, parts):
