@@ -5,16 +5,17 @@ from oracle_check import same_rows
 from pyspark.sql import functions as F
 
 from tunesmith.operators import joins
+from tunesmith.plans.inspect import settings
 
 
 @pytest.fixture(scope="module")
 def or_left(spark):
-    return spark.createDataFrame([(1, 10), (2, None), (None, 20), (None, None)], "x int, y int")
+    return spark.sql("SELECT * FROM VALUES (1, 10), (2, NULL), (NULL, 20), (NULL, NULL) AS t(x, y)")
 
 
 @pytest.fixture(scope="module")
 def or_keys(spark):
-    return spark.createDataFrame([(1,), (10,), (20,), (None,)], "k int")
+    return spark.sql("SELECT * FROM VALUES (1), (10), (20), (NULL) AS t(k)")
 
 
 THETA = {
@@ -30,8 +31,8 @@ THETA = {
 @pytest.mark.parametrize("how", THETA)
 @pytest.mark.parametrize("limit", [None, -1], ids=["broadcast", "grid"])
 def test_theta_join(spark, how, limit):
-    l = spark.createDataFrame([(1,), (5,), (5,), (9,), (None,)], "a int").repartition(2)
-    r = spark.createDataFrame([(0,), (4,), (6,), (6,), (None,)], "b int").repartition(2)
+    l = spark.sql("SELECT * FROM VALUES (1), (5), (5), (9), (NULL) AS t(a)").repartition(2)
+    r = spark.sql("SELECT * FROM VALUES (0), (4), (6), (6), (NULL) AS t(b)").repartition(2)
     same_rows(joins.theta_join(l, r, F.col("a") < F.col("b"), how, limit), THETA[how], l=l, r=r)
 
 
@@ -42,6 +43,16 @@ def test_theta_join_of_empty(spark, how):
     same_rows(joins.theta_join(l, r, F.col("a") < F.col("b"), how, -1), THETA[how], l=l, r=r)
 
 
+@pytest.mark.parametrize("limit", [None, -1])
+def test_semi_anti_and_not_in_by_either_way(spark, or_left, or_keys, limit):
+    on, known = [("x", "k")], or_keys.where("k IS NOT NULL")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="10485760" if limit is None else "-1"):
+        assert joins.semi_join(or_left, or_keys, on).count() == 1
+        assert joins.anti_join(or_left, or_keys, on, hot_rows=1).count() == 3
+        assert joins.not_in(or_left, or_keys, on).count() == 0
+        assert joins.not_in(or_left, known, on).count() == 1
+
+
 @pytest.mark.parametrize("join", [joins.merge_join, joins.hash_join, joins.broadcast_join])
 @pytest.mark.parametrize("how", ["inner", "left", "right", "full", "left_semi", "left_anti"])
 def test_methods_agree(spark, or_left, or_keys, join, how):

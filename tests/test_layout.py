@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tunesmith.plans.inspect import rows_scanned
+from tunesmith.plans.inspect import rows_scanned, settings
 from tunesmith.sources import layout
 from tunesmith.sources.tables import table
 
@@ -83,3 +83,22 @@ def test_footprint_of_unsorted_table_touches_every_file(spark, orders, tmp_path)
     assert foot["bytes_hit"] == foot["bytes_total"] > 0
     none = layout.scan_footprint(spark, path, F.lit(None).cast("boolean")).first()
     assert none["rows_hit"] == none["files_hit"] == none["bytes_hit"] == 0
+
+
+def test_large_partition_value_is_split_over_files(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 10 == 0, "cold").otherwise("hot").alias("g"), "id", F.sha2(F.col("id").cast("string"), 256).alias("t")
+    )
+    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="2MB"):
+        layout.write_partitioned(df.repartition(8), path, "g")
+    found = spark.read.parquet(path)
+    files = {r["g"]: r["n"] for r in found.groupBy("g").agg(F.count_distinct("_metadata.file_path").alias("n")).collect()}
+    assert files["hot"] > 3 and files["cold"] <= 2
+    assert found.count() == 200_000
+
+
+def test_number_of_files_follows_the_size(spark, orders, monkeypatch):
+    assert layout.files_for(orders) == 1 and layout.files_for(orders, least=8) == 8
+    monkeypatch.setattr(layout, "FILE_BYTES", 500_000)
+    assert layout.files_for(orders) == 6

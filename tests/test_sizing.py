@@ -1,0 +1,51 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tunesmith.operators import joins
+from tunesmith.plans import sizing
+from tunesmith.plans.inspect import plan_nodes, settings
+
+
+@pytest.mark.parametrize("text, size", [("10485760b", 10 << 20), ("10485760", 10 << 20), ("64MB", 64 << 20), ("2g", 2 << 30), ("-1", -1)])
+def test_broadcast_limit(spark, text, size):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=text):
+        assert sizing.broadcast_limit(spark) == size
+
+
+def test_bytes_are_counted_not_estimated(spark):
+    one = spark.range(1).withColumnRenamed("id", "k")
+    many = one.select("k", F.explode(F.sequence(F.lit(1), F.lit(500_000))).alias("n"), F.lit("some more text").alias("t"))
+    assert sizing.fits_broadcast(one)
+    # The estimate ignores what explode adds.
+    assert sizing.measured_bytes(many) > 10 << 20
+    assert not sizing.fits_broadcast(many)
+    big = spark.range(10).withColumnRenamed("id", "x")
+    assert "BroadcastHashJoin" in plan_nodes(joins.broadcast_join(big, one, [("x", "k")]))
+
+
+def test_bytes_of_long_and_nested_values(spark):
+    df = spark.range(10).select(F.repeat(F.lit("é"), 1000).alias("s"), F.sequence(F.lit(1), F.lit(1000)).alias("a"))
+    assert sizing.measured_bytes(df) > 10 * (2000 + 3000)
+    assert sizing.measured_bytes(df.where("false")) == 0
+
+
+def test_far_too_large_tables_are_not_counted(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "measured_bytes", lambda df: pytest.fail("counted"))
+    huge = spark.range(10**12)
+    assert not sizing.fits_broadcast(huge)
+
+
+def test_a_table_of_unknown_size_is_not_broadcast(spark):
+    # Spark has no estimate for rows that come from Python.
+    assert not sizing.fits_broadcast(spark.createDataFrame([(1,)], "k int"))
+
+
+def test_broadcasts_can_be_off(spark):
+    assert not sizing.fits_broadcast(spark.range(1), -1)
+
+
+def test_scan_tasks(spark):
+    with settings(spark, spark__sql__files__maxPartitionBytes="1000"):
+        assert sizing.scan_tasks(spark.range(1000)) == 8
+        assert not sizing.one_task_reads(spark.range(1000))
+    assert sizing.one_task_reads(spark.range(1000))
