@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession, functions as F
@@ -94,7 +93,6 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -98,14 +98,27 @@ def test_running_total_same_type_with_and_without_hot_groups(spark):
     assert plain.schema["s"].dataType == adv.running_total(df, ["g"], ["id"], "v", "s", 5).schema["s"].dataType
 
 
-def test_star_join(spark):
-    fact = spark.createDataFrame([(1, 1, 5), (1, 2, 6), (2, 1, 7), (9, 1, 8), (None, 1, 9)], "a int, b int, v int")
-    d1 = spark.createDataFrame([(1, "x", 7), (2, "y", 8)], "a1 int, n string, c1 int")
-    d2 = spark.createDataFrame([(1, "p")], "b1 int, m string")
-    d3 = spark.createDataFrame([(7, "deep")], "c2 int, o string")
-    dims = [(d3, [("c1", "c2")]), (d1, [("a", "a1")]), (d2, [("b", "b1")])]
-    sql = "SELECT * FROM fact JOIN d1 ON a = a1 JOIN d2 ON b = b1 JOIN d3 ON c1 = c2"
-    tables = dict(fact=fact, d1=d1, d2=d2, d3=d3)
-    # A dimension reached through another one is joined when its key is there.
-    same_rows(adv.star_join(fact, dims), sql, **tables)
-    same_rows(adv.star_join(fact, [dims[1], dims[2], dims[0]], limit=-1), sql, **tables)
+@pytest.mark.parametrize("limit", [None, -1, 150])
+@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 2, 1, 0), (2, 0, 3, 1)])
+def test_star_join(spark, limit, order):
+    fact = spark.sql("SELECT * FROM VALUES (1, 1, 5), (1, 2, 6), (2, 1, 7), (9, 1, 8), (NULL, 1, 9) AS t(a, b, v)")
+    d1 = spark.sql("SELECT * FROM VALUES (1, 'x', 7), (2, 'y', 8) AS t(a1, n, c1)")
+    d2 = spark.sql("SELECT * FROM VALUES (1, 'p') AS t(b1, m)")
+    # d3 is reached through d1, and d4 through d3.
+    d3 = spark.sql("SELECT * FROM VALUES (7, 'deep', 4), (8, 'deep', 5) AS t(c2, o, e1)")
+    d4 = spark.sql("SELECT * FROM VALUES (4, 'deeper') AS t(e2, q)")
+    dims = [(d3, [("c1", "c2")]), (d1, [("a", "a1")]), (d4, [("e1", "e2")]), (d2, [("b", "b1")])]
+    same_rows(
+        adv.star_join(fact, [dims[i] for i in order], limit),
+        "SELECT * FROM fact JOIN d1 ON a = a1 JOIN d2 ON b = b1 JOIN d3 ON c1 = c2 JOIN d4 ON e1 = e2",
+        fact=fact,
+        d1=d1,
+        d2=d2,
+        d3=d3,
+        d4=d4,
+    )
+
+
+def test_star_join_without_a_key(spark):
+    with pytest.raises(ValueError):
+        adv.star_join(spark.range(1), [(spark.range(1).toDF("x"), [("nowhere", "x")])])

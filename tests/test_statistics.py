@@ -98,6 +98,19 @@ def test_layout_candidates_reject_skewed_bucket_keys(spark):
     assert found == {("id", "bucket"): 5.0, ("few", "partition"): 3.0, ("few", "sort"): 2.25}
 
 
+def test_layout_candidates_are_ranked_by_role(spark):
+    df = spark.range(1000).select("id", (F.col("id") % 4).alias("few"), (F.col("id") % 10).alias("ten"))
+    uses = spark.sql("SELECT * FROM VALUES ('few', 'eq', 3), ('ten', 'range', 8), ('id', 'range', 1) AS t(column_name, kind, uses)")
+    ranks = {(r["role"], r["rank"]): r["column_name"] for r in design.layout_candidates(df, uses, 100).collect()}
+    assert ranks == {
+        ("partition", 1): "ten",
+        ("partition", 2): "few",
+        ("sort", 1): "ten",
+        ("sort", 2): "few",
+        ("sort", 3): "id",
+    }
+
+
 @pytest.mark.parametrize("hot_rows", [None, 10])
 def test_percentiles(t, hot_rows):
     sql = " UNION ALL ".join(

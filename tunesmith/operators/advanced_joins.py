@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tunesmith.functions.exact import any_null, spread_hash
 from tunesmith.plans.ordered import last_value, running_sum
-from tunesmith.plans.sizing import fits_broadcast
+from tunesmith.plans.sizing import broadcast_limit, estimated_bytes, fits_broadcast, measured_bytes
 from tunesmith.plans.skew import equi_join, key_pairs, skew_join
 
 
@@ -109,23 +111,48 @@ def salted_join(l: DataFrame, r: DataFrame, on, how: str = "inner", hot_rows: in
 def star_join(fact: DataFrame, dims, limit: int | None = None, **skew) -> DataFrame:
     """Join a fact table with several (dimension, keys) pairs.
 
-    Small dimensions are broadcast, so the fact table is read once and not
-    moved; a partition column among the keys is pruned at run time. A dimension
-    over the limit is joined by shuffle, after the others have thinned the fact.
+    A dimension reached through another one is folded into that one first, so
+    its filter thins the dimension and not the fact. Small dimensions are
+    broadcast: the fact table is read once and not moved, and a partition
+    column among the keys is pruned at run time. A dimension over the limit is
+    joined by shuffle, after the small ones have thinned the fact.
     """
-    waiting = [(dim, on, fits_broadcast(dim, limit)) for dim, on in dims]
-    while waiting:
-        # A dimension reached through another one waits for its key.
-        ready = [d for d in waiting if all(k in fact.columns for k, _ in key_pairs(d[1]))]
-        if not ready:
-            raise ValueError(f"no such join keys: {[on for _, on, _ in waiting]}")
-        chosen = next((d for d in ready if d[2]), ready[0])
-        dim, on, small = chosen
-        fact = equi_join(fact, F.broadcast(dim), on) if small else skew_join(fact, dim, on, "inner", **skew)
-        waiting = [d for d in waiting if d is not chosen]
+    limit = broadcast_limit(fact.sparkSession) if limit is None else limit
+
+    def joined(df, dim):
+        if dim.small:
+            return equi_join(df, F.broadcast(dim.rows), dim.on)
+        return skew_join(df, dim.rows, dim.on, "inner", **skew)
+
+    near, far = [], []
+    for rows, on in dims:
+        dim = _Dimension(rows, key_pairs(on), fits_broadcast(rows, limit))
+        (near if all(k in fact.columns for k, _ in dim.on) else far).append(dim)
+    # From the outside in: a dimension is folded when none hangs on it any more.
+    while far:
+        leaf = next((d for d in far if not any(e is not d and e.hangs_on(d) for e in far)), None)
+        home = leaf and next((d for d in near + far if d is not leaf and leaf.hangs_on(d)), None)
+        if not home:
+            raise ValueError(f"no table with these join keys: {[d.on for d in far]}")
+        home.rows = joined(home.rows, leaf)
+        # The size of two joined tables is not known from their own.
+        home.small = home.small and leaf.small and measured_bytes(home.rows) <= limit
+        far.remove(leaf)
+    for dim in sorted(near, key=lambda d: (not d.small, estimated_bytes(d.rows))):
+        fact = joined(fact, dim)
     return fact
 
 
+@dataclass(eq=False)
+class _Dimension:
+    rows: DataFrame
+    on: list
+    small: bool
+
+    def hangs_on(self, other) -> bool:
+        return all(k in other.rows.columns for k, _ in self.on)
+
+
 def running_total(df: DataFrame, by, order, value: str, name: str = "running", hot_rows: int | None = None):
     """Sum of ``value`` over the group's rows up to this one.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tunesmith.plans.ordered import previous_value
 from tunesmith.sources.scratch import stored
@@ -119,6 +119,8 @@ def layout_candidates(
     sort       as many uses as eq + range, weighted by how many values there
                are to tell apart (1 - 1/values)
     bucket     join uses, and no value has more than ``max_key_share`` of rows
+
+    Columns without a score in a role are left out; ``rank`` is within the role.
     """
     used = [r[0] for r in predicates.select("column_name").distinct().collect()]
     profile = column_selectivity(df, [c for c in df.columns if c in used])
@@ -151,4 +153,7 @@ def layout_candidates(
         F.struct(F.lit("sort").alias("role"), F.round(filters * tell_apart, 6).alias("score")),
         F.struct(F.lit("bucket").alias("role"), F.coalesce(bucket, F.lit(0.0)).alias("score")),
     )
-    return seen.select("column_name", "rows", "distinct_values", "max_rows", F.inline(scored)).where("score > 0")
+    found = seen.select("column_name", "rows", "distinct_values", "max_rows", F.inline(scored)).where("score > 0")
+    # At most one row per column and role.
+    best = Window.partitionBy("role").orderBy(F.col("score").desc(), "column_name")
+    return found.withColumn("rank", F.row_number().over(best))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tunesmith.functions.exact import all_of, any_null, null_safe, spread_hash
+from tunesmith.functions.exact import any_null, null_safe, spread_hash
 from tunesmith.plans.sizing import fits_broadcast, shuffle_partitions
 from tunesmith.plans.skew import ONE_SIDED, equi_join, key_pairs, skew_join
 

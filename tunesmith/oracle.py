@@ -93,7 +93,8 @@ def _layout_rule() -> str:
             UNION ALL
             SELECT column_name, rows, distinct_values, max_rows, 'bucket',
                    CASE WHEN max_rows > rows * 0.05 THEN 0.0 ELSE CAST(joins AS DOUBLE) END FROM p)
-        SELECT * FROM scored WHERE score > 0"""
+        SELECT *, CAST(row_number() OVER (PARTITION BY role ORDER BY score DESC, column_name) AS INTEGER) AS rank
+        FROM scored WHERE score > 0"""
 
 
 ORACLE = {

@@ -79,8 +79,9 @@ def ordered_scan(
     cold_rows, hot_part = split_hot(df, by, hot)
     cold, scanned = in_one_task(cold_rows), in_parts(hot_part, total)
     # A carried sum may have a wider type.
-    made = [c for c in cold.columns if c not in df.columns]
-    return cold.unionByName(scanned.withColumns({c: F.col(c).cast(cold.schema[c].dataType) for c in made}))
+    kinds = {c: cold.schema[c].dataType for c in cold.columns if c not in df.columns}
+    wider = {c: k for c, k in kinds.items() if k.simpleString() != scanned.schema[c].dataType.simpleString()}
+    return cold.unionByName(scanned.withColumns({c: F.col(c).cast(k) for c, k in wider.items()}))
 
 
 def _by_parts(df, by, order, name, local, summary, carry, merge, whole, parts):

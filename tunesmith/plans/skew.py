@@ -16,7 +16,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tunesmith.functions.exact import all_of, any_null, null_safe, spread_hash
-from tunesmith.plans.sizing import broadcast_limit, estimated_bytes, if_small, measured_bytes, one_task_reads, shuffle_partitions
+from tunesmith.plans.sizing import (
+    broadcast_limit,
+    estimated_bytes,
+    if_small,
+    measured_bytes,
+    one_task_reads,
+    shuffle_partitions,
+)
 from tunesmith.sources.scratch import stored
 
 # Rows of one key that a single task handles without trouble.
@@ -69,7 +76,7 @@ def sketch_keys(sides, hot_rows: int, null_is_key: bool = False) -> list[Sketch]
     """Sketch the keys of one or more (table, keys) in one job.
 
     ``null_is_key`` counts NULL as a key, as grouping does; a join does not.
-    The sketch finds every key with more than a few thousandths of the rows.
+    Every key with more than a thousandth of the rows is found.
     """
     if not sides:
         return []
