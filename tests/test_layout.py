@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tunesmith.operators import lookup
 from tunesmith.plans.inspect import rows_scanned, settings
 from tunesmith.sources import layout
 from tunesmith.sources.tables import table
@@ -102,3 +103,32 @@ def test_number_of_files_follows_the_size(spark, orders, monkeypatch):
     assert layout.files_for(orders) == 1 and layout.files_for(orders, least=8) == 8
     monkeypatch.setattr(layout, "FILE_BYTES", 500_000)
     assert layout.files_for(orders) == 6
+
+
+def test_lookups_skip_rows_of_a_clustered_table(spark, orders, tmp_path):
+    by_date, by_key = str(tmp_path / "by-date"), str(tmp_path / "by-key")
+    layout.write_clustered(orders, by_date, "o_orderdate", files=8)
+    layout.write_clustered(orders, by_key, "o_orderkey", files=8)
+    dated, keyed = spark.read.parquet(by_date), spark.read.parquet(by_key)
+
+    def plain(df):
+        return sorted(tuple(r) for r in df.select(orders.columns).collect())
+
+    days = spark.sql("SELECT timestamp_ntz'1995-02-03' AS day UNION ALL SELECT timestamp_ntz'1995-02-07'")
+    spring = [(dt.datetime(1995, 3, 1), dt.datetime(1995, 3, 31))]
+    found = lookup.in_list(dated, "o_orderdate", days, spring)
+    assert plain(found) == plain(lookup.in_list(orders, "o_orderdate", days, spring))
+    assert rows_scanned(found) < 50_000
+
+    after = [dt.datetime(1995, 2, 3), 5_000]
+    for ways in (("desc", "asc"), ("asc", "desc")):
+        order = list(zip(["o_orderdate", "o_orderkey"], ways))
+        page = lookup.keyset_page(dated, order, after, 30)
+        assert plain(page) == plain(lookup.keyset_page(orders, order, after, 30))
+        if ways[0] == "desc":
+            assert rows_scanned(page) < 50_000
+
+    dear = [("o_totalprice", "desc"), ("o_orderkey", "asc")]
+    best = lookup.late_fetch(keyed, "o_orderkey", dear, 2, ["o_custkey", "o_orderpriority"])
+    assert best.collect() == lookup.late_fetch(orders, "o_orderkey", dear, 2, ["o_custkey", "o_orderpriority"]).collect()
+    assert rows_scanned(best) < 50_000

@@ -8,6 +8,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
+# Row groups are skipped on a date, but not on a timestamp without a zone or on
+# one in the older 96-bit form. A clustered table has a date next to such a key.
+DAY = "__day"
+
+
+def at_least(df: DataFrame, col: str, value: Column) -> Column:
+    """``col >= value``, said of the date next to it too if there is one."""
+    cond, day = F.col(col) >= value, col + DAY
+    return cond & (F.col(day) >= value.cast("date")) if day in df.columns else cond
+
+
+def at_most(df: DataFrame, col: str, value: Column) -> Column:
+    cond, day = F.col(col) <= value, col + DAY
+    return cond & (F.col(day) <= value.cast("date")) if day in df.columns else cond
+
+
 def typed(value, kind: T.DataType) -> Column:
     """A literal of a column's own type, which a scan can use in its filter.
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from tunesmith.functions.exact import all_of, any_of, typed
+from tunesmith.functions.exact import DAY, all_of, any_of, at_least, at_most, typed
 from tunesmith.operators.joins import broadcast_join
 from tunesmith.plans.ordered import row_numbers
 from tunesmith.plans.sizing import scan_tasks
@@ -126,7 +126,9 @@ def _any_key(df: DataFrame, col: str, keys) -> Column:
     found = F.col(col).isin([typed(k, kind) for k in given]) if given else F.lit(False)
     if len(given) > 1:
         # A long list reaches the scan as its range only; say it plainly.
-        found = found & F.col(col).between(typed(min(given), kind), typed(max(given), kind))
+        found = found & at_least(df, col, typed(min(given), kind)) & at_most(df, col, typed(max(given), kind))
+        if col + DAY in df.columns:
+            found = found & F.col(col + DAY).isin([typed(k, kind).cast("date") for k in given])
     return found | F.col(col).isNull() if len(given) < len(keys) else found
 
 
@@ -139,7 +141,7 @@ def in_list(df: DataFrame, col: str, values: DataFrame, ranges=(), limit: int |
     """
     listed = values.select(F.col(values.columns[0]).alias("__v")).where(F.col("__v").isNotNull())
     kind = df.schema[col].dataType
-    in_range = any_of([F.col(col).between(typed(lo, kind), typed(hi, kind)) for lo, hi in ranges])
+    in_range = any_of([at_least(df, col, typed(lo, kind)) & at_most(df, col, typed(hi, kind)) for lo, hi in ranges])
     if _as_literal(listed, "__v"):
         few = [row[0] for row in listed.limit(LITERAL_LIST + 1).collect()]
         if len(few) <= LITERAL_LIST:
@@ -182,7 +184,9 @@ def keyset_page(df: DataFrame, order, after, n: int) -> DataFrame:
         (first, way), v = order[0], after[0]
         if v is not None:
             # Implied by the rest, but in a form that a scan can use.
-            start = F.col(first) <= v if way == "desc" else F.col(first) >= v
-            page = (start | F.col(first).isNull()) & page
+            seen = [(first, v)] + ([(first + DAY, v.cast("date"))] if first + DAY in df.columns else [])
+            for c, bound in seen:
+                start = F.col(c) <= bound if way == "desc" else F.col(c) >= bound
+                page = (start | F.col(c).isNull()) & page
         df = df.where(page)
     return top_n(df, _sort(order), n)

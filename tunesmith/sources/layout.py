@@ -10,14 +10,10 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tunesmith.functions.exact import all_of, spread_hash, typed
+from tunesmith.functions.exact import DAY, all_of, at_least, at_most, spread_hash, typed
 from tunesmith.operators.design import order_switches
 from tunesmith.plans.sizing import estimated_bytes
 
-# Row groups are skipped on a date, but not on a timestamp without a zone or
-# on one in the older 96-bit form. A timestamp key gets a date next to it.
-DAY = "__day"
-
 FILE_BYTES = 512 << 20
 
 
@@ -33,7 +29,8 @@ def files_for(df: DataFrame, least: int = 1) -> int:
 def write_clustered(df: DataFrame, path: str, keys, files: int | None = None) -> None:
     """Write Parquet files that follow each other in key order.
 
-    Rows of one hot key value are spread over as many files as they fill.
+    Rows of one hot key value are spread over as many files as they fill. A
+    timestamp key gets a column ``<key>__day`` that scans can skip by.
     """
     files = files or files_for(df)
     keys = _as_list(keys)
@@ -47,14 +44,11 @@ def write_clustered(df: DataFrame, path: str, keys, files: int | None = None) ->
 def key_range(spark: SparkSession, path: str, key: str, lo=None, hi=None, cols=None) -> DataFrame:
     """Rows with ``lo <= key <= hi`` (either may be None) of a clustered table."""
     df = spark.read.parquet(path)
-    day = key + DAY
-    conds = []
-    for bound, reach in ((lo, Column.__ge__), (hi, Column.__le__)):
-        if bound is not None:
-            value = typed(bound, df.schema[key].dataType)
-            conds.append(reach(F.col(key), value))
-            if day in df.columns:
-                conds.append(reach(F.col(day), value.cast("date")))
+    kind, conds = df.schema[key].dataType, []
+    if lo is not None:
+        conds.append(at_least(df, key, typed(lo, kind)))
+    if hi is not None:
+        conds.append(at_most(df, key, typed(hi, kind)))
     cols = cols or [c for c in df.columns if not c.endswith(DAY)]
     return df.where(all_of(conds)).select(*cols)
 
