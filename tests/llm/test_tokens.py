@@ -56,7 +56,7 @@ def test_merges_take_the_leftmost_of_equal_rank():
 
 def test_counts_of_odd_rows(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    schema = T.StructType().add("doc_id", "long").add("text", "string").add("N_TOKENS", "string").add("m", "map<string,int>")
+    schema = T.StructType().add("doc_id", "long").add("text", "string").add("N_TOKENS", "string").add("m", T.MapType(T.StringType(), T.IntegerType()))
     rows = [(1, None, "x", None), (1, "", "x", {"a": 1}), (None, "hello world", None, None), (2, "é" * 100_000, "y", None), (2, "hello world", "y", None)]
     df = spark.createDataFrame(rows, schema)
     got = sorted(map(tuple, token_counts.token_counts(df, path, limit=2).collect()), key=str)

@@ -5,16 +5,26 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tunesmith.llm import token_counts
+from tunesmith.llm import bit_planes, token_counts
+from tunesmith.llm.tokens import word_ids
+from tunesmith.sources.scratch import new_path
 from tunesmith.sources.tables import table
 
-BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+END_OF_DOCUMENT = 2
 
 
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op7_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
+    path, vocabulary = new_path(spark, "planes"), public_tokenizers.path(WORD_BPE)
+    bit_planes.write_planes(table(spark, folder, "documents"), path, lambda: word_ids(vocabulary), END_OF_DOCUMENT)
+    return bit_planes.document_starts(bit_planes.read_planes(spark, path))
+
+
 QUERIES = {
+    "op7_bit_planes": op7_bit_planes,
     "op10_token_counts": op10_token_counts,
 }
