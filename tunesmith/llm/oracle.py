@@ -1,3 +1,56 @@
 """SQL of those queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+_RULE_NAMES = ("base", "symbols", "lines")
+
+
+def _prior(rule: str) -> str:
+    return f"""
+  SELECT '{rule}' AS rule, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1.0), 1000.0) ELSE 1000.0 END AS k
+  FROM (SELECT m, (SELECT sum(n * (x_{rule} / n - m) ** 2) / sum(n) FROM hosts) AS v
+        FROM (SELECT sum(x_{rule}) / sum(n) AS m FROM hosts))"""
+
+
+HOST_RULES = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents),
+words AS (
+  SELECT r, w, row_number() OVER (PARTITION BY r ORDER BY i) AS i
+  FROM (SELECT r, unnest(string_split_regex(t, '[\x20\x09-\x0D]+')) AS w, generate_subscripts(string_split_regex(t, '[\x20\x09-\x0D]+'), 1) AS i FROM docs)
+  WHERE w <> ''),
+sized AS (SELECT r, count(*) AS n_words, sum(length(w)) AS word_chars FROM words GROUP BY r),
+windows AS (
+  SELECT r, i, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS g, lead(w, 4) OVER o AS last
+  FROM words WINDOW o AS (PARTITION BY r ORDER BY i)),
+twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows WHERE last IS NOT NULL) WHERE n > 1),
+repeated AS (
+  SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM twice) GROUP BY r),
+lines AS (
+  SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+counts AS (
+  SELECT doc_id, source, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+  FROM docs LEFT JOIN sized USING (r) LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)),
+flags AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS f_base,
+         100 * n_symbols > 30 * n_words AS f_symbols, 100 * n_dup_lines > 30 * n_lines AS f_lines FROM counts),
+hosts AS (
+  SELECT source, count(*) AS n, count(*) FILTER (f_base) AS x_base, count(*) FILTER (f_symbols) AS x_symbols, count(*) FILTER (f_lines) AS x_lines
+  FROM flags WHERE source IS NOT NULL GROUP BY source),
+priors AS ({" UNION ALL ".join(map(_prior, _RULE_NAMES))}),
+verdicts AS (
+  SELECT source, bool_or((x + m * k) / (n + k) > 0.5) AS host_failed
+  FROM (SELECT source, n, unnest(['base', 'symbols', 'lines']) AS rule, unnest([x_base, x_symbols, x_lines]) AS x FROM hosts) JOIN priors USING (rule)
+  GROUP BY source)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, f_base AS base_failed,
+       NOT f_base AND NOT coalesce(host_failed, false) AS kept
+FROM flags LEFT JOIN verdicts USING (source)
+"""
+
+ORACLE: dict[str, str] = {
+    "op4_host_rules": HOST_RULES,
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tunesmith.llm import bit_planes, secret_scan, token_counts
+from tunesmith.llm import bit_planes, host_rules, secret_scan, token_counts
 from tunesmith.llm.tokens import word_ids
 from tunesmith.sources.scratch import new_path
 from tunesmith.sources.tables import table
@@ -18,6 +18,10 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op4_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return host_rules.quality(table(spark, folder, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(table(spark, folder, "documents"))
 
@@ -29,6 +33,7 @@ def op7_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_host_rules": op4_host_rules,
     "op6_secret_scan": op6_secret_scan,
     "op7_bit_planes": op7_bit_planes,
     "op10_token_counts": op10_token_counts,
