@@ -1,0 +1,102 @@
+import gzip
+import hashlib
+
+import pytest
+from pyspark.sql import types as T
+
+from tunesmith.llm import warc as W
+
+BIG = "ä" * 600
+SCHEMA = T.StructType([T.StructField(n, T.LongType() if n == "page_id" else T.StringType()) for n in ("page_id", "url", "html", "U", "payload_digest")])
+ROWS = [(1, "http://a/\r\nX: y", BIG, "x", None), (5, None, BIG, None, "q"), (3, "u", BIG, None, None), (2, "u", "small", None, None), (4, "u", "small", None, None)]
+ROWS += [(None, "u", BIG, None, None), (6, "u", None, None, None), (7, "u", "", None, None), (8, "u", "a\r\n\r\nWARC/1.1\r\n" * 200, None, None), (9, "u", "long " * 400_000, None, None), (9, "u", "long " * 400_000, None, None)]
+
+
+def expected(rows):
+    out = []
+    for page, _, html, *_ in rows:
+        raw = (html or "").encode()
+        same = [p for p, _, h, *_ in rows if h == html and p is not None]
+        revisit = len(raw) >= 1000 and bool(same) and page != max(same)
+        out.append((page, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", max(same) if revisit else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("members", [True, False])
+@pytest.mark.parametrize("small", [True, False])
+def test_round_trip(spark, tmp_path, members, small, monkeypatch):
+    if not small:
+        monkeypatch.setattr(W, "fits_broadcast", lambda df, limit: False)
+    path = str(tmp_path / "w")
+    W.write_warc(spark.createDataFrame(ROWS, SCHEMA).repartition(3), path, members=members)
+    found = W.read_warc(spark, path)
+    assert sorted(map(tuple, W.page_records(found).collect()), key=str) == expected(ROWS)
+    assert W.gaps(found).collect() == []
+    assert {r["url"] for r in found.collect()} == {"http://a/%0D%0AX: y", None, "u"}
+
+
+def test_empty_table(spark, tmp_path):
+    path = str(tmp_path / "w")
+    W.write_warc(spark.createDataFrame([], SCHEMA), path)
+    assert W.read_warc(spark, path).collect() == []
+
+
+def plain(k, body=b"x" * 50, digest=True):
+    stated = f"WARC-Block-Digest: sha1:{hashlib.sha1(body).hexdigest()}\r\n" if digest else ""
+    return f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: {k}\r\n{stated}Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+
+def ids(content):
+    found = list(W.salvage(content))
+    edges = [f[:2] for f in found]
+    assert not edges or edges[0][0] == 0 or gzip.compress(b"", mtime=0) in content
+    return [f[3]["warc-record-id"] if f[3] else (f[1] - f[0], f[2]) for f in found]
+
+
+def test_salvage_of_plain_records():
+    a, b, c = plain(1), plain(2), plain(3)
+    assert ids(a + b + c) == ["1", "2", "3"] and ids(b"") == []
+    hurt = bytearray(b)
+    hurt[-10] ^= 1
+    assert ids(a + bytes(hurt) + c) == ["1", (len(b), "the block's digest differs"), "3"]
+    assert ids(a + b[:-30] + c) == ["1", (len(b) - 30, "no end mark after the block"), "3"]
+    assert ids(a + b[20:] + c) == ["1", (len(b) - 20, "no version line"), "3"]
+    assert ids(a + b"junk" * 10 + c + b"tail") == ["1", (40, "no version line"), "3", (4, "no version line")]
+    assert ids(a + b.replace(b"Content-Length: 50", b"Content-Length: 99999") + c)[::2] == ["1", "3"]
+    assert ids(a + b.replace(b"Content-Length", b"Content-Lenght") + c)[::2] == ["1", "3"]
+    assert ids(a[:-1]) == [(len(a) - 1, "no end mark after the block")]
+    assert ids(plain(1, digest=False) + c) == ["1", "3"]
+    sha = W._is_sha1("3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ", b"")
+    assert sha and not W._is_sha1("3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYA", b"")
+
+
+def test_salvage_of_members():
+    a, b, c = (gzip.compress(plain(k, bytes([k]) * 5000 + b"%d" % k), mtime=0) for k in (1, 2, 3))
+    assert ids(a + b + gzip.compress(b"", mtime=0) + c) == ["1", "2", "3"]
+    for place in range(0, len(b), 7):
+        hurt = bytearray(b)
+        hurt[place] ^= 0x55
+        got = ids(a + bytes(hurt) + c)
+        assert got[0] == "1" and got[-1] == "3" and len(got) == 3
+    assert ids(a + b[: len(b) // 2] + c)[::2] == ["1", "3"]
+    assert ids(a + c[:-3])[0] == "1" and ids(a + c[:-3])[1][1] in ("the member is cut off",)
+    assert ids(gzip.compress(plain(1) + plain(2), mtime=0) + c) == [(len(gzip.compress(plain(1) + plain(2), mtime=0)), "the member holds more than a record"), "3"]
+
+
+def test_every_byte_counts_once():
+    content = b"x" + plain(1) + b"yy" + plain(2)[:-5] + gzip.compress(plain(3), mtime=0) + plain(4)
+    at = 0
+    for start, end, *_ in W.salvage(content):
+        assert start == at and end > start
+        at = end
+    assert at == len(content)
+
+
+def test_damage_in_stored_archives(spark, tmp_path):
+    folder = tmp_path / "w"
+    folder.mkdir()
+    (folder / "a.warc").write_bytes(plain(1) + b"broken" + plain(2))
+    (folder / "b.warc").write_bytes(b"")
+    found = W.read_warc(spark, str(folder))
+    assert [tuple(r)[1:] for r in W.gaps(found).collect()] == [(len(plain(1)), 6, "no version line")]
+    assert found.where("problem is null").count() == 2

@@ -51,6 +51,31 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM flags LEFT JOIN verdicts USING (source)
 """
 
+WARC = """
+WITH pages2 AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT payload_digest, max(page_id) AS first FROM pages2 WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM pages2 LEFT JOIN firsts USING (payload_digest)
+"""
+
+NEAREST = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+one AS (SELECT vec_id, min(e) AS e FROM v GROUP BY vec_id),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         sqrt(list_reduce(list_transform(list_zip(q.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda s, x: s + x)) AS score
+  FROM one q JOIN one c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM scored) WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_rabitq": NEAREST,
+    "op2_warc": WARC,
     "op4_host_rules": HOST_RULES,
 }

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunesmith.llm import bit_planes, host_rules, secret_scan, token_counts
+from tunesmith.llm import bit_planes, host_rules, rabitq, secret_scan, token_counts, warc
 from tunesmith.llm.tokens import word_ids
 from tunesmith.sources.scratch import new_path
 from tunesmith.sources.tables import table
@@ -18,6 +18,16 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op1_rabitq(spark: SparkSession, folder: str) -> DataFrame:
+    return rabitq.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write_warc(table(spark, folder, "pages"), path)
+    return warc.page_records(warc.read_warc(spark, path))
+
+
 def op4_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return host_rules.quality(table(spark, folder, "documents"))
 
@@ -33,6 +43,8 @@ def op7_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_rabitq": op1_rabitq,
+    "op2_warc": op2_warc,
     "op4_host_rules": op4_host_rules,
     "op6_secret_scan": op6_secret_scan,
     "op7_bit_planes": op7_bit_planes,
