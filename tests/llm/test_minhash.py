@@ -1,0 +1,126 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import types as T
+
+from tunesmith.llm import components as C, minhash as M
+
+SCHEMA = T.StructType([T.StructField(n, T.LongType() if n == "doc_id" else T.StringType()) for n in ("doc_id", "text", "NODE", "digest", "k1")])
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def brute(rows, percent):
+    """(id, set size, smallest id reached) of each row, by all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
+                up[root(i)] = root(j)
+    least = {}
+    for i, (k, _) in enumerate(rows):
+        if k is not None:
+            least[root(i)] = min(least.get(root(i), k), k)
+    return sorted(((k, len(s), least.get(root(i)) if s else k) for i, ((k, _), s) in enumerate(zip(rows, sets))), key=str)
+
+
+def corpus(n, seed=1):
+    """Groups of texts with a few words changed, around the threshold, sharing passages."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(5000)}"
+    passage, rows = [word() for _ in range(60)], []
+    while len(rows) < n:
+        base = [word() for _ in range(rng.choice([3, 5, 6, 40, 120]))]
+        if rng.random() < 0.3:
+            base += passage
+        for _ in range(rng.choice([1, 1, 2, 12])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 5])):
+                copy[rng.randrange(len(copy))] = word()
+            rows.append((len(rows), rng.choice(["", "  "]) + rng.choice([" ", "\n"]).join(copy).replace("w1", rng.choice(["w1", "W1"]))))
+    rng.shuffle(rows)
+    return rows
+
+
+def got(spark, rows, percent):
+    df = spark.createDataFrame([(k, t, "x", None, "y") for k, t in rows], SCHEMA).repartition(3)
+    found = M.near_duplicates(df, percent).collect()
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
+    return sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found), key=str)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_equals_all_pairs(spark, percent):
+    rows = corpus(500) + [(900, None), (901, ""), (902, " \n "), (903, "one two"), (904, "ONE\ttwo"), (905, "one two three")]
+    assert got(spark, rows, percent) == brute(rows, percent)
+
+
+def test_blocks_of_a_large_group(spark, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 20)
+    monkeypatch.setattr(M, "PAIRS", 50)
+    rng = random.Random(2)
+    base, rows = [f"w{k}" for k in range(150)], []
+    for k in range(150):
+        copy = list(base)
+        for _ in range(rng.randrange(4)):
+            copy[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    assert got(spark, rows, 85) == brute(rows, 85)
+
+
+def test_odd_rows(spark):
+    long = " ".join(f"v{k}" for k in range(50_000))
+    rows = [(5, "a b c d e f g"), (5, "a b c d e f g"), (None, "a b c d e f g"), (None, "null only here"), (7, long), (6, long + " end"), (8, None), (8, "")]
+    assert got(spark, rows, 85) == brute(rows, 85)
+    assert got(spark, [], 85) == [] and got(spark, [(1, None)], 85) == [(1, 0, 1)]
+
+
+def test_one_of_each(spark):
+    rows = [(5, "a b c d e f g"), (5, "a b c d e f g"), (4, "A b c d e f g"), (None, "a b c d e f g"), (None, "p q"), (9, None), (9, None), (1, "z z z z z z")]
+    df = spark.createDataFrame([(k, t, "x", None, "y") for k, t in rows], SCHEMA)
+    kept = M.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted((tuple(r)[:2] for r in kept.collect()), key=str) == sorted([(4, "A b c d e f g"), (None, "p q"), (9, None), (9, None), (1, "z z z z z z")], key=str)
+
+
+def test_sequential_test_seldom_drops_a_pair_at_the_threshold():
+    rng, n = np.random.default_rng(3), M.bands_for(85) * M.ROWS
+    same = rng.random((4000, n)) < 0.85
+    sigs = np.concatenate([np.zeros((1, n), np.uint8), np.where(same, 0, 1).astype(np.uint8)])
+    kept, _, _ = M.promising(sigs, np.zeros(4000, int), np.arange(1, 4001), 85)
+    assert len(kept) == 4000
+    far = np.concatenate([np.zeros((1, n), np.uint8), (rng.random((4000, n)) > 0.5).astype(np.uint8)])
+    assert len(M.promising(far, np.zeros(4000, int), np.arange(1, 4001), 85)[0]) == 0
+
+
+def test_signature_agreement_estimates_similarity():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 1 << 63, 2000, np.uint64)
+    b = np.concatenate([a[:1800], rng.integers(0, 1 << 63, 200, np.uint64)])
+    sigs = M.signatures([np.sort(a), np.sort(b)], 600)
+    assert abs((sigs[0] == sigs[1]).mean() - 1800 / 2200) < 0.06
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    edges = [(k, k + 1) for k in range(0, 300)] + [(rng.randrange(1000, 2000), rng.randrange(1000, 2000)) for _ in range(600)] + [(5000, k) for k in range(4000, 4500)] + [(7, 7), (9, None)]
+    df = spark.createDataFrame(edges, "u long, v long").repartition(7)
+    forest = C.Forest()
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            forest.join(a, b)
+    nodes = {n for e in edges if None not in e and e[0] != e[1] for n in e}
+    assert sorted(map(tuple, C.components(df).collect())) == sorted((n, forest.root(n)) for n in nodes)
+    assert C.components(df.limit(0)).collect() == []

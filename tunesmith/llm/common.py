@@ -23,8 +23,8 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, size: str) -> DataFrame:
-    """Left join with a table that has one row per key and, in ``size``, the key's rows in ``left``.
+def lookup_join(left: DataFrame, right: DataFrame, key: str, size: str, how: str = "left") -> DataFrame:
+    """Left or inner join with a table that has one row per key and, in ``size``, the key's rows in ``left``.
 
     A key may hold any part of ``left``. Keys with a thousandth of all rows or more
     number 1,000 at most, whatever the data, and are broadcast; the rows of all other
@@ -38,9 +38,12 @@ def lookup_join(left: DataFrame, right: DataFrame, key: str, size: str) -> DataF
     hot = right.where((F.col(size) > limit) & F.col(key).isNotNull()).select(F.col(key).alias("__hot"), F.struct(*values).alias("__known"))
     cold = right.where((F.col(size) <= limit) & F.col(key).isNotNull()).select(F.col(key).alias("__cold"), F.struct(*values).alias("__found"), F.lit(0).alias("__spread"))
     marked = left.join(F.broadcast(hot), left[key] == hot["__hot"], "left")
-    looked = F.col("__hot").isNull() & F.col(key).isNotNull()
     narrow = [F.col(c) for c in left.columns]
     # A row that needs no partner gets a second key part that no partner has.
-    marked = marked.select(*narrow, "__known", F.when(looked, F.lit(0)).otherwise(F.xxhash64(*narrow) % 1_000_003 + 1_000_004).cast("int").alias("__deal"))
+    marked = marked.select(*narrow, "__known", "__hot", F.when(F.col("__hot").isNull() & F.col(key).isNotNull(), F.lit(0)).otherwise(F.xxhash64(*narrow) % 1_000_003 + 1_000_004).cast("int").alias("__deal"))
+    if how == "inner":
+        marked = marked.where(F.col(key).isNotNull())
     joined = marked.join(cold, (marked[key].eqNullSafe(cold["__cold"])) & (marked["__deal"] == cold["__spread"]), "left")
+    if how == "inner":
+        joined = joined.where(F.col("__hot").isNotNull() | F.col("__cold").isNotNull())
     return joined.select(*narrow, *[F.coalesce(F.col("__known")[c], F.col("__found")[c]).alias(c) for c in values])

@@ -74,7 +74,27 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM scored) WHERE rank <= 10
 """
 
+MINHASH = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS i, count(*) OVER (PARTITION BY doc_id) AS n
+  FROM (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+        FROM (SELECT doc_id, string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') AS ws FROM documents))
+  WHERE w <> ''),
+windows AS (
+  SELECT doc_id, i, n, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS g
+  FROM words WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+shingles AS (SELECT DISTINCT doc_id, g FROM windows WHERE i <= greatest(n - 4, 1)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes a ON x = a.doc_id JOIN sizes b ON y = b.doc_id WHERE 100 * c >= 85 * (a.n + b.n - c)),
+both AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, y FROM reach JOIN both ON r = x)
+SELECT doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op3_minhash": MINHASH,
     "op1_rabitq": NEAREST,
     "op2_warc": WARC,
     "op4_host_rules": HOST_RULES,

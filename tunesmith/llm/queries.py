@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunesmith.llm import bit_planes, host_rules, rabitq, secret_scan, token_counts, warc
+from tunesmith.llm import bit_planes, host_rules, minhash, rabitq, secret_scan, token_counts, warc
 from tunesmith.llm.tokens import word_ids
 from tunesmith.sources.scratch import new_path
 from tunesmith.sources.tables import table
@@ -28,6 +28,10 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.page_records(warc.read_warc(spark, path))
 
 
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), 85)
+
+
 def op4_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return host_rules.quality(table(spark, folder, "documents"))
 
@@ -45,6 +49,7 @@ def op7_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_rabitq": op1_rabitq,
     "op2_warc": op2_warc,
+    "op3_minhash": op3_minhash,
     "op4_host_rules": op4_host_rules,
     "op6_secret_scan": op6_secret_scan,
     "op7_bit_planes": op7_bit_planes,
