@@ -87,8 +87,8 @@ shingles AS (SELECT DISTINCT doc_id, g FROM windows WHERE i <= greatest(n - 4, 1
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (SELECT x, y FROM shared JOIN sizes a ON x = a.doc_id JOIN sizes b ON y = b.doc_id WHERE 100 * c >= 85 * (a.n + b.n - c)),
-both AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
-reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, y FROM reach JOIN both ON r = x)
+mutual AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, y FROM reach JOIN mutual ON r = x)
 SELECT doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """

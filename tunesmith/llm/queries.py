@@ -5,12 +5,12 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunesmith.llm import bit_planes, host_rules, minhash, rabitq, secret_scan, token_counts, warc
+from tunesmith.llm import bit_planes, host_rules, minhash, piece_sampling, rabitq, secret_scan, token_counts, warc
 from tunesmith.llm.tokens import word_ids
 from tunesmith.sources.scratch import new_path
 from tunesmith.sources.tables import table
 
-BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 END_OF_DOCUMENT = 2
 
 
@@ -36,6 +36,10 @@ def op4_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     return host_rules.quality(table(spark, folder, "documents"))
 
 
+def op5_piece_sampling(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_sampling.round_trips(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+
+
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.secrets(table(spark, folder, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_minhash": op3_minhash,
     "op4_host_rules": op4_host_rules,
+    "op5_piece_sampling": op5_piece_sampling,
     "op6_secret_scan": op6_secret_scan,
     "op7_bit_planes": op7_bit_planes,
     "op10_token_counts": op10_token_counts,
