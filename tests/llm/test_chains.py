@@ -1,0 +1,90 @@
+import numpy as np
+from pyspark.sql import types as T
+
+from tunesmith.llm import chains as C, queries
+
+SCHEMA = T.StructType([T.StructField(n, T.LongType() if n == "doc_id" else T.StringType()) for n in ("doc_id", "text", "REJECTED", "__p", "quality")])
+LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()), T.StructField("toxic", T.IntegerType())])
+
+
+def made(n, seed=1):
+    """Rows with a bad word in some, a symbol in others, and in a later category both."""
+    rng = np.random.default_rng(seed)
+    rows, labels = [], []
+    for _ in range(n):
+        words = [f"word{rng.integers(300)}" for _ in range(20)]
+        bad, odd = rng.random() < 0.3, rng.random() < 0.3
+        words += ["scumble"] * bad + ["###"] * odd
+        rows.append(" ".join(words))
+        labels.append([int(odd), int(bad)])
+    return rows, np.array(labels)
+
+
+def test_chain_learns_both_categories():
+    texts, labels = made(600)
+    chain = C.fit_chain(C.rows_of(texts), labels, np.arange(600) % C.FOLDS)
+    scorer, (others, truth) = C.Scorer(chain), made(300, 2)
+    p = np.array([scorer(t) for t in others])
+    assert ((p >= 0.5) == truth).mean() > 0.98
+    slow = np.column_stack([m.log_odds(C.rows_of(others), np.zeros((300, k)) if not k else np.log(p[:, :1] / (1 - p[:, :1]))) for k, m in enumerate(chain)])
+    assert np.allclose(1 / (1 + np.exp(-slow)), p, atol=1e-6)
+
+
+def test_later_models_use_earlier_ones():
+    texts, labels = made(800, 3)
+    rng = np.random.default_rng(4)
+    labels = np.column_stack([labels[:, 1], np.where(rng.random(800) < 0.9, labels[:, 1], 1 - labels[:, 1])])
+    chain = C.fit_chain(C.rows_of(texts), labels, np.arange(800) % C.FOLDS)
+    assert len(chain[0].earlier) == 0 and chain[1].earlier[0] > 0.05
+
+
+def test_out_of_fold_values_come_from_other_rows(monkeypatch):
+    seen = []
+    fit = C.fit
+
+    def spy(rows, before, y):
+        seen.append((len(rows), before.shape[1]))
+        return fit(rows, before, y)
+
+    monkeypatch.setattr(C, "fit", spy)
+    texts, labels = made(100)
+    C.fit_chain(C.rows_of(texts), labels, np.arange(100) % 5)
+    assert seen == [(80, 0)] * 5 + [(100, 0)] + [(80, 1)] * 5 + [(100, 1)]
+
+
+def test_one_class_or_none():
+    assert C.Scorer([C.fit([], np.zeros((0, 0)), np.zeros(0))])("x")[0] < 1e-6
+    rows = C.rows_of(["a b", "c"])
+    assert C.Scorer([C.fit(rows, np.zeros((2, 0)), np.ones(2))])(None)[0] > 0.999
+
+
+def test_rows(spark):
+    texts, labels = made(400)
+    rows = [(k, t, "x", None, "q") for k, t in enumerate(texts)] + [(None, "scumble here", None, None, None), (900, None, None, None, None), (900, "", None, None, None), (901, "word1 " * 100_000 + "scumble", None, None, None)]
+    said = [(k, 1 - int(a), int(b)) for k, (a, b) in enumerate(labels[:300])] + [(0, None, None), (5000, 1, 1), (None, 0, 1), (900, None, None)]
+    df, labelled = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(said, LABELS)
+    found = C.toxicity(df, labelled).collect()
+    assert len(found) == len(rows)
+    by = {r["doc_id"]: r["rejected"] for r in found}
+    assert np.mean([by[k] == bool(labels[k, 1]) for k in range(300, 400)]) > 0.97
+    assert by[None] and by[901] and not by[900]
+    kept = C.kept_rows(df, labelled)
+    assert kept.columns == df.columns and kept.count() == sum(not r["rejected"] for r in found)
+    assert C.toxicity(df.limit(0), labelled).collect() == []
+    assert not any(r["rejected"] for r in C.toxicity(df, labelled.limit(0)).collect())
+
+
+def test_held_out_accuracy(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    # Half of the labels are hidden from the fit.
+    found = C.toxicity(docs, labels.where("doc_id % 2 = 0")).join(labels.where("doc_id % 2 = 1"), "doc_id").collect()
+    toxic = [r["rejected"] for r in found if r["toxic"] == 1]
+    clean = [r["rejected"] for r in found if r["toxic"] == 0]
+    assert len(toxic) > 150 and np.mean(toxic) > 0.8 and np.mean(clean) < 0.01
+
+
+def test_query(spark):
+    found = queries.op9_chains(spark, "/root/testdata/sf0.001")
+    assert found.columns == ["doc_id", "p_low_quality", "p_toxic", "rejected"] and found.count() == 200

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunesmith.llm import bit_planes, host_rules, minhash, piece_sampling, rabitq, secret_scan, token_counts, warc
+from tunesmith.llm import bit_planes, chains, host_rules, minhash, piece_sampling, rabitq, secret_scan, token_counts, warc
 from tunesmith.llm.tokens import word_ids
 from tunesmith.sources.scratch import new_path
 from tunesmith.sources.tables import table
@@ -14,6 +14,10 @@ BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bp
 END_OF_DOCUMENT = 2
 
 
+def op9_chains(spark: SparkSession, folder: str) -> DataFrame:
+    return chains.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -58,5 +62,6 @@ QUERIES = {
     "op5_piece_sampling": op5_piece_sampling,
     "op6_secret_scan": op6_secret_scan,
     "op7_bit_planes": op7_bit_planes,
+    "op9_chains": op9_chains,
     "op10_token_counts": op10_token_counts,
 }
