@@ -1,0 +1,96 @@
+import collections
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from tunesmith.llm import packing as P, queries, tokens
+
+SCHEMA = T.StructType([T.StructField(n, T.LongType() if n == "doc_id" else T.StringType()) for n in ("doc_id", "text", "row", "SEQUENCE_ID", "ids")])
+
+
+def test_combinations_are_all():
+    lengths, window = np.array([1, 2, 3, 5, 7, 8]), 10
+    got = {tuple(sorted(n for n in s if n)) for s in P.combinations(lengths, window).tolist()}
+    own = lengths.tolist()
+    want = {tuple(sorted(c)) for a in own for b in own for c in [(a, b), *((a, b, d) for d in own)] if sum(c) == window}
+    assert got == want
+
+
+def test_least_squares_solves_a_feasible_histogram():
+    rng = np.random.default_rng(2)
+    sets = P.combinations(np.arange(1, 40), 40)
+    hidden = np.where(rng.random(len(sets)) < 0.3, rng.integers(1, 100, len(sets)), 0)
+    counts = np.bincount(sets.ravel(), np.repeat(hidden, 3), 40)
+    counts[0] = 0
+    x = P.least_squares(sets, counts, 3000)
+    fit = np.bincount(sets.ravel(), np.repeat(x, 3), 40)
+    fit[0] = 0
+    assert (x >= 0).all() and np.abs(fit - counts).sum() < 0.01 * counts.sum()
+
+
+@pytest.mark.parametrize("kind", ["spread", "one length", "hot", "short", "none"])
+def test_plan_places_every_piece_once(kind):
+    rng, window = np.random.default_rng(1), 64
+    sizes = {"spread": rng.integers(1, 64, 900), "one length": np.full(100, 40), "hot": np.concatenate([np.full(400, 50), rng.integers(1, 20, 300)]), "short": rng.integers(1, 4, 500), "none": np.zeros(0, int)}[kind]
+    counts = np.bincount(sizes, minlength=window)
+    plan = P.plan_of(counts, 7, window, 2)
+    rest = np.repeat(np.arange(window), counts)
+    number = np.concatenate([np.arange(c) for c in counts])
+    sequence, offset = plan.place(rest, number)
+    cells = collections.Counter()
+    for s, o, n in zip(sequence.tolist(), offset.tolist(), rest.tolist()):
+        assert s >= 7
+        cells.update((s + (o + k) // window, (o + k) % window) for k in range(n))
+    assert all(v == 1 for v in cells.values())
+    fill = collections.Counter(s for s, _ in cells)
+    assert all((s, k) in cells for s, n in fill.items() for k in range(n))
+    assert sum(window - n for n in fill.values()) <= 2 * len(fill) + window
+
+
+def checked(rows, docs):
+    """Pieces against (doc_id, ids): they tile documents and sequences."""
+    left = collections.defaultdict(list)
+    for key, ids in docs:
+        left[key, len(ids)].append(ids)
+    by, sequences = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        by[r["doc_id"], r["doc_tokens"]].append(r)
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert set(by) == set(left)
+    for key, found in by.items():
+        assert sum(r["length"] for r in found) == sum(map(len, left[key]))
+        if len(left[key]) == 1:
+            at = 0
+            for r in sorted(found, key=lambda r: r["start"]):
+                assert r["start"] == at and zlib.crc32(np.array(left[key][0][at : at + r["length"]], "<u4").tobytes()) == r["ids_crc32"]
+                at += r["length"]
+    empty = 0
+    for found in sequences.values():
+        at = 0
+        for offset, length in sorted(found):
+            assert offset == at
+            at += length
+        assert 0 < at <= P.WINDOW
+        empty += P.WINDOW - at
+    assert sorted(sequences) == list(range(len(sequences)))
+    assert empty <= P.SLACK * len(sequences) + P.WINDOW
+
+
+def test_query_against_the_library(spark):
+    folder = "/root/testdata/sf0.01"
+    whole = tokens.library(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = [(r["doc_id"], [*whole.encode(r["text"], add_special_tokens=False).ids, 0]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    checked(queries.op8_packing(spark, folder).collect(), docs)
+
+
+def test_odd_rows_and_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(P, "BUCKET", 20)
+    rows = [(k, "ab" * (k * 37 % 900)) for k in range(150)] + [(7, None), (None, "x" * 5000), (None, ""), (8, "y" * 1023), (8, "y" * 1023), (9, "z" * 1024)]
+    df = spark.createDataFrame([(k, t, "r", None, None) for k, t in rows], SCHEMA).repartition(4)
+    ids = lambda text: F.unhex(F.regexp_replace(F.hex(F.concat(text, F.lit("\1"))), "(..)", "$1000000"))
+    got = P.digests(P.pieces(df, ids)).collect()
+    checked(got, [(k, [*(t or "").encode(), 1]) for k, t in rows])
+    assert P.pieces(df.limit(0), ids).collect() == []

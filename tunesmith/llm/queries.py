@@ -5,13 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunesmith.llm import bit_planes, chains, host_rules, minhash, piece_sampling, rabitq, secret_scan, token_counts, warc
-from tunesmith.llm.tokens import word_ids
+from tunesmith.llm import bit_planes, chains, host_rules, minhash, packing, piece_sampling, rabitq, secret_scan, token_counts, warc
+from tunesmith.llm.tokens import id_column, word_ids
 from tunesmith.sources.scratch import new_path
 from tunesmith.sources.tables import table
 
 BYTE_BPE, WORD_BPE, PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
-END_OF_DOCUMENT = 2
+END_OF_DOCUMENT, END_OF_PACKED = 2, 0
+
+
+def packed(documents: DataFrame) -> DataFrame:
+    vocabulary = public_tokenizers.path(BYTE_BPE)
+    return packing.digests(packing.pieces(documents, lambda text: id_column(text, vocabulary, END_OF_PACKED)))
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"))
 
 
 def op9_chains(spark: SparkSession, folder: str) -> DataFrame:
@@ -62,6 +71,7 @@ QUERIES = {
     "op5_piece_sampling": op5_piece_sampling,
     "op6_secret_scan": op6_secret_scan,
     "op7_bit_planes": op7_bit_planes,
+    "op8_packing": op8_packing,
     "op9_chains": op9_chains,
     "op10_token_counts": op10_token_counts,
 }

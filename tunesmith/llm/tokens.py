@@ -14,8 +14,11 @@ from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import regex
+from pyspark.sql import Column, functions as F
 from tokenizers import Tokenizer
 
 # Entries a worker keeps in each of two generations, and the longest piece it keeps.
@@ -168,3 +171,14 @@ def word_ids(path: str) -> Callable[[str], bytes]:
 
     words = Memo(of_word)
     return lambda text: b"".join(map(words.__getitem__, text.encode().split()))
+
+
+def id_column(text: Column, path: str, end: int) -> Column:
+    """Ids of whole texts under byte_bpe_50k.json and ``end`` behind them, as little-endian 32-bit integers; a null text is empty."""
+
+    @F.arrow_udf("binary")
+    def encode(texts: pa.Array) -> pa.Array:
+        of, last = byte_level_ids(path), np.array([end], "<u4").tobytes()
+        return pa.array([of(t.as_py() or "") + last for t in texts], pa.binary())
+
+    return encode(text)
