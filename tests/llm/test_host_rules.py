@@ -1,3 +1,4 @@
+import collections
 import random
 import re
 
@@ -12,7 +13,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 def brute(text):
     words = WORD.findall(text or "")
     windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
-    hit = {p for i, w in enumerate(windows) if windows.count(w) > 1 for p in range(i, i + 5)}
+    times = collections.Counter(windows)
+    hit = {p for i, w in enumerate(windows) if times[w] > 1 for p in range(i, i + 5)}
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
     failed = len(words) < 10 or 100 * len(hit) > 20 * len(words)
     return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), len(lines) - len(set(lines)), len(hit), len(lines), failed)

@@ -1,0 +1,101 @@
+"""The pipeline's stages against brute force on a small table, each on its own input."""
+
+import sys
+
+import pytest
+from test_host_rules import brute as counts_of
+from test_minhash import shingles
+from test_packing import checked
+from test_secret_scan import brute as spans_of
+
+import corpus_pipeline as P
+import public_tokenizers
+from tunesmith.llm import chains, tokens
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Each stage's input and output rows."""
+    docs, found = spark.read.parquet(f"{FOLDER}/documents.parquet"), {}
+    for name, stage in P.STAGES:
+        out = P.stored(stage(spark, docs, FOLDER), name)
+        found[name] = docs, out
+        docs = out
+    return found
+
+
+def rows(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def test_columns_and_types(stages):
+    for name, (docs, out) in stages.items():
+        if name != "packing":
+            assert out.schema == docs.schema, name
+
+
+def test_toxicity(spark, stages):
+    docs, out = stages["toxicity"]
+    chain = chains.trained(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"))
+    scorer = chains.Scorer(chain)
+    given, kept = rows(docs), rows(out)
+    assert set(kept) == {k for k, r in given.items() if scorer(r["text"])[-1] < chains.REJECT}
+    assert all(kept[k] == given[k] for k in kept) and len(kept) < len(given)
+
+
+def test_quality_rules(stages):
+    given, kept = map(rows, stages["quality_rules"])
+    # No host of this table fails by more than half, so the base rules decide.
+    assert set(kept) == {k for k, r in given.items() if not counts_of(r["text"])[-1]} and all(kept[k] == given[k] for k in kept)
+
+
+def test_near_duplicates(stages):
+    given, kept = map(rows, stages["near_duplicates"])
+    sets, holders = {k: shingles(r["text"]) for k, r in given.items()}, {}
+    for k, own in sets.items():
+        for s in own:
+            holders.setdefault(s, []).append(k)
+    up = {k: k for k in given}
+
+    def root(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    for k, own in sets.items():
+        for other in {h for s in own for h in holders[s] if h < k}:
+            if 100 * len(own & sets[other]) >= P.SIMILAR * len(own | sets[other]):
+                a, b = sorted((root(k), root(other)))
+                up[b] = a
+    assert set(kept) == {k for k in given if root(k) == k} and all(kept[k] == given[k] for k in kept) and len(kept) < len(given)
+
+
+def test_secrets(stages):
+    given, out = map(rows, stages["secrets"])
+    assert set(given) == set(out)
+    hit = 0
+    for k, row in given.items():
+        text, at, parts = row["text"], 0, []
+        for start, _, end in spans_of(text):
+            if start >= at:
+                parts += [text[at:start], "[secret]"]
+            at = max(at, end)
+        masked = "".join([*parts, text[at:]])
+        hit += masked != text
+        assert out[k]["text"] == masked and out[k]["n_chars"] == len(masked)
+        assert (out[k]["lang"], out[k]["source"]) == (row["lang"], row["source"])
+    assert hit
+
+
+def test_packing(stages):
+    docs, out = stages["packing"]
+    whole = tokens.library(public_tokenizers.path("byte_bpe_50k.json"))
+    checked(out.collect(), [(r["doc_id"], [*whole.encode(r["text"], add_special_tokens=False).ids, 0]) for r in docs.collect()])
+
+
+def test_run_gives_the_last_stage(spark, stages):
+    got = sorted(map(tuple, P.run(spark, FOLDER).select("doc_id", "start", "ids_crc32").collect()))
+    docs = {r["doc_id"] for r in stages["packing"][0].collect()}
+    assert {g[0] for g in got} == docs and "corpus_pipeline" in sys.modules

@@ -124,7 +124,10 @@ def kept_rows(df: DataFrame, text: str = "text", source: str = "source") -> Data
     names = list(df.columns)
     plain = df.toDF(*[f"c{k}" for k in range(len(names))])
     text, source = f"c{names.index(text)}", f"c{names.index(source)}"
-    passed = with_counts(plain, text).where(~F.col("base_failed")).select(*plain.columns, host_of(F.col(source)).alias("__host"))
+    # Spark moves a filter below the steps of the counts, and so repeats those at every use of
+    # a column; it moves none past a column that is not a function of the row.
+    counted = with_counts(plain, text).withColumn("__row", F.monotonically_increasing_id())
+    passed = counted.where(~F.col("base_failed") & (F.col("__row") >= 0)).select(*plain.columns, host_of(F.col(source)).alias("__host"))
     bad = verdicts.where("host_failed")
     if bad.limit(1001).count() <= 1000:
         bad = F.broadcast(bad.select(F.col("host").alias("__bad")))
