@@ -30,8 +30,10 @@ from tunesmith.llm.common import quoted
 ALPHA, SEED = 1.0, 5
 # About the inverse of a piece's weight per character; it has no effect on the draws.
 SCALE = 40.0
+# Of the hash by which beginnings of pieces are found; 64 bits, so a false hit is not to be expected.
+FACTOR = 0x9E3779B97F4A7C15
 # Edges kept by a worker, and characters of text sampled at once.
-EDGES, CHARACTERS = 4_000_000, 1 << 20
+EDGES, CHARACTERS = 4_000_000, 1 << 19
 # The mark of a blank in a piece; longer pieces with a score under this are never used by the library.
 BLANK, UNUSED = "▁", -1e8
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
@@ -43,7 +45,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values in sorted keys, and whether they are there."""
+    at = np.searchsorted(keys, wanted)
+    at[at == len(keys)] = 0
+    return at, keys[at] == wanted
+
+
 class Vocabulary:
+    """The usable pieces, in arrays that are searched by hashes of all beginnings of pieces."""
+
     def __init__(self, path: str, alpha: float):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.pieces: dict[str, tuple[int, float]] = {}
@@ -57,14 +72,43 @@ class Vocabulary:
                 self.raw[i] = piece.replace(BLANK, " ").encode()
                 if (score := model.get_score(i)) > UNUSED or len(piece) == 1:
                     self.pieces[piece] = i, (2 + min(-score, model.get_piece_size())) ** -alpha * SCALE ** len(piece)
-        # Of every beginning of a piece, the piece's id and weight, or () if it is none itself.
-        self.prefixes = {p[:k]: () for p in self.pieces for k in range(1, len(p))} | self.pieces
         self.longest = max(map(len, self.pieces), default=1)
-        self.neighbours = {p[k : k + 2] for p in self.pieces for k in range(len(p) - 1)}
+        self.singles = np.unique(_codes("".join(p for p in self.pieces if len(p) == 1)))
+        pairs = "".join(p[k : k + 2] for p in self.pieces for k in range(len(p) - 1))
+        self.pairs = np.unique((_codes(pairs[::2]) << np.uint64(21)) | _codes(pairs[1::2]))
+        beginnings: dict[int, tuple[int, float]] = {}
+        for p, own in self.pieces.items():
+            h = 0
+            for c in p[:-1]:
+                h = (h * FACTOR + ord(c) + 1) % (1 << 64)
+                beginnings.setdefault(h, (-1, 0.0))
+            beginnings[(h * FACTOR + ord(p[-1]) + 1) % (1 << 64)] = own
+        self.hashes = np.array(sorted(beginnings), np.uint64)
+        self.ids = np.array([beginnings[int(h)][0] for h in self.hashes], np.int32)
+        self.weights = np.array([beginnings[int(h)][1] for h in self.hashes])
+
+    def edges(self, codes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces in a row of characters, of which ``room`` follow in the same part: place, length, id, weight."""
+        found, at, h = [], np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+        for n in range(1, self.longest + 1):
+            more = room[at] >= n
+            at, h = at[more], h[more]
+            h = h * np.uint64(FACTOR) + codes[at + n - 1] + np.uint64(1)
+            place, there = _find(self.hashes, h)
+            at, h, place = at[there], h[there], place[there]
+            if not len(at):
+                break
+            piece = self.ids[place] >= 0
+            found.append((at[piece], np.full(piece.sum(), n), self.ids[place[piece]], self.weights[place[piece]]))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 class Sampler:
-    """Lattices of the parts met, as arrays over all their edges in the order of the nodes they end at."""
+    """Lattices of the chunks met, as arrays over all their edges in the order of the nodes they end at.
+
+    ``sums`` holds, for each edge, its end node plus the summed shares of the edges that end
+    there, up to its own. The first nodes are those of the 256 bytes.
+    """
 
     def __init__(self, path: str, alpha: float = ALPHA):
         self.vocabulary = Vocabulary(path, alpha)
@@ -72,107 +116,86 @@ class Sampler:
 
     def _forget(self) -> None:
         self.chunks: dict[str, bytes] = {}
-        self.parts: dict[str, int] = {}
-        self.next = 0
-        self.sums, self.starts, self.ids = np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.new: tuple[list, list, list] = [], [], []
-
-    def _part(self, units: str, raw: int | None) -> int:
-        """The last node of a part's lattice: the characters ``units``, or the one byte ``raw``.
-
-        The sums carry ``SCALE`` per character, which cancels in all shares and keeps them
-        from running out of the range of numbers; they are brought back to 1 where they do.
-        """
-        v, base = self.vocabulary, self.next
-        sums, starts, ids = self.new
-        if raw is not None:
-            sums.append(base + 2.0)
-            starts.append(-1)
-            ids.append(v.byte_ids[raw])
-            self.next = base + 2
-            return base + 1
-        n = len(units)
-        reached, ending = [0.0] * (n + 1), [[] for _ in range(n + 1)]
-        reached[0], look = 1.0, v.prefixes.get
-        for i in range(n):
-            here = reached[i]
-            if not 1e-200 < here < 1e200:
-                # All that is still to be used is divided by one number.
-                for j in range(i, min(n, i + v.longest) + 1):
-                    reached[j] /= here
-                    ending[j] = [(k, piece, share / here) for k, piece, share in ending[j]]
-                here = 1.0
-            for j in range(i + 1, n + 1):
-                found = look(units[i:j])
-                if found is None:
-                    break
-                if found:
-                    share = here * found[1]
-                    reached[j] += share
-                    ending[j].append((i, found[0], share))
-        for j in range(1, n + 1):
-            so_far, total, node = 0.0, reached[j], base + j
-            for i, piece, share in ending[j]:
-                so_far += share
-                sums.append(node + so_far / total)
-                # A walk that is back at the part's first position is done.
-                starts.append(base + i if i else -1)
-                ids.append(piece)
-            sums[-1] = node + 1.0
-        self.next = base + n + 1
-        return base + n
-
-    def _chunk(self, chunk: str) -> bytes:
-        """The last nodes of a chunk's parts, from its last part to its first."""
-        v, nodes, units, raw = self.vocabulary, [], [], []
-
-        def close():
-            key = f"\0{raw[0]}" if units[0] == "\0" else "".join(units)
-            node = self.parts.get(key)
-            if node is None:
-                node = self.parts[key] = self._part("".join(units), raw[0] if units[0] == "\0" else None)
-            nodes.append(node)
-            units.clear()
-            raw.clear()
-
-        for c in chunk:
-            if c == " ":
-                c, own = BLANK, True
-            else:
-                own = c != BLANK and c in v.pieces
-            if units and (not own or units[-1] + c not in v.neighbours):
-                close()
-            if own:
-                units.append(c)
-                raw.append(0)
-            else:
-                for b in c.encode():
-                    if units:
-                        close()
-                    units.append("\0")
-                    raw.append(b)
-        close()
-        return np.array(nodes, "<i8").tobytes()
-
-    def _settle(self) -> None:
-        if self.new[0]:
-            self.sums = np.concatenate([self.sums, self.new[0]])
-            self.starts = np.concatenate([self.starts, np.array(self.new[1], np.int64)])
-            self.ids = np.concatenate([self.ids, np.array(self.new[2], np.int32)])
-            self.new = [], [], []
+        self.next = 256
+        self.sums, self.starts = np.arange(256) + 1.0, np.full(256, -1, np.int32)
+        self.ids = np.array(self.vocabulary.byte_ids, np.int32)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Lattices of chunks, all at once, position by position."""
+        v, text = self.vocabulary, "".join(chunks)
+        codes = _codes(text)
+        codes = np.where(codes == ord(" "), ord(BLANK), np.where(codes == ord(BLANK), 0, codes)).astype(np.uint64)
+        owner = np.repeat(np.arange(len(chunks)), [len(c) for c in chunks])
+        _, own = _find(v.singles, codes)
+        first = np.ones(len(codes), bool)
+        _, beside = _find(v.pairs, (codes[:-1] << np.uint64(21)) | codes[1:])
+        first[1:] = ~(own[1:] & own[:-1] & beside & (owner[1:] == owner[:-1]))
+        starts = np.flatnonzero(first)
+        lengths = np.diff(np.append(starts, len(codes)))
+        # Nodes of a part: one before each character and one behind the last.
+        base = self.next + np.cumsum(lengths + 1) - lengths - 1
+        part = np.repeat(np.arange(len(starts)), lengths)
+        inside = np.arange(len(codes)) - starts[part]
+        place, size, ids, weights = v.edges(codes, np.where(own, lengths[part] - inside, 0))
+        end = inside[place] + size
+        target = base[part[place]] + end
+        order = np.lexsort((size, target, end))
+        place, size, ids, weights, end, target = (x[order] for x in (place, size, ids, weights, end, target))
+        source = target - size
+        reached = np.zeros(int(lengths.sum()) + len(lengths))
+        shift = self.next
+        reached[base - shift] = 1.0
+        shares = np.empty(len(place))
+        edges = np.searchsorted(end, np.arange(1, lengths.max() + 2))
+        for distance, (a, b) in enumerate(zip(edges.tolist(), edges[1:].tolist()), 1):
+            # All edges that end at one distance from their part's first node.
+            into = target[a:b] - shift
+            here = reached[source[a:b] - shift] * weights[a:b]
+            np.add.at(reached, into, here)
+            shares[a:b] = here / reached[into]
+            total = reached[into]
+            if len(into) and not (total.min() > 1e-100 and total.max() < 1e100):
+                # Sums of a part that run out of the range of numbers are divided by the newest.
+                odd = np.unique(into[(total <= 1e-100) | (total >= 1e100)])
+                newest = reached[odd]
+                for back in range(min(distance + 1, v.longest)):
+                    reached[odd - back] /= newest
+        order = np.lexsort((size, target))
+        target, ids, inner, shares = target[order], ids[order], (inside[place] > 0)[order], shares[order]
+        begin = np.flatnonzero(np.append(True, target[1:] != target[:-1])) if len(target) else np.zeros(0, int)
+        counts = np.diff(np.append(begin, len(target)))
+        for k in range(1, counts.max(initial=0)):
+            at = begin[counts > k] + k
+            shares[at] += shares[at - 1]
+        if len(begin):
+            shares[begin + counts - 1] = 1.0
+        self.sums = np.concatenate([self.sums, target + shares])
+        self.starts = np.concatenate([self.starts, np.where(inner, target - size[order], -1).astype(np.int32)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.next += int(lengths.sum()) + len(lengths)
+        # The last node of each part; a character without a piece is the parts of its bytes.
+        last, pieces = base + lengths, np.ones(len(starts), np.int64)
+        lone = np.flatnonzero(~own[starts])
+        raw = [text[i].encode() for i in starts[lone].tolist()]
+        pieces[lone] = [len(r) for r in raw]
+        nodes = np.repeat(last, pieces)
+        nodes[np.repeat(~own[starts], pieces)] = np.frombuffer(b"".join(raw), np.uint8)
+        per_chunk = np.bincount(owner[starts], pieces, len(chunks)).astype(np.int64)
+        packed, ends = nodes.astype("<i8").tobytes(), np.cumsum(per_chunk) * 8
+        for chunk, a, b in zip(chunks, (ends - per_chunk * 8).tolist(), ends.tolist()):
+            self.chunks[chunk] = packed[a:b]
 
     def sample(self, keys: list, texts: list[str]) -> list[np.ndarray]:
         """The piece ids of each text."""
         if len(self.sums) > EDGES:
             self._forget()
-        known, nodes = self.chunks, []
+        known, found = self.chunks, []
         for text in texts:
-            found = _CHUNK.findall(" " + text) if text else []
-            for chunk in found:
-                if chunk not in known:
-                    known[chunk] = self._chunk(chunk)
-            nodes.append(np.frombuffer(b"".join(map(known.__getitem__, found)), "<i8"))
-        self._settle()
+            found.append(_CHUNK.findall(" " + text) if text else [])
+        new = [c for c in set().union(*found) if c not in known]
+        if new:
+            self._learn(sorted(new))
+        nodes = [np.frombuffer(b"".join(map(known.__getitem__, f)), "<i8") for f in found]
         seeds = np.array([xxhash.xxh64_intdigest(repr(k).encode(), SEED) for k in keys], np.uint64)
         counts = np.array([len(n) for n in nodes])
         at = np.concatenate(nodes) if nodes else np.zeros(0, np.int64)
