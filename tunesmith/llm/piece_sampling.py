@@ -107,7 +107,8 @@ class Sampler:
     """Lattices of the chunks met, as arrays over all their edges in the order of the nodes they end at.
 
     ``sums`` holds, for each edge, its end node plus the summed shares of the edges that end
-    there, up to its own. The first nodes are those of the 256 bytes.
+    there, up to its own; ``first`` the first of these edges for each node. The first nodes
+    are those of the 256 bytes.
     """
 
     def __init__(self, path: str, alpha: float = ALPHA):
@@ -119,6 +120,7 @@ class Sampler:
         self.next = 256
         self.sums, self.starts = np.arange(256) + 1.0, np.full(256, -1, np.int32)
         self.ids = np.array(self.vocabulary.byte_ids, np.int32)
+        self.first = np.arange(256, dtype=np.int32)
 
     def _learn(self, chunks: list[str]) -> None:
         """Lattices of chunks, all at once, position by position."""
@@ -169,6 +171,9 @@ class Sampler:
             shares[at] += shares[at - 1]
         if len(begin):
             shares[begin + counts - 1] = 1.0
+        first = np.zeros(len(reached), np.int32)
+        first[target[begin] - shift] = begin + len(self.sums)
+        self.first = np.concatenate([self.first, first])
         self.sums = np.concatenate([self.sums, target + shares])
         self.starts = np.concatenate([self.starts, np.where(inner, target - size[order], -1).astype(np.int32)])
         self.ids = np.concatenate([self.ids, ids])
@@ -205,7 +210,11 @@ class Sampler:
         lengths = np.zeros(len(at), np.int64)
         while len(alive):
             u = (_mixed(draws[alive] + np.uint64(step)) >> np.uint64(34)).astype(np.float64) * 2.0**-30
-            edge = np.searchsorted(self.sums, at[alive] + u, "right")
+            edge, draw = self.first[at[alive]], at[alive] + u
+            low = np.flatnonzero(self.sums[edge] <= draw)
+            while len(low):
+                edge[low] += 1
+                low = low[self.sums[edge[low]] <= draw[low]]
             steps.append((alive, self.ids[edge]))
             lengths[alive] += 1
             at[alive] = self.starts[edge]
