@@ -154,7 +154,7 @@ def test_wait_gaps(spark, hot_rows):
                   timestamp_ntz'2024-03-10 01:00:00' + make_dt_interval(0, 0, 0, id * id * 1.25) AS ts FROM range(60)"""
     ).repartition(3)
     same_rows(
-        workload.wait_gaps(df, "s", "ts", 60, hot_rows).select("id", F.col("gap_seconds").cast("double").alias("gap")),
+        workload.wait_gaps(df, "s", "ts", 60, "id", hot_rows).select("id", F.col("gap_seconds").cast("double").alias("gap")),
         """SELECT id, (epoch_us(ts) - epoch_us(p)) / 1e6 AS gap FROM
            (SELECT *, lag(ts) OVER (PARTITION BY s ORDER BY ts) AS p FROM t) WHERE epoch_us(ts) - epoch_us(p) >= 60e6""",
         t=df.cache(),
@@ -168,7 +168,7 @@ def test_wait_gaps_do_not_depend_on_the_session_zone(spark):
     )
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        assert [float(r["gap_seconds"]) for r in workload.wait_gaps(df, "s", "ts", 1).collect()] == [7200.0]
+        assert [float(r["gap_seconds"]) for r in workload.wait_gaps(df, "s", "ts", 1, ()).collect()] == [7200.0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

@@ -3,36 +3,76 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 # Row groups are skipped on a date, but not on a timestamp without a zone or on
-# one in the older 96-bit form. A clustered table has a date next to such a key.
+# one in the older 96-bit form. A clustered table has a date next to such a key,
+# named so; which key it belongs to is in the column's metadata, not in its name.
 DAY = "__day"
+DAY_OF = "tunesmith.day_of"
+
+
+def day_of(value: Column, kind: T.DataType) -> Column:
+    """The date of a stamp; of one with a zone the UTC date, whatever the session's zone."""
+    if isinstance(kind, T.TimestampType):
+        return F.date_from_unix_date(F.floor(F.unix_micros(value.cast(kind)) / F.lit(86_400_000_000)).cast("int"))
+    return value.cast("date")
+
+
+def day_column(df: DataFrame, col: str) -> str | None:
+    """The date copy of a key of a clustered table."""
+    return next((f.name for f in df.schema.fields if (f.metadata or {}).get(DAY_OF) == col), None)
+
+
+def _bound(df: DataFrame, col: str, value: Column, compare) -> Column:
+    cond, day = compare(F.col(col), value), day_column(df, col)
+    return cond & compare(F.col(day), day_of(value, df.schema[col].dataType)) if day else cond
 
 
 def at_least(df: DataFrame, col: str, value: Column) -> Column:
     """``col >= value``, said of the date next to it too if there is one."""
-    cond, day = F.col(col) >= value, col + DAY
-    return cond & (F.col(day) >= value.cast("date")) if day in df.columns else cond
+    return _bound(df, col, value, lambda c, v: c >= v)
 
 
 def at_most(df: DataFrame, col: str, value: Column) -> Column:
-    cond, day = F.col(col) <= value, col + DAY
-    return cond & (F.col(day) <= value.cast("date")) if day in df.columns else cond
+    return _bound(df, col, value, lambda c, v: c <= v)
+
+
+_RANGE = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def _unchanged(value, kind: T.DataType) -> bool:
+    """Is the value one of the column's type, so that a cast of it loses nothing?"""
+    if isinstance(kind, T.IntegralType):
+        half = 1 << _RANGE[kind.simpleString()] - 1
+        return isinstance(value, int) and not isinstance(value, bool) and -half <= value < half
+    if isinstance(kind, T.DecimalType) and isinstance(value, (int, decimal.Decimal)) and not isinstance(value, bool):
+        exact = decimal.Decimal(value)
+        return exact.is_finite() and abs(exact) < 10 ** (kind.precision - kind.scale) and exact == round(exact, kind.scale)
+    if isinstance(kind, T.DateType):
+        return isinstance(value, dt.date) and not isinstance(value, dt.datetime)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return isinstance(value, dt.datetime)
+    return isinstance(kind, T.DoubleType) and isinstance(value, float)
 
 
 def typed(value, kind: T.DataType) -> Column:
     """A literal of a column's own type, which a scan can use in its filter.
 
-    A stamp without a zone goes in as text: as a Python value it would be read
-    in one zone and turned back in another.
+    A value of another type, or one that the column's type cannot hold, keeps its
+    own; the comparison is then made in the type that holds both. A stamp without a
+    zone goes in as text: as a Python value it would be read in one zone and turned
+    back in another.
     """
     if isinstance(kind, T.TimestampNTZType) and isinstance(value, dt.datetime):
         return F.lit(value.isoformat(sep=" ")).cast(kind)
-    return F.lit(value).cast(kind)
+    if isinstance(value, int) and not -(1 << 63) <= value < 1 << 63:
+        value = decimal.Decimal(value)
+    return F.lit(value).cast(kind) if _unchanged(value, kind) else F.lit(value)
 
 
 def money(col) -> Column:

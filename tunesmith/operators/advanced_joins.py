@@ -49,8 +49,10 @@ def asof_join(l: DataFrame, r: DataFrame, by, on, tie: str | None = None, hot_ro
     """Every left row with the latest right row at or before it.
 
     ``by`` is a list of keys, ``on`` the time, each one name or a (left, right)
-    pair. Of right rows at one time the one with the highest ``tie`` wins. Left
-    rows without an earlier right row get NULLs.
+    pair. Of right rows at one time the one with the highest ``tie`` wins, and of
+    those, or without a tie, the one with the highest hash of its values, so that
+    the result never depends on the rows' order. Left rows without an earlier
+    right row get NULLs.
 
     Both sides are put in one ordered stream and the last right row is carried
     forward, so the work does not depend on how many right rows precede a left
@@ -75,6 +77,7 @@ def asof_join(l: DataFrame, r: DataFrame, by, on, tie: str | None = None, hot_ro
         F.col(lt).alias("__t"),
         F.lit(1).alias("__side"),
         F.lit(None).cast(tie_type).alias("__tie"),
+        F.lit(None).cast("long").alias("__v"),
         spread_hash(l).alias("__h"),
         F.struct(*l.columns).cast(left_row).alias("__l"),
         F.lit(None).cast(r.select(right_row.alias("x")).schema["x"].dataType).alias("__r"),
@@ -84,6 +87,7 @@ def asof_join(l: DataFrame, r: DataFrame, by, on, tie: str | None = None, hot_ro
         F.col(rt).alias("__t"),
         F.lit(0).alias("__side"),
         (F.col(tie) if tie else F.lit(None).cast(tie_type)).alias("__tie"),
+        F.xxhash64(*values).alias("__v") if values else F.lit(0).cast("long").alias("__v"),
         spread_hash(r).alias("__h"),
         F.lit(None).cast(left_row).alias("__l"),
         right_row.alias("__r"),
@@ -91,7 +95,7 @@ def asof_join(l: DataFrame, r: DataFrame, by, on, tie: str | None = None, hot_ro
     keys = [f"__k{i}" for i in range(len(by))]
     # Right rows come before left rows of the same time.
     stream = last_value(
-        from_left.unionByName(from_right), keys, ["__t", "__side", "__tie", "__h"], "__r", "__last", hot_rows
+        from_left.unionByName(from_right), keys, ["__t", "__side", "__tie", "__v", "__h"], "__r", "__last", hot_rows
     )
     out = stream.where(F.col("__side") == 1)
     return out.select(

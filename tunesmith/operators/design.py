@@ -43,7 +43,7 @@ def column_selectivity(df: DataFrame, cols, exact: bool = True) -> DataFrame:
 
 
 def _share(part: Column, whole: Column) -> Column:
-    return F.round(part.cast("double") / F.when(whole > 0, whole), 6)
+    return part.cast("double") / F.when(whole > 0, whole)
 
 
 def _value_profile(df: DataFrame, c: str) -> DataFrame:
@@ -72,7 +72,7 @@ def prefix_selectivity(df: DataFrame, key_cols) -> DataFrame:
     return groups.groupBy("prefix_length").agg(
         F.count(F.lit(1)).alias("distinct_keys"),
         F.max("n").alias("max_rows"),
-        F.round(F.sum("n").cast("double") / F.count(F.lit(1)), 6).alias("avg_rows"),
+        (F.sum("n").cast("double") / F.count(F.lit(1))).alias("avg_rows"),
     ).withColumn("prefix", named)
 
 
@@ -85,7 +85,8 @@ def order_switches(df: DataFrame, key, block: str, hot_rows: int | None = None)
     """
     keys = [key] if isinstance(key, str) else list(key)
     known = df.where(~reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
-    pairs = known.groupBy(*keys, F.col(block).alias("__b")).agg(F.count(F.lit(1)).alias("__n"))
+    # One scan for both uses.
+    pairs = stored(known.groupBy(*keys, F.col(block).alias("__b")).agg(F.count(F.lit(1)).alias("__n")), "pairs")
     per_key = pairs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("__blocks"),
         F.min("__b").alias("__first"),
@@ -99,7 +100,7 @@ def order_switches(df: DataFrame, key, block: str, hot_rows: int | None = None)
         F.count(F.lit(1)).alias("distinct_keys"),
         F.coalesce(F.sum(F.col("__blocks") - 1 + moved), F.lit(0)).alias("switches"),
     )
-    blocks = known.select(F.count_distinct(F.col(block))).scalar()
+    blocks = pairs.select(F.count_distinct("__b")).scalar()
     return total.withColumn("blocks", blocks)
 
 
@@ -123,7 +124,8 @@ def layout_candidates(
     Columns without a score in a role are left out; ``rank`` is within the role.
     """
     used = [r[0] for r in predicates.select("column_name").distinct().collect()]
-    profile = column_selectivity(df, [c for c in df.columns if c in used])
+    named = [c for c in df.columns if c in used]
+    profile = column_selectivity(df, named or df.columns[:1])
     uses = (
         predicates.groupBy("column_name")
         .agg(
@@ -150,7 +152,7 @@ def layout_candidates(
     )
     scored = F.array(
         F.struct(F.lit("partition").alias("role"), partition.alias("score")),
-        F.struct(F.lit("sort").alias("role"), F.round(filters * tell_apart, 6).alias("score")),
+        F.struct(F.lit("sort").alias("role"), (filters * tell_apart).alias("score")),
         F.struct(F.lit("bucket").alias("role"), F.coalesce(bucket, F.lit(0.0)).alias("score")),
     )
     found = seen.select("column_name", "rows", "distinct_values", "max_rows", F.inline(scored)).where("score > 0")

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from tunesmith.functions.exact import DAY, all_of, any_of, at_least, at_most, typed
+from tunesmith.functions.exact import all_of, any_of, at_least, at_most, day_column, day_of, typed
 from tunesmith.operators.joins import broadcast_join
 from tunesmith.plans.ordered import row_numbers
 from tunesmith.plans.sizing import scan_tasks
@@ -107,7 +107,7 @@ def late_fetch(df: DataFrame, key: str, order, n: int, wide_cols) -> DataFrame:
     narrow = list(dict.fromkeys([key, *[c for c, _ in order]]))
     chosen = top_n(df.select(*narrow), sort, n)
     fetched = df.select(*dict.fromkeys([*narrow, *wide_cols]))
-    if n <= LITERAL_KEYS and _as_literal(df, key):
+    if n <= LITERAL_KEYS and _as_literal(df.schema[key].dataType):
         keys = [r[0] for r in chosen.select(key).collect()]
         rows = fetched.where(_any_key(fetched, key, keys))
     else:
@@ -116,9 +116,13 @@ def late_fetch(df: DataFrame, key: str, order, n: int, wide_cols) -> DataFrame:
     return top_n(rows, sort, n)
 
 
-def _as_literal(df: DataFrame, col: str) -> bool:
-    """Do values of this type come back unchanged from the driver?"""
-    return isinstance(df.schema[col].dataType, (T.IntegralType, T.StringType, T.DateType, T.DecimalType, T.TimestampNTZType))
+def _as_literal(kind: T.DataType) -> bool:
+    """Do values of this type come back unchanged from the driver, in an order that Python shares?
+
+    Text compared by another rule than its bytes does not.
+    """
+    plain = isinstance(kind, (T.IntegralType, T.DateType, T.DecimalType, T.TimestampNTZType))
+    return plain or kind.simpleString() == "string"
 
 
 def _any_key(df: DataFrame, col: str, keys) -> Column:
@@ -127,8 +131,8 @@ def _any_key(df: DataFrame, col: str, keys) -> Column:
     if len(given) > 1:
         # A long list reaches the scan as its range only; say it plainly.
         found = found & at_least(df, col, typed(min(given), kind)) & at_most(df, col, typed(max(given), kind))
-        if col + DAY in df.columns:
-            found = found & F.col(col + DAY).isin([typed(k, kind).cast("date") for k in given])
+        if day := day_column(df, col):
+            found = found & F.col(day).isin([day_of(typed(k, kind), kind) for k in given])
     return found | F.col(col).isNull() if len(given) < len(keys) else found
 
 
@@ -136,18 +140,21 @@ def in_list(df: DataFrame, col: str, values: DataFrame, ranges=(), limit: int |
     """Rows whose ``col`` is in the first column of ``values`` or in a range.
 
     ``ranges`` holds (lo, hi) pairs, both ends included. Each row comes once.
-    A short list goes into the scan's filter; a longer one, of any size, is a
-    semi join that broadcasts the list only if it is small.
+    A short list of the column's own type goes into the scan's filter; a longer
+    one, of any size, or one of another type is a semi join that broadcasts the
+    list only if it is small. Both compare in the type that holds list and column.
     """
-    listed = values.select(F.col(values.columns[0]).alias("__v")).where(F.col("__v").isNotNull())
-    kind = df.schema[col].dataType
+    listed, kind = values.select(F.col(values.columns[0]).alias("__v")).where(F.col("__v").isNotNull()), df.schema[col].dataType
+    if isinstance(kind, T.StringType) and isinstance(listed.schema["__v"].dataType, T.StringType):
+        # Text is compared by the column's rule.
+        listed = listed.select(F.col("__v").cast(kind).alias("__v"))
+    listed = listed.distinct()
     in_range = any_of([at_least(df, col, typed(lo, kind)) & at_most(df, col, typed(hi, kind)) for lo, hi in ranges])
-    if _as_literal(listed, "__v"):
+    if listed.schema["__v"].dataType == kind and _as_literal(kind):
         few = [row[0] for row in listed.limit(LITERAL_LIST + 1).collect()]
         if len(few) <= LITERAL_LIST:
             # One scan, whose filter can skip row groups.
-            return df.where(in_range | _any_key(df, col, sorted(set(few))) if few else in_range)
-    listed = listed.distinct()
+            return df.where(in_range | _any_key(df, col, sorted(few)) if few else in_range)
     if not ranges:
         return broadcast_join(df, listed, [(col, "__v")], "left_semi", limit, **skew)
     outside = df.where(~F.coalesce(in_range, F.lit(False)))
@@ -184,7 +191,8 @@ def keyset_page(df: DataFrame, order, after, n: int) -> DataFrame:
         (first, way), v = order[0], after[0]
         if v is not None:
             # Implied by the rest, but in a form that a scan can use.
-            seen = [(first, v)] + ([(first + DAY, v.cast("date"))] if first + DAY in df.columns else [])
+            day = day_column(df, first)
+            seen = [(first, v)] + ([(day, day_of(v, df.schema[first].dataType))] if day else [])
             for c, bound in seen:
                 start = F.col(c) <= bound if way == "desc" else F.col(c) >= bound
                 page = (start | F.col(c).isNull()) & page

@@ -219,7 +219,7 @@ def star_join_pruned(spark, d):
     )
     customer = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
     joined = advanced_joins.star_join(
-        spark.read.parquet(path), [(wanted, [("o_orderpriority", "priority")]), (customer, [("o_custkey", "c_custkey")])]
+        layout.written(spark, path), [(wanted, [("o_orderpriority", "priority")]), (customer, [("o_custkey", "c_custkey")])]
     )
     return joined.groupBy("priority", "c_mktsegment").agg(
         F.count("*").alias("n"), total("o_totalprice").alias("total")
@@ -339,14 +339,17 @@ def keyset_page(spark, d):
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
+def rounded(df, *cols, digits=6):
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
 def column_selectivity(spark, d):
-    return design.column_selectivity(table(spark, d, "orders"), ORDER_COLUMNS)
+    return rounded(design.column_selectivity(table(spark, d, "orders"), ORDER_COLUMNS), "selectivity")
 
 
 def prefix_selectivity(spark, d):
-    return design.prefix_selectivity(
-        table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus", "l_suppkey", "l_shipdate"]
-    )
+    keys = ["l_returnflag", "l_linestatus", "l_suppkey", "l_shipdate"]
+    return rounded(design.prefix_selectivity(table(spark, d, "lineitem"), keys), "avg_rows")
 
 
 def clustering_factor(spark, d):
@@ -370,9 +373,8 @@ def layout_candidates(spark, d):
         ],
         "column_name string, kind string, uses bigint",
     )
-    return design.layout_candidates(
-        table(spark, d, "orders"), uses, max_partitions=1_000, min_rows_per_partition=100
-    )
+    found = design.layout_candidates(table(spark, d, "orders"), uses, max_partitions=1_000, min_rows_per_partition=100)
+    return rounded(found, "score")
 
 
 def scan_footprint(spark, d):
@@ -402,32 +404,34 @@ def write_partitioned(spark, d):
 
 def cardinality_check(spark, d):
     events, orders = table(spark, d, "events"), table(spark, d, "orders")
-    return workload.cardinality_check(events, orders, [("user_id", "o_custkey")])
+    found = workload.cardinality_check(events, orders, [("user_id", "o_custkey")])
+    return rounded(rounded(found, "estimated_rows", digits=2), "actual_to_estimated")
 
 
 def trace_profile(spark, d):
-    return workload.trace_profile(table(spark, d, "events"), "event_type", money("value"))
+    return rounded(workload.trace_profile(table(spark, d, "events"), "event_type", money("value")), "mean", "share")
 
 
 def response_percentiles(spark, d):
     events = table(spark, d, "events")
-    return workload.response_percentiles(events, ["event_type"], "value", [0.5, 0.95, 0.99])
+    return rounded(workload.response_percentiles(events, ["event_type"], "value", [0.5, 0.95, 0.99]), "value")
 
 
 def response_percentiles_hot(spark, d):
     """Few groups with many rows: each is put in order in parts."""
     items = table(spark, d, "lineitem")
-    return workload.response_percentiles(items, ["l_returnflag"], "l_extendedprice", [0.25, 0.5, 0.9], hot_rows=5_000)
+    marks = [0.25, 0.5, 0.9]
+    return rounded(workload.response_percentiles(items, ["l_returnflag"], "l_extendedprice", marks, hot_rows=5_000), "value")
 
 
 def response_windows(spark, d):
     windows = workload.response_windows(table(spark, d, "events"), "ts", "1 hour", money("value"))
-    return windows.withColumn("window_start", stamp("window_start"))
+    return rounded(windows, "mean").withColumn("window_start", stamp("window_start"))
 
 
 def wait_gaps(spark, d):
     events = table(spark, d, "events").select("event_id", "user_id", "ts")
-    gaps = workload.wait_gaps(events, "user_id", "ts", 4 * 3600)
+    gaps = workload.wait_gaps(events, "user_id", "ts", 4 * 3600, "event_id")
     return gaps.select(
         "event_id", "user_id", stamp("previous").alias("previous"), F.col("gap_seconds").cast("double").alias("gap_seconds")
     )

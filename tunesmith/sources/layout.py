@@ -6,15 +6,19 @@ partition folders are skipped by name; those two take the index's place.
 
 from __future__ import annotations
 
+import json
 import math
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tunesmith.functions.exact import DAY, all_of, at_least, at_most, spread_hash, typed
+from tunesmith.functions.exact import DAY, DAY_OF, all_of, at_least, at_most, day_of, spread_hash, typed
 from tunesmith.operators.design import order_switches
 from tunesmith.plans.sizing import estimated_bytes
 
 FILE_BYTES = 512 << 20
+# Subfolder that holds a partitioned table's schema.
+SCHEMA = "_schema"
 
 
 def _as_list(cols) -> list[str]:
@@ -30,12 +34,16 @@ def write_clustered(df: DataFrame, path: str, keys, files: int | None = None) ->
     """Write Parquet files that follow each other in key order.
 
     Rows of one hot key value are spread over as many files as they fill. A
-    timestamp key gets a column ``<key>__day`` that scans can skip by.
+    timestamp key gets a column ``<key>__day`` that scans can skip by; a table
+    that has a column of that name already is refused.
     """
     files = files or files_for(df)
     keys = _as_list(keys)
     stamps = [k for k in keys if isinstance(df.schema[k].dataType, (T.TimestampType, T.TimestampNTZType))]
-    out = df.withColumns({k + DAY: F.col(k).cast("date") for k in stamps}) if stamps else df
+    clash = [k + DAY for k in stamps if (k + DAY).lower() in (c.lower() for c in df.columns)]
+    if clash:
+        raise ValueError(f"columns that the layout adds are taken: {clash}")
+    out = df.select("*", *[day_of(F.col(k), df.schema[k].dataType).alias(k + DAY, metadata={DAY_OF: k}) for k in stamps])
     out = out.withColumn("__h", spread_hash(df))
     out = out.repartitionByRange(files, *keys, "__h").sortWithinPartitions(*keys)
     out.drop("__h").write.parquet(path)
@@ -49,7 +57,7 @@ def key_range(spark: SparkSession, path: str, key: str, lo=None, hi=None, cols=N
         conds.append(at_least(df, key, typed(lo, kind)))
     if hi is not None:
         conds.append(at_most(df, key, typed(hi, kind)))
-    cols = cols or [c for c in df.columns if not c.endswith(DAY)]
+    cols = cols or [f.name for f in df.schema.fields if DAY_OF not in (f.metadata or {})]
     return df.where(all_of(conds)).select(*cols)
 
 
@@ -57,15 +65,30 @@ def write_partitioned(df: DataFrame, path: str, cols) -> None:
     """Write one folder per value of ``cols``.
 
     The rebalance hint sends a value's rows to few tasks, so there are few
-    files, and lets adaptive execution split a value that is too large.
+    files, and lets adaptive execution split a value that is too large. The
+    table's schema is kept in a subfolder that readers skip, as folder names
+    alone do not say that '007' is text. Spark reads an empty text as NULL.
     """
     cols = _as_list(cols)
     df.hint("rebalance", *[F.col(c) for c in cols]).write.partitionBy(*cols).parquet(path)
+    kept = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
+    kept.coalesce(1).write.text(f"{path}/{SCHEMA}")
+
+
+def written(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``write_partitioned`` with its own types, or any other Parquet table."""
+    try:
+        kept = spark.read.text(f"{path}/{SCHEMA}", wholetext=True).first()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(path)
+    return spark.read.schema(T.StructType.fromJson(json.loads(kept[0]))).parquet(path)
 
 
 def read_partitioned(spark: SparkSession, path: str, cond: Column, cols=None) -> DataFrame:
     """Read with a condition on partition columns; other folders are not opened."""
-    df = spark.read.parquet(path).where(cond)
+    df = written(spark, path).where(cond)
     return df.select(*cols) if cols else df
 
 
@@ -77,7 +100,7 @@ def scan_footprint(spark: SparkSession, path: str, cond: Column) -> DataFrame:
     """
     meta = F.col("_metadata")
     blocks = (
-        spark.read.parquet(path)
+        written(spark, path)
         .select(
             meta["file_path"].alias("file"),
             meta["file_size"].alias("bytes"),
