@@ -4,6 +4,7 @@ import pytest
 from oracle_check import same_rows
 from pyspark.sql import functions as F
 
+from tunesmith.plans.inspect import settings
 from tunesmith.plans.skew import equi_join, hot_keys, sketch_keys, skew_join
 
 SQL = {
@@ -105,3 +106,27 @@ def test_column_clash_is_refused(spark):
     l, r = sides(spark)
     with pytest.raises(ValueError):
         skew_join(l, r.withColumnRenamed("w", "v"), "k")
+
+
+def test_every_hot_key_is_found(spark):
+    df = spark.range(30_000).select((F.col("id") % 3000).alias("k"))
+    (seen,) = sketch_keys([(df, ["k"])], 5)
+    assert hot_keys(df, ["k"], seen.likely, 5).count() == 3000
+
+
+def test_exploded_rows_are_seen(spark, monkeypatch):
+    import tunesmith.plans.skew as skew
+
+    monkeypatch.setattr(skew, "HOT_ROWS", 10_000)
+    one = spark.sql("SELECT 7 AS k, explode(sequence(1, 60000)) AS v")
+    assert not skew.few_rows(one, 10_000) and skew.few_rows(spark.range(5).toDF("k"), 10_000)
+    joined = skew_join(one, spark.sql("SELECT 7 AS k, 'x' AS w"), "k", hint="merge")
+    assert joined.count() == 60_000 and "__skew_a" in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_equal_rows_of_one_partition_are_split(spark):
+    keys = spark.range(40_000).select(F.lit(7).alias("k")).repartition(4, "k")
+    with settings(spark, spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1"):
+        out = skew_join(keys, spark.sql("SELECT 7 AS k"), "k", "left_semi", hot_rows=4_000, hint="merge")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 20_000

@@ -15,8 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from tunesmith.functions.exact import null_safe
-from tunesmith.plans.skew import HOT_ROWS, hot_keys, sketch_keys, split_hot
-from tunesmith.plans.sizing import if_small, one_task_reads, shuffle_partitions
+from tunesmith.plans.skew import HOT_ROWS, few_rows, hot_keys, sketch_keys, split_hot
+from tunesmith.plans.sizing import if_small, shuffle_partitions
 from tunesmith.sources.scratch import stored
 
 MAX_PARTS = 20_000
@@ -53,7 +53,7 @@ def ordered_scan(
                     cheaper to look for hot groups in
     """
     source = df if counted_in is None else counted_in
-    look = hot_rows is not None or not one_task_reads(source)
+    look = hot_rows is not None or not few_rows(source, HOT_ROWS)
     hot_rows = hot_rows or HOT_ROWS
     by, order = list(by), list(order)
 
@@ -70,7 +70,7 @@ def ordered_scan(
         rows = df.count()
         return in_one_task(df) if rows <= hot_rows else in_parts(df, rows)
     (seen,) = sketch_keys([(source, by)], hot_rows, null_is_key=True) if look else (None,)
-    if not (seen and seen.likely):
+    if seen is None or seen.likely is None:
         return in_one_task(df)
     hot = stored(hot_keys(source, by, seen.likely, hot_rows, null_is_key=True), "hot")
     total = hot.agg(F.coalesce(F.sum("__skew_n"), F.lit(0))).first()[0]
@@ -90,7 +90,7 @@ def _by_parts(df, by, order, name, local, summary, carry, merge, whole, parts):
     within = Window.partitionBy("__scan_part", *by).orderBy(*order)
     before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__scan_part").rowsBetween(Window.unboundedPreceding, -1)
     keys = ["__scan_part", *by]
-    # One row per part and hot group: at most MAX_PARTS + HOT_KEYS rows.
+    # One row per part and hot group.
     left_over = ranged.groupBy(*keys).agg(summary.alias("__scan_sum"))
     left_over = left_over.withColumn("__scan_carry", carry(F.col("__scan_sum"), before))
     extra = []

@@ -1,7 +1,8 @@
 """Equi joins that hold when one key has a third of all rows.
 
-A sketch over the key columns (``approx_top_k``, merged map-side) names the keys
-that may be hot; their exact counts are then taken. A hot key with ``n`` rows on
+Key hashes are counted in a fixed number of buckets (added up map-side). A bucket
+with few rows holds no hot key; the keys of the others are counted exactly, so every
+hot key is found. They stay in a table and never come to the driver. A hot key with ``n`` rows on
 the left is cut into ``a`` cells and its right rows are copied to each of them;
 a key that is hot on the right is cut into ``b`` cells the other way round. The
 join keys become (keys, a, b), so every matching pair meets in exactly one cell.
@@ -13,7 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tunesmith.functions.exact import all_of, any_null, null_safe, spread_hash
 from tunesmith.plans.sizing import (
@@ -28,11 +29,8 @@ from tunesmith.sources.scratch import stored
 
 # Rows of one key that a single task handles without trouble.
 HOT_ROWS = 2_000_000
-# Hot keys looked for, and counters kept by the sketch to find them.
-HOT_KEYS = 1_000
-SKETCH_ITEMS = 10_000
-# Tasks that merge sketches before the last one does.
-MERGERS = 256
+# Buckets that key hashes are counted in; a bucket number is 4 bytes, so a list of them is under 1 MB.
+BUCKETS = 1 << 17
 
 ONE_SIDED = ("left_semi", "left_anti")
 
@@ -68,64 +66,61 @@ def equi_join(l: DataFrame, r: DataFrame, on, how: str = "inner") -> DataFrame:
 class Sketch:
     """What one pass over the key columns of a side found."""
 
-    likely: list  # hashes of keys that may be hot, at most HOT_KEYS
+    likely: DataFrame | None  # buckets of key hashes that may hold a hot key; None if there is none
     nulls: int  # rows with a NULL among the keys
 
 
+def _bucket(keys) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(BUCKETS)).cast("int")
+
+
 def sketch_keys(sides, hot_rows: int, null_is_key: bool = False) -> list[Sketch]:
-    """Sketch the keys of one or more (table, keys) in one job.
+    """Count the key hashes of one or more (table, keys) by bucket, in one job.
 
-    ``null_is_key`` counts NULL as a key, as grouping does; a join does not.
-    Every key with more than a thousandth of the rows is found.
+    ``null_is_key`` counts NULL as a key, as grouping does; a join does not. Every
+    key with more than ``hot_rows`` rows is in a bucket with more than that, so none
+    is missed, however many there are; ``hot_keys`` leaves the other buckets out.
     """
     if not sides:
         return []
     digests = [
-        df.select(
-            F.lit(i).alias("side"),
-            F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger"),
-            (F.lit(True) if null_is_key else ~any_null(keys)).alias("ok"),
-            F.xxhash64(*[F.col(k) for k in keys]).alias("h"),
-        )
+        df.select(F.lit(i).alias("side"), F.when(F.lit(True) if null_is_key else ~any_null(keys), _bucket(keys)).alias("__skew_bucket"))
         for i, (df, keys) in enumerate(sides)
     ]
-    # A sketch per input task is too much for one task to merge.
-    sketches = (
-        reduce(DataFrame.unionAll, digests)
-        .groupBy("side", "merger")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(CASE WHEN ok THEN h END, {SKETCH_ITEMS})").alias("sketch"),
-            F.count_if(~F.col("ok")).alias("nulls"),
-        )
-    )
-    merged = sketches.groupBy("side").agg(
-        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("nulls").alias("nulls")
-    )
-    top = F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})").alias("top")
-    found = {row["side"]: row for row in merged.select("side", "nulls", top).collect()}
+    counts = reduce(DataFrame.unionAll, digests).groupBy("side", "__skew_bucket").agg(F.count(F.lit(1)).alias("n"))
+    crowded = stored(counts.where(F.col("__skew_bucket").isNull() | (F.col("n") > hot_rows)), "buckets")
+    known = F.col("__skew_bucket").isNotNull()
+    totals = crowded.groupBy("side").agg(F.count_if(known).alias("buckets"), F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("nulls"))
+    found = {row["side"]: row for row in totals.collect()}
     out = []
     for i in range(len(sides)):
-        top = found[i]["top"] or [] if i in found else []
-        likely = [t["item"] for t in top if t["count"] > hot_rows and t["item"] is not None]
-        out.append(Sketch(likely, found[i]["nulls"] if i in found else 0))
+        row = found.get(i)
+        buckets = crowded.where(known & (F.col("side") == i)).select("__skew_bucket")
+        out.append(Sketch(buckets if row and row["buckets"] else None, row["nulls"] if row else 0))
     return out
 
 
-def hot_keys(df: DataFrame, keys, likely, hot_rows: int, null_is_key: bool = False) -> DataFrame:
-    """Hot keys as ``__skew_k0, ...`` with their exact row counts ``__skew_n``."""
-    maybe = F.xxhash64(*[F.col(k) for k in keys]).isin(likely) if likely else F.lit(False)
-    usable = maybe if null_is_key else maybe & ~any_null(keys)
-    counted = df.where(usable).groupBy(*[F.col(k).alias(f"__skew_k{i}") for i, k in enumerate(keys)])
+def hot_keys(df: DataFrame, keys, likely: DataFrame | None, hot_rows: int, null_is_key: bool = False) -> DataFrame:
+    """Hot keys as ``__skew_k0, ...`` with their exact row counts ``__skew_n``; none is left out."""
+    usable = df if null_is_key else df.where(~any_null(keys))
+    keyed = usable.select(*[F.col(k).alias(f"__skew_k{i}") for i, k in enumerate(keys)], _bucket(keys).alias("__skew_bucket"))
+    # At most BUCKETS rows of one number each.
+    keyed = keyed.where("false") if likely is None else keyed.join(F.broadcast(likely), "__skew_bucket", "left_semi")
+    counted = keyed.groupBy(*[f"__skew_k{i}" for i in range(len(keys))])
     return counted.agg(F.count(F.lit(1)).alias("__skew_n")).where(F.col("__skew_n") > hot_rows)
 
 
+def few_rows(df: DataFrame, hot_rows: int) -> bool:
+    """Can no key of the table be hot? Rows are counted where Catalyst's estimate says they may be few."""
+    return one_task_reads(df) and df.count() <= hot_rows
+
+
 def _cells(left_hot: DataFrame, right_hot: DataFrame, n_keys: int, hot_rows: int) -> DataFrame:
-    """Hot keys of both sides with their numbers of cells, at most 2 * HOT_KEYS rows."""
+    """Hot keys of both sides with their numbers of cells, a cell for every ``hot_rows`` rows."""
     names = [f"__skew_k{i}" for i in range(n_keys)]
-    most = shuffle_partitions(left_hot.sparkSession)
 
     def cut(n):
-        return F.greatest(F.lit(1), F.least(F.lit(most), F.ceil(F.sum(n) / hot_rows))).cast("int")
+        return F.greatest(F.lit(1), F.ceil(F.sum(n) / hot_rows)).cast("int")
 
     none, rows = F.lit(0).cast("long"), F.col("__skew_n")
     both = left_hot.select(*names, rows.alias("l"), none.alias("r")).unionAll(
@@ -136,19 +131,22 @@ def _cells(left_hot: DataFrame, right_hot: DataFrame, n_keys: int, hot_rows: int
     return stored(cells, "cells")
 
 
-def _in_cells(df, keys, cells, own, own_cells, other, other_cells, copied, spread_on):
+def _in_cells(df, keys, cells, own, own_cells, other, other_cells, copied, spread_on, null_cells):
     """Give each row a cell of its own side and copy it to the other side's.
 
-    ``copied`` is False if no key is hot on the other side.
+    ``copied`` is False if no key is hot on the other side. Rows of nothing but keys
+    are equal in a hot key: they are numbered, and written so that the numbers stay.
     """
+    columns = df.columns
+    if spread_on is None and set(columns) <= set(keys):
+        df = stored(df.withColumn("__skew_row", F.monotonically_increasing_id()), "numbered")
     names = [f"__skew_k{i}" for i in range(len(keys))]
     tagged = df.join(
-        # at most 2 * HOT_KEYS rows
         if_small(cells),
         all_of([F.col(k) == F.col(n) for k, n in zip(keys, names)]),
         "left",
     )
-    everywhere = F.lit(shuffle_partitions(df.sparkSession))
+    everywhere = F.lit(max(shuffle_partitions(df.sparkSession), null_cells))
     spans = F.when(any_null(keys), everywhere).otherwise(F.coalesce(F.col(own_cells), F.lit(1)))
     cell = F.when(spans > 1, F.pmod(spread_hash(df, spread_on), spans)).otherwise(F.lit(0).cast("long"))
     copies = F.coalesce(F.col(other_cells), F.lit(1)) if copied else F.lit(1)
@@ -156,7 +154,7 @@ def _in_cells(df, keys, cells, own, own_cells, other, other_cells, copied, sprea
     return (
         tagged.withColumns({own: cell, "__skew_copies": copies})
         .withColumn(other, each if copied else F.lit(0).cast("long"))
-        .drop("__skew_ca", "__skew_cb", *names)
+        .drop("__skew_ca", "__skew_cb", "__skew_row", *names)
     )
 
 
@@ -195,12 +193,12 @@ def skew_join(
         r, unique_right = r.select(*rk).where(~any_null(rk)).distinct(), True
     keeps_left = how in ("left", "full", "left_anti")
     keeps_right = how in ("right", "full")
-    # No key is hot in a table that one task can read, unless the caller says so.
-    look = [hot_rows is not None or not one_task_reads(l), False]
-    look[1] = not unique_right and (hot_rows is not None or not one_task_reads(r))
+    # No key is hot in a table of few rows, unless the caller says so.
+    look = [hot_rows is not None or not few_rows(l, HOT_ROWS), False]
+    look[1] = not unique_right and (hot_rows is not None or not few_rows(r, HOT_ROWS))
     hot_rows = hot_rows or HOT_ROWS
     found = iter(sketch_keys([side for side, yes in zip([(l, lk), (r, rk)], look) if yes], hot_rows))
-    left, right = [next(found) if yes else Sketch([], 0) for yes in look]
+    left, right = [next(found) if yes else Sketch(None, 0) for yes in look]
 
     def hinted(a, b):
         if not hint:
@@ -208,7 +206,7 @@ def skew_join(
         return (a.hint(hint), b) if hint_left else (a, b.hint(hint))
 
     crowded_nulls = (keeps_left and left.nulls > hot_rows) or (keeps_right and right.nulls > hot_rows)
-    if not (left.likely or right.likely or crowded_nulls):
+    if left.likely is None and right.likely is None and not crowded_nulls:
         a, b = hinted(l, r)
         return equi_join(a, b, pairs, how)
 
@@ -217,8 +215,8 @@ def skew_join(
     )
     a = l if keeps_left else l.where(~any_null(lk))
     b = r if keeps_right else r.where(~any_null(rk))
-    a = _in_cells(a, lk, cells, "__skew_a", "__skew_ca", "__skew_b", "__skew_cb", bool(right.likely), spread_on)
-    b = _in_cells(b, rk, cells, "__skew_b", "__skew_cb", "__skew_a", "__skew_ca", bool(left.likely), None)
+    a = _in_cells(a, lk, cells, "__skew_a", "__skew_ca", "__skew_b", "__skew_cb", right.likely is not None, spread_on, -(-left.nulls // hot_rows))
+    b = _in_cells(b, rk, cells, "__skew_b", "__skew_cb", "__skew_a", "__skew_ca", left.likely is not None, None, -(-right.nulls // hot_rows))
     in_cell = pairs + [("__skew_a", "__skew_a"), ("__skew_b", "__skew_b")]
     if not (hint or (_known_size(a) and _known_size(b))):
         hint = "merge"
@@ -242,6 +240,5 @@ def skew_join(
 def split_hot(df: DataFrame, by, hot: DataFrame):
     """Rows of cold groups and rows of hot groups; NULL is a group."""
     match = null_safe(by, [f"__skew_k{i}" for i in range(len(by))])
-    # at most HOT_KEYS rows
     hot = if_small(hot)
     return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
