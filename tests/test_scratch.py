@@ -2,6 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from tunesmith.sources import scratch
 from tunesmith.sources.scratch import scratch_folder, stored
 
 
@@ -32,3 +33,17 @@ def test_stored_tables_are_fixed(spark):
     once = stored(spark.range(10).selectExpr("id", "rand() AS r"))
     assert once.collect() == once.collect()
     assert "parquet" in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_released_tables_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_folder", lambda spark: str(tmp_path))
+    kept = stored(spark.range(3))
+    with scratch.released(spark):
+        assert stored(spark.range(5)).count() == 5
+        assert len(list(tmp_path.iterdir())) == 2
+    assert len(list(tmp_path.iterdir())) == 1 and kept.count() == 3
+
+
+def test_a_local_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError):
+        scratch_folder(session("local-cluster[2,1,1024]"))

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
+# Paths given out in this process, in order.
+_paths: list[str] = []
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -18,7 +22,8 @@ def scratch_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    # A "local-cluster" has executors of its own, which need not share a folder.
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
@@ -27,7 +32,25 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _paths.append(path)
+    return path
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that operators write inside the block when it ends.
+
+    A result that is read from them must be used inside the block.
+    """
+    before = len(_paths)
+    try:
+        yield
+    finally:
+        for path in _paths[before:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del _paths[before:]
 
 
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
