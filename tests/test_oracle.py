@@ -4,6 +4,9 @@ import pytest
 from oracle_check import connect, differences
 
 import __spark_entry__ as driver
+from pyspark.sql import functions as F
+from tunesmith import queries
+from tunesmith.sources import layout
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -28,6 +31,7 @@ def test_entry(spark):
 
 
 def test_footprint_of_sorted_files(spark):
-    row = driver.queries()["scan_footprint_files"](spark, FOLDER).first()
+    cond = F.col("o_orderdate") < F.lit("1995-07-01").cast("timestamp_ntz")
+    row = layout.scan_footprint(spark, queries._orders_by_date(spark, FOLDER), cond).first()
     assert row["files_total"] == 8 and row["files_hit"] <= 2
     assert row["rows_hit"] < row["rows_total"] == 1500

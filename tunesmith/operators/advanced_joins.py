@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tunesmith.functions.exact import any_null, spread_hash
+from tunesmith.operators.joins import broadcast_join
 from tunesmith.plans.ordered import last_value, running_sum
 from tunesmith.plans.sizing import broadcast_limit, estimated_bytes, fits_broadcast, measured_bytes
 from tunesmith.plans.skew import equi_join, key_pairs, skew_join
@@ -103,13 +104,14 @@ def asof_join(l: DataFrame, r: DataFrame, by, on, tie: str | None = None, hot_ro
     )
 
 
-def salted_join(l: DataFrame, r: DataFrame, on, how: str = "inner", hot_rows: int | None = None, spread_on=None):
+def salted_join(l: DataFrame, r: DataFrame, on, how: str = "inner", hot_rows: int | None = None, spread_on=None, limit: int | None = None):
     """Equi join in which every key with more than ``hot_rows`` rows is salted.
 
-    Only hot keys are copied, each as often as its row count asks for and at
-    most once per shuffle partition. All join types, including full.
+    A side under the broadcast limit (``limit`` bytes, if given) is broadcast, which
+    no hot key can hurt. Else hot keys are copied, each as often as its row count
+    asks for. All join types, including full.
     """
-    return skew_join(l, r, on, how, hot_rows=hot_rows, spread_on=spread_on)
+    return broadcast_join(l, r, on, how, limit, hot_rows=hot_rows, spread_on=spread_on)
 
 
 def star_join(fact: DataFrame, dims, limit: int | None = None, **skew) -> DataFrame:

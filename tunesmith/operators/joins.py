@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tunesmith.functions.exact import any_null, null_safe, spread_hash
 from tunesmith.plans.sizing import fits_broadcast, shuffle_partitions
 from tunesmith.plans.skew import ONE_SIDED, equi_join, key_pairs, skew_join
+from tunesmith.sources.scratch import stored
 
 COMPARE = {
     "=": lambda a, b: a == b,
@@ -34,23 +35,26 @@ def theta_join(l: DataFrame, r: DataFrame, cond: Column, how: str = "inner", lim
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     if how == "right":
         return theta_join(r, l, cond, "left", limit).select(l.columns + r.columns)
-    if how == "full":
-        left = theta_join(l, r, cond, "left", limit)
-        return left.unionByName(theta_join(r, l, cond, "left_anti", limit), allowMissingColumns=True)
-    if fits_broadcast(r, limit):
+    if fits_broadcast(r, limit) and how != "full":
         return l.join(F.broadcast(r), cond, how)
     if how == "inner" and fits_broadcast(l, limit):
         return F.broadcast(l).join(r, cond, how).select(l.columns + r.columns)
     if how == "inner":
         return _grid(l, r, cond)
-    # Rows of equal values have the same partners, so the matched rows can be
-    # told by value.
-    matched = _grid(l, r, cond).select([F.col(c).alias(f"__m_{c}") for c in l.columns]).distinct()
-    same = null_safe(l.columns, matched.columns)
+    # The pairs are looked at once. Rows of equal values have the same partners,
+    # so the matched rows can be told by value.
+    pairs = _grid(l, r, cond)
     if how in ONE_SIDED:
-        return l.join(matched, same, how)
-    alone = l.join(matched, same, "left_anti")
-    return _grid(l, r, cond).unionByName(alone, allowMissingColumns=True)
+        return _of_matched(l, pairs, how)
+    pairs = stored(pairs, "pairs")
+    out = pairs.unionByName(_of_matched(l, pairs, "left_anti"), allowMissingColumns=True)
+    return out.unionByName(_of_matched(r, pairs, "left_anti"), allowMissingColumns=True) if how == "full" else out
+
+
+def _of_matched(side: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
+    """The rows of a side that are, or are not, in any pair."""
+    matched = pairs.select([F.col(c).alias(f"__m_{c}") for c in side.columns]).distinct()
+    return side.join(matched, null_safe(side.columns, matched.columns), how)
 
 
 def _grid(l: DataFrame, r: DataFrame, cond: Column) -> DataFrame:

@@ -224,6 +224,9 @@ ORACLE = {
         FROM (SELECT o_orderpriority, count(*) AS n,
                      count(*) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 300000) AS hits
               FROM orders GROUP BY 1)""",
+    "scan_footprint_files": """
+        SELECT count(*) AS rows_total, count(*) FILTER (o_orderdate < TIMESTAMP '1995-07-01') AS rows_hit,
+               true AS many_files, true AS files_bounded FROM orders""",
     "write_partitioned": """
         SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
         WHERE year(o_orderdate) BETWEEN 1996 AND 1997 AND o_orderstatus = 'F'""",
