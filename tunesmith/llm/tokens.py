@@ -22,11 +22,12 @@ from pyspark.sql import Column, functions as F
 from tokenizers import Tokenizer
 
 # Entries a worker keeps in each of two generations, and the longest piece it keeps.
-KEPT, LONGEST = 250_000, 64
+KEPT, LONGEST = 400_000, 64
 
 # Unicode white space, as the vocabularies' patterns see it: a fixed value.
 WHITE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _ODD_WHITE = [c for c in WHITE if c not in " \n"]
+_ODD_ASCII = [c for c in _ODD_WHITE if c.isascii()]
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 _PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 
@@ -67,6 +68,9 @@ _LETTERS = dict(enumerate(byte_letters()))
 
 
 def letters_of(pretoken: str) -> str:
+    if pretoken.isascii() and pretoken[1:].isalpha():
+        # Letters stand for themselves; only a blank before them does not.
+        return _LETTERS[ord(pretoken[0])] + pretoken[1:]
     return pretoken.encode().decode("latin-1").translate(_LETTERS)
 
 
@@ -78,7 +82,8 @@ def cut(text: str) -> list[str] | None:
     """
     if not text or text[0] in WHITE or text[-1] in WHITE:
         return None
-    if any(c in text for c in _DOUBLE) or any(c in text for c in _ODD_WHITE):
+    odd = _ODD_ASCII if text.isascii() else _ODD_WHITE
+    if any(c in text for c in _DOUBLE) or any(c in text for c in odd):
         return None
     return text.replace("\n", " \n").split(" ")
 
@@ -99,9 +104,21 @@ class ByteLevel:
     def __init__(self, of_pretoken: Callable, of_special, join: Callable):
         self.join, self.of_special = join, of_special
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.pretokens = Memo(of_pretoken)
-        self.chunks = Memo(self._chunk)
-        self.pieces = Memo(lambda p: self._chunk(p if p[0] == "\n" else " " + p))
+        self.of_pretoken = of_pretoken
+        self.pretokens = Memo(of_pretoken, KEPT // 8)
+        self.chunks = Memo(self._chunk, KEPT // 8)
+        self.pieces = Memo(self._piece)
+
+    def _piece(self, piece: str):
+        """The value of a piece with a blank before it, or of one that begins with a line end."""
+        if piece.isalpha():
+            return self.of_pretoken(" " + piece)
+        end = _ENDING.search(piece)
+        if end and piece[: end.start()].isalpha():
+            return self.join([self.pieces[piece[: end.start()]], self.pretokens[end[0]]])
+        if piece[0] == "\n" and piece[1:].isalpha():
+            return self.join([self.pretokens["\n"], self.pretokens[piece[1:]]])
+        return self._chunk(piece if piece[0] == "\n" else " " + piece)
 
     def _chunk(self, chunk: str):
         body = chunk[1:] if chunk[0] == " " else chunk
@@ -127,8 +144,7 @@ class ByteLevel:
 
 
 def _as_bytes(ids) -> bytes:
-    out = array("I", ids)
-    return out.tobytes()
+    return array("I", ids).tobytes()
 
 
 @lru_cache(4)
@@ -143,7 +159,7 @@ def byte_level_ids(path: str) -> Callable[[str], bytes]:
     model = whole.model
 
     def of_pretoken(pretoken: str) -> bytes:
-        return _as_bytes(t.id for t in model.tokenize(letters_of(pretoken)))
+        return _as_bytes([t.id for t in model.tokenize(letters_of(pretoken))])
 
     return ByteLevel(of_pretoken, _as_bytes([whole.token_to_id(ByteLevel.SPECIAL)]), b"".join)
 
@@ -155,7 +171,7 @@ def word_ids(path: str) -> Callable[[str], bytes]:
     model = whole.model
 
     def of_letters(word: str) -> bytes:
-        return _as_bytes(t.id for t in model.tokenize(letters_of(word.lower())))
+        return _as_bytes([t.id for t in model.tokenize(letters_of(word.lower()))])
 
     letters = Memo(of_letters)
 
