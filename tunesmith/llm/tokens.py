@@ -173,7 +173,7 @@ def word_ids(path: str) -> Callable[[str], bytes]:
     def of_letters(word: str) -> bytes:
         return _as_bytes([t.id for t in model.tokenize(letters_of(word.lower()))])
 
-    letters = Memo(of_letters)
+    letters = Memo(of_letters, KEPT * 3 // 8)
 
     def of_word(raw: bytes) -> bytes:
         word = raw.decode()
@@ -185,7 +185,7 @@ def word_ids(path: str) -> Callable[[str], bytes]:
                 return letters[word[: end.start()]] + letters[end[0]]
         return _as_bytes(whole.encode(word, add_special_tokens=False).ids)
 
-    words = Memo(of_word)
+    words = Memo(of_word, KEPT * 3 // 4)
     return lambda text: b"".join(map(words.__getitem__, text.encode().split()))
 
 
