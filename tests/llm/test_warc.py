@@ -100,3 +100,26 @@ def test_damage_in_stored_archives(spark, tmp_path):
     found = W.read_warc(spark, str(folder))
     assert [tuple(r)[1:] for r in W.gaps(found).collect()] == [(len(plain(1)), 6, "no version line")]
     assert found.where("problem is null").count() == 2
+
+
+@pytest.mark.parametrize("members", [True, False])
+def test_round_trip_of_long_urls(spark, tmp_path, members):
+    path, rows = str(tmp_path / "w"), [(1, "data:," + "x" * 150_000, "a", None, None), (2, "u", BIG, None, None), (3, "ä WARC/1.1" * 300_000, BIG, None, None)]
+    W.write_warc(spark.createDataFrame(rows, SCHEMA).repartition(1), path, members=members)
+    found = W.read_warc(spark, path)
+    assert sorted(map(tuple, W.page_records(found).collect()), key=str) == expected(rows)
+    assert W.gaps(found).collect() == []
+    assert {r["url"] for r in found.collect()} == {r[1] for r in rows}
+
+
+def test_salvage_beside_long_headers():
+    long = plain(2).replace(b"WARC-Type", b"X: " + b"WARC/1.1 " * 20_000 + b"\r\nWARC-Type")
+    hurt = long.replace(b"Content-Length", b"Content-Lenght")
+    assert ids(plain(1) + long + plain(3)) == ["1", "2", "3"]
+    assert ids(plain(1) + hurt + plain(3)) == ["1", (len(hurt), "no content length"), "3"]
+    assert ids(plain(1) + long[: long.index(b"WARC-Type")] + plain(3))[::2] == ["1", "3"]
+    # Version lines within headers are not read again from each of them.
+    for junk in (b"x:WARC/1.1\r\n" * 200_000, b"WARC/1.1\r\nA: b\r\n" * 200_000):
+        got = ids(junk + b"\r\n" + plain(1) + junk)
+        assert got[1] == "1" and len(got) == 3
+        assert ids(junk + plain(1)) == [(len(junk), got[0][1]), "1"]

@@ -26,9 +26,9 @@ from tunesmith.plans.sizing import OWN_LIMIT, fits_broadcast
 
 # Payloads of fewer bytes are never revisits; records in a file; bytes in one batch of the reader.
 LEAST_BYTES, FILE_RECORDS, BATCH_BYTES = 1000, 20_000, 16 << 20
-# Bytes of headers that the reader accepts, and the step in which members are unpacked.
-HEADER_BYTES, STEP = 1 << 16, 1 << 16
-END, MEMBER = b"\r\n\r\n", b"\x1f\x8b\x08"
+# The step in which members are unpacked.
+STEP = 1 << 16
+LINE, END, MEMBER, VERSION = b"\r\n", b"\r\n\r\n", b"\x1f\x8b\x08", b"WARC/1."
 _EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -115,7 +115,11 @@ def write_warc(pages: DataFrame, path: str, payload: str = "html", page: str = "
 
 
 class Damaged(Exception):
-    """Why no valid record begins at a place."""
+    """Why no valid record begins at a place, and, of a plain one, none at places up to ``beyond`` either."""
+
+    def __init__(self, reason: str, beyond: int = 0):
+        super().__init__(reason)
+        self.beyond = beyond
 
 
 def _member_at(content: bytes, at: int) -> tuple[bytes, int]:
@@ -132,23 +136,28 @@ def _member_at(content: bytes, at: int) -> tuple[bytes, int]:
 
 
 def _plain_at(content: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
-    if not re.compile(rb"WARC/1\.\d+\r\n").match(content, at):
+    """Headers of any length: they go on to an empty line, and a line without a colon ends the search.
+
+    A version line among the lines passed over has the same lines behind it, so it fails too.
+    """
+    version = re.compile(rb"WARC/1\.\d+\r\n").match(content, at)
+    if not version:
         raise Damaged("no version line")
-    stop = content.find(END, at, at + HEADER_BYTES)
-    if stop < 0:
-        raise Damaged("the headers do not end")
-    headers = {}
-    for line in content[at:stop].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
+    headers, line = {}, version.end()
+    while (stop := content.find(LINE, line)) != line:
+        if stop < 0:
+            raise Damaged("the headers do not end", line)
+        name, colon, value = content[line:stop].partition(b":")
         if not colon:
-            raise Damaged("a header line has no colon")
+            raise Damaged("a header line has no colon", line)
         headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+        line = stop + len(LINE)
     if not re.fullmatch(r"\d{1,18}", headers.get("content-length", ""), re.ASCII):
-        raise Damaged("no content length")
-    first = stop + len(END)
+        raise Damaged("no content length", line)
+    first = line + len(LINE)
     end = first + int(headers["content-length"])
     if content[end : end + len(END)] != END:
-        raise Damaged("no end mark after the block")
+        raise Damaged("no end mark after the block", line)
     block = content[first:end]
     method, _, digest = headers.get("warc-block-digest", "").partition(":")
     if method == "sha1" and not _is_sha1(digest, block):
@@ -172,7 +181,10 @@ def record_at(content: bytes, at: int) -> tuple[dict[str, str] | None, bytes, in
     inner, end = _member_at(content, at)
     if not inner:
         return None, b"", end
-    headers, block, stop = _plain_at(inner, 0)
+    try:
+        headers, block, stop = _plain_at(inner, 0)
+    except Damaged as why:
+        raise Damaged(str(why)) from None
     if stop != len(inner):
         raise Damaged("the member holds more than a record")
     return headers, block, end
@@ -181,16 +193,16 @@ def record_at(content: bytes, at: int) -> tuple[dict[str, str] | None, bytes, in
 def salvage(content: bytes) -> Iterator[tuple[int, int, str | None, dict[str, str] | None, bytes]]:
     """(start, end, None, headers, block) of each valid record and (start, end, reason, None, b"") of each gap."""
     at, gap, reason = 0, None, None
-    marks = {MEMBER: 0, b"WARC/1.": 0}
+    marks = {MEMBER: 0, VERSION: 0}
     while at < len(content):
         try:
             headers, block, end = record_at(content, at)
         except Damaged as why:
             if gap is None:
                 gap, reason = at, str(why)
-            for mark, place in marks.items():
-                if 0 <= place <= at:
-                    marks[mark] = content.find(mark, at + 1)
+            for mark, least in ((MEMBER, at + 1), (VERSION, max(at + 1, why.beyond))):
+                if 0 <= marks[mark] < least:
+                    marks[mark] = content.find(mark, least)
             at = min((p for p in marks.values() if p >= 0), default=len(content))
             continue
         if gap is not None:
