@@ -85,3 +85,44 @@ def test_query_does_not_depend_on_partitions(spark):
     got = sorted(map(tuple, queries.op5_piece_sampling(spark, folder).collect()))
     again = S.round_trips(spark.read.parquet(f"{folder}/documents.parquet").repartition(5), PATH)
     assert got == sorted(map(tuple, again.collect())) and len(got) == 200 and all(r[3] for r in got)
+
+
+def units(text):
+    """The mark of a blank for each blank of a text and the one before it, as the lattices have them."""
+    return (" " + text).replace(" ", S.BLANK)
+
+
+@pytest.mark.parametrize("text", ["a" + " " * n + "b" for n in range(1, 20)] + ["   ", " " * 16 + "y", "if x:\n        return  y  \n\n    \nend   ", " | a    |   b |\n|--|     "])
+def test_the_librarys_own_blank_runs_are_ways(text):
+    model, sampler = sentencepiece.SentencePieceProcessor(model_file=PATH), S.Sampler(PATH)
+    for line in text.split("\n"):
+        own = model.encode(line)
+        assert [sampler.vocabulary.pieces[model.id_to_piece(i)][0] for i in own] == own
+        assert "".join(map(model.id_to_piece, own)) == (units(line) if line else "")
+    n = 3000
+    for ids in sampler.sample(list(range(n)), [text] * n):
+        assert sampler.decode(ids) == text
+
+
+@pytest.mark.parametrize("text", ["a   b", "    ", "  \n   x"])
+def test_draws_of_blank_runs_follow_the_weights(text):
+    sampler, n, model = S.Sampler(PATH), 20_000, sentencepiece.SentencePieceProcessor(model_file=PATH)
+    got = collections.Counter(tuple(x.tolist()) for x in sampler.sample(list(range(n)), [text] * n))
+    head, *lines = text.split("\n")
+    want = ways(sampler.vocabulary, head.replace(" ", S.BLANK))
+    for line in lines:
+        line_ways = ways(sampler.vocabulary, line.replace(" ", S.BLANK)[1:])
+        want = {(*a, sampler.vocabulary.byte_ids[10], *b): x * y for a, x in want.items() for b, y in line_ways.items()}
+    assert set(got) <= set(want) and len(want) > 3 and tuple(model.encode(text)) in want
+    for ids, share in want.items():
+        assert abs(got[ids] / n - share) < 5 * (share * (1 - share) / n) ** 0.5 + 1e-4
+
+
+def test_long_blank_runs():
+    texts = ["x" + " " * 20_000 + "y", " " * 3000]
+    sampler = S.Sampler(PATH)
+    runs = {i: p for p, (i, _) in sampler.vocabulary.pieces.items() if set(p) == {S.BLANK}}
+    assert sorted(map(len, runs.values())) == [*range(1, 15), 16]
+    for text, ids in zip(texts, sampler.sample([1, 2], texts)):
+        assert sampler.decode(ids) == text
+        assert np.isin(ids, [i for i, p in runs.items() if len(p) > 1]).sum() > len(text) / 40

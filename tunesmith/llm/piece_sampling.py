@@ -34,8 +34,8 @@ SCALE = 40.0
 FACTOR = 0x9E3779B97F4A7C15
 # Edges kept by a worker, and characters of text sampled at once.
 EDGES, CHARACTERS = 4_000_000, 1 << 19
-# The mark of a blank in a piece; longer pieces with a score under this are never used by the library.
-BLANK, UNUSED = "▁", -1e8
+# The mark of a blank in a piece.
+BLANK = "▁"
 _CHUNK = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -70,8 +70,8 @@ class Vocabulary:
                 self.raw[i] = bytes([int(piece[3:5], 16)])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.raw[i] = piece.replace(BLANK, " ").encode()
-                if (score := model.get_score(i)) > UNUSED or len(piece) == 1:
-                    self.pieces[piece] = i, (2 + min(-score, model.get_piece_size())) ** -alpha * SCALE ** len(piece)
+                # Blanks and their runs have a score far under all others, and the last rank.
+                self.pieces[piece] = i, (2 + min(-model.get_score(i), model.get_piece_size())) ** -alpha * SCALE ** len(piece)
         self.longest = max(map(len, self.pieces), default=1)
         self.singles = np.unique(_codes("".join(p for p in self.pieces if len(p) == 1)))
         pairs = "".join(p[k : k + 2] for p in self.pieces for k in range(len(p) - 1))
