@@ -123,3 +123,26 @@ def test_salvage_beside_long_headers():
         got = ids(junk + b"\r\n" + plain(1) + junk)
         assert got[1] == "1" and len(got) == 3
         assert ids(junk + plain(1)) == [(len(junk), got[0][1]), "1"]
+
+
+def test_members_of_several_records(spark, tmp_path):
+    hurt = plain(2).replace(b"xxxx", b"xyxx", 1)
+    whole, mixed, none = (gzip.compress(c, mtime=0) for c in (b"".join(map(plain, range(10, 40))), plain(1) + hurt + plain(3) + b"tail", b"WARC/1.0 text"))
+    content = plain(4) + whole + gzip.compress(b"", mtime=0) + none + mixed + gzip.compress(plain(5), mtime=0) + whole[:-9] + plain(6)
+    folder = tmp_path / "w"
+    folder.mkdir()
+    (folder / "a.warc.gz").write_bytes(content)
+    (folder / "b.warc.gz").write_bytes(whole)
+    found = W.read_warc(spark, str(folder))
+    rows = [r for r in found.collect() if r["file"].endswith("a.warc.gz")]
+    assert [r["record_id"] for r in rows if not r["problem"]] == ["4", *map(str, range(10, 40)), "1", "3", "5", "6"]
+    assert {tuple(r) for r in found.where("record_id = '17'").select("at", "size", "payload").collect()} == {(len(plain(4)), len(whole), b"x" * 50), (0, len(whole), b"x" * 50)}
+    at, a = content.index(mixed), len(plain(1))
+    b = a + len(hurt)
+    c = b + len(plain(3))
+    assert sorted(tuple(r)[1:] for r in W.gaps(found).collect()) == [
+        (content.index(none), len(none), "no version line"),
+        (at, len(mixed), f"no version line, in bytes {c} to {c + 4} of the member unpacked"),
+        (at, len(mixed), f"the block's digest differs, in bytes {a} to {b} of the member unpacked"),
+        (content.index(whole[:-9], at), len(whole) - 9, "the member is damaged"),
+    ]

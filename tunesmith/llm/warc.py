@@ -4,7 +4,9 @@ The reader checks each record: version line, headers, length, end mark, and the
 digest where one is stated; of a compressed archive also the gzip member. After a failed
 check it searches for the next byte where a whole valid record begins, by a member's magic
 bytes or a version line, and goes on there. The bytes passed over are returned as a gap with
-the reason. Without a valid record further on, the gap reaches the end of the file.
+the reason. Without a valid record further on, the gap reaches the end of the file. A gzip
+member of several records, as of an archive compressed as a whole, is walked in the same way
+once it is unpacked; a member that does not unpack to its end is a gap as a whole.
 
 Spark's text sink writes the archives: a record is a "line", and the line separator is the
 end mark of a plain record or, between gzip members, an empty member, which readers skip.
@@ -16,7 +18,8 @@ import gzip
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -174,29 +177,41 @@ def _is_sha1(stated: str, block: bytes) -> bool:
     return stated.upper() == "".join(alphabet[number >> 5 * k & 31] for k in range(31, -1, -1))
 
 
-def record_at(content: bytes, at: int) -> tuple[dict[str, str] | None, bytes, int]:
-    """The valid record or empty member at a place: headers (None for the latter), block, end."""
+Found = tuple[int, int, str | None, dict[str, str] | None, bytes]
+
+
+def records_at(content: bytes, at: int, inside: bool) -> tuple[Iterable[Found], int]:
+    """The valid record at a place, or none of an empty member, or with ``inside`` all records and gaps of a member that holds a valid one; and the end."""
     if content[at : at + len(MEMBER)] != MEMBER:
-        return _plain_at(content, at)
+        headers, block, end = _plain_at(content, at)
+        return [(at, end, None, headers, block)], end
     inner, end = _member_at(content, at)
     if not inner:
-        return None, b"", end
+        return [], end
     try:
         headers, block, stop = _plain_at(inner, 0)
+        if stop != len(inner):
+            raise Damaged("the member holds more than a record")
+        return [(at, end, None, headers, block)], end
     except Damaged as why:
-        raise Damaged(str(why)) from None
-    if stop != len(inner):
-        raise Damaged("the member holds more than a record")
-    return headers, block, end
+        walk = salvage(inner) if inside else iter(())
+        # After a gap comes a record or the end.
+        head = list(islice(walk, 2))
+        if all(problem for _, _, problem, _, _ in head):
+            raise Damaged(str(why)) from None
+    return ((at, end, problem and f"{problem}, in bytes {a} to {b} of the member unpacked", *rest) for a, b, problem, *rest in chain(head, walk)), end
 
 
-def salvage(content: bytes) -> Iterator[tuple[int, int, str | None, dict[str, str] | None, bytes]]:
-    """(start, end, None, headers, block) of each valid record and (start, end, reason, None, b"") of each gap."""
+def salvage(content: bytes, inside: bool = False) -> Iterator[Found]:
+    """(start, end, None, headers, block) of each valid record and (start, end, reason, None, b"") of each gap.
+
+    A member of more than a record is a gap, or with ``inside`` the records and gaps in it, all with the member's start and end.
+    """
     at, gap, reason = 0, None, None
     marks = {MEMBER: 0, VERSION: 0}
     while at < len(content):
         try:
-            headers, block, end = record_at(content, at)
+            found, end = records_at(content, at, inside)
         except Damaged as why:
             if gap is None:
                 gap, reason = at, str(why)
@@ -208,8 +223,7 @@ def salvage(content: bytes) -> Iterator[tuple[int, int, str | None, dict[str, st
         if gap is not None:
             yield gap, at, reason, None, b""
             gap = None
-        if headers is not None:
-            yield at, end, None, headers, block
+        yield from found
         at = end
     if gap is not None:
         yield gap, len(content), reason, None, b""
@@ -237,14 +251,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     Gaps have ``problem`` and only file, at (byte), and size besides. A record has its type,
     ids, url, the payload length and digest that it states, and its payload (null for a
-    revisit). A file is read by one task as a whole, so files should be under about 1 GB.
+    revisit). Those in a gzip member of several records have the member's place and size, and
+    ``problem`` says which of its unpacked bytes a gap is. A file is read by one task as a
+    whole, so files, and members when unpacked, should be under about 1 GB.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for found in salvage(content.as_py()):
+                for found in salvage(content.as_py(), inside=True):
                     rows.append(_row(name, *found))
                     size += len(found[4]) + 200
                     if size >= BATCH_BYTES:
