@@ -93,9 +93,80 @@ SELECT doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(r) AS comp
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_SMALL = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+RANKED = rf"""
+WITH terms AS (
+  SELECT d, doc_id, unnest(regexp_extract_all(translate(text, {_SMALL}), '{TERM}')) AS t
+  FROM (SELECT row_number() OVER () AS d, doc_id, text FROM documents)),
+tallied AS (SELECT d, any_value(doc_id) AS doc_id, t, count(*) AS tf FROM terms GROUP BY d, t),
+sized AS (SELECT d, CAST(sum(tf) AS BIGINT) AS n FROM tallied GROUP BY d),
+totals AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS nt FROM sized),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT t, count(*) AS df FROM tallied GROUP BY t), totals),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, {_SMALL}), '{TERM}')) AS t FROM benchmark WHERE item_id IS NOT NULL),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * nd) // nt))))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (t) JOIN tallied USING (t) JOIN sized USING (d), totals
+  WHERE doc_id IS NOT NULL GROUP BY item_id, d, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
+
+def _crc_table() -> list[int]:
+    """What each byte does to a 32-bit cyclic checksum, from its polynomial."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return table
+
+
+VARIANTS = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, r, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, {_SMALL}), '[a-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents) GROUP BY doc_id, r),
+hexed AS (SELECT r, n, length(r) AS size, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r)) AS x FROM runs),
+hashed AS (
+  SELECT r, n, size, xor(list_reduce(
+    list_transform(range(1, length(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, tab[xor(c & 255, b) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h
+  FROM hexed, (SELECT CAST({_crc_table()} AS BIGINT[]) AS tab)),
+dropped AS (SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, h % size) || substr(r, h % size + 2) ELSE r END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM dropped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+holes AS (SELECT word, i, substr(word, 1, i) AS front, substr(word, i + 2) AS back FROM (SELECT word, unnest(range(length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS x, b.word AS y FROM holes a JOIN holes b ON a.i = b.i AND a.front = b.front AND a.back = b.back AND a.word <> b.word
+  UNION SELECT holes.word, words.word FROM holes JOIN words ON words.word = front || back
+  UNION SELECT words.word, holes.word FROM holes JOIN words ON words.word = front || back),
+best AS (
+  SELECT x AS word, count(*) AS n_near, first(y ORDER BY n DESC, encode(y)) AS y, max(n) AS best_n FROM pairs JOIN words ON y = words.word GROUP BY x),
+forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * words.n THEN y END AS form, CASE WHEN best_n >= 5 * words.n THEN best_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS place FROM forms UNION ALL SELECT walk.word, form FROM walk JOIN forms ON walk.place = forms.word WHERE form IS NOT NULL)
+SELECT word, form, place AS root, n, CAST(n_near AS BIGINT) AS n_near, form_n
+FROM walk JOIN (SELECT word AS last FROM forms WHERE form IS NULL) ON place = last JOIN forms USING (word)
+"""
+
+TOP_PRODUCTS = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+one AS (SELECT vec_id, min(e) AS e FROM v GROUP BY vec_id),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM one q JOIN one c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op3_minhash": MINHASH,
     "op1_rabitq": NEAREST,
     "op2_warc": WARC,
     "op4_host_rules": HOST_RULES,
+    "op11_ball_tree": RANKED,
+    "op12_gram_variants": VARIANTS,
+    "op13_block_max": TOP_PRODUCTS,
 }

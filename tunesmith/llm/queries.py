@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tunesmith.llm import bit_planes, chains, host_rules, minhash, packing, piece_sampling, rabitq, secret_scan, token_counts, warc
+from tunesmith.llm import ball_tree, bit_planes, block_max, chains, gram_variants, host_rules, minhash, packing, piece_sampling, rabitq, secret_scan, token_counts, warc
 from tunesmith.llm.tokens import id_column, word_ids
 from tunesmith.sources.scratch import new_path
 from tunesmith.sources.tables import table
@@ -63,6 +63,18 @@ def op7_bit_planes(spark: SparkSession, folder: str) -> DataFrame:
     return bit_planes.document_starts(bit_planes.read_planes(spark, path))
 
 
+def op11_ball_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return ball_tree.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_gram_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return gram_variants.variants(table(spark, folder, "documents"))
+
+
+def op13_block_max(spark: SparkSession, folder: str) -> DataFrame:
+    return block_max.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_rabitq": op1_rabitq,
     "op2_warc": op2_warc,
@@ -74,4 +86,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_chains": op9_chains,
     "op10_token_counts": op10_token_counts,
+    "op11_ball_tree": op11_ball_tree,
+    "op12_gram_variants": op12_gram_variants,
+    "op13_block_max": op13_block_max,
 }
