@@ -52,7 +52,8 @@ def _kind(largest: int, dim: int) -> tuple[str, type]:
 
 
 def _clipped(scores: np.ndarray) -> np.ndarray:
-    return scores if scores.dtype == np.int64 else np.clip(scores, LOWEST, np.iinfo(np.int64).max).astype(np.int64)
+    """Whole scores as 64-bit numbers; what is beyond them becomes the nearest one above LOWEST."""
+    return (np.clip(scores, LOWEST + 1, np.iinfo(np.int64).max) if scores.dtype == object else scores).astype(np.int64)
 
 
 class Chunk:
@@ -70,7 +71,7 @@ class Chunk:
     def bounds(self, queries: np.ndarray) -> np.ndarray:
         """Queries x blocks: no row of the block scores higher."""
         zero = queries * 0
-        return np.maximum(queries, zero) @ self.most.T + np.minimum(queries, zero) @ self.least.T
+        return _clipped(np.maximum(queries, zero) @ self.most.T + np.minimum(queries, zero) @ self.least.T)
 
     def best(self, ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Scores and ids of each query's ``k`` best (LOWEST where there are fewer), and the blocks scored."""
@@ -78,8 +79,7 @@ class Chunk:
         bounds = self.bounds(queries)
         order = np.argsort(-bounds, axis=1, kind="stable")
         bounds = np.take_along_axis(bounds, order, axis=1)
-        wide = object if self.exact is object else np.int64
-        scores, found = np.full((len(ids), k), LOWEST, wide), np.full((len(ids), k), np.iinfo(np.int64).max)
+        scores, found = np.full((len(ids), k), LOWEST), np.full((len(ids), k), np.iinfo(np.int64).max)
         scored, at = 0, 0
         open_ = np.arange(len(ids))
         while len(open_) and at < order.shape[1]:
@@ -96,7 +96,7 @@ class Chunk:
     def _score(self, block: int, group: np.ndarray, ids: np.ndarray, queries: np.ndarray, scores: np.ndarray, found: np.ndarray) -> None:
         k = scores.shape[1]
         rows, own = self.rows[block * BLOCK : (block + 1) * BLOCK], self.ids[block * BLOCK : (block + 1) * BLOCK]
-        new = (queries[group] @ rows.T).astype(scores.dtype)
+        new = _clipped(queries[group] @ rows.T)
         new[ids[group][:, None] == own[None, :]] = LOWEST
         better = new.max(axis=1) >= scores[group, -1]
         group, new = group[better], new[better]
@@ -134,7 +134,7 @@ def top_products(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id
     component that is not finite, take no part; vectors of zeros do. Vectors of different
     lengths are never compared. Of rows with one id the smallest vector counts. With fewer
     than ``k`` candidates all are returned; an empty table gives no row. Scores beyond 64 bits
-    are ordered exactly and shown as the nearest long.
+    count as the nearest long.
     """
     rows = df.where(usable(quoted(vector)) & quoted(key).isNotNull()).select(quoted(key).cast("long").alias("id"), whole_numbers(quoted(vector), scale).alias("v"), is_query.alias("q"))
     rows = stored(rows.groupBy("id", "q").agg(F.min("v").alias("v")).withColumn("dim", F.size("v")), "whole-vectors")
@@ -175,7 +175,7 @@ def top_products(df: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id
                 chunk = Chunk(*whole, fitted.get(place[0], np.zeros((1, place[0]))), exact)
             scores, found, _ = chunk.best(ids, vectors, k)
             there = scores > LOWEST
-            columns = [np.repeat(ids, there.sum(axis=1)), found[there], _clipped(scores[there])]
+            columns = [np.repeat(ids, there.sum(axis=1)), found[there], scores[there]]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
     found = met.sortWithinPartitions(*keys, "role").mapInArrow(search, "query_id long, vec_id long, score long")
