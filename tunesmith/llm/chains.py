@@ -1,8 +1,8 @@
 """Toxicity by a chain of linear classifiers (op9).
 
 Categories are predicted one after another. Each model is a logistic regression on the
-presence of words and word beginnings, and on the log odds that the models before it give.
-While the chain is trained, those log odds are out-of-fold: a row's come from models that
+presence of words and word beginnings, and on the probabilities that the models before it
+give. While the chain is trained, those are out-of-fold: a row's come from models that
 have not seen the row's fold, so a later model learns how far earlier ones can be trusted.
 
 The chain is fitted in one task on a bounded sample of the labelled rows, ``SAMPLE`` rows
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tunesmith.llm.common import quoted
-from tunesmith.llm.tokens import Memo
+from tunesmith.llm.tokens import Memo, worker_kept
 
 # Labelled rows that the chain is fitted on, folds, hashed features, and those a model uses.
 SAMPLE, FOLDS, HASHED, USED = 10_000, 5, 1 << 20, 300
@@ -30,6 +30,8 @@ LEAST_ROWS, DECAY, ROUNDS = 2, 0.2, 150
 BEGINNINGS = (4, 5)
 # A row is rejected from this probability of the last category on.
 REJECT = 0.5
+# Words a worker keeps in each of two generations.
+WORDS = 150_000
 #: Signs that are cut off both ends of a word.
 EDGES = ".,;:!?\"'()[]"
 
@@ -46,13 +48,13 @@ def features_of(word: str) -> list[int]:
 
 def rows_of(texts: list[str]) -> list[np.ndarray]:
     """The distinct hashed features of each text."""
-    known = Memo(lambda w: np.array(features_of(w), "<i4").tobytes())
+    known = Memo(lambda w: np.array(features_of(w), "<i4").tobytes(), WORDS)
     return [np.unique(np.frombuffer(b"".join(map(known.__getitem__, (t or "").split())), "<i4")) for t in texts]
 
 
 @dataclass
 class Model:
-    """Log odds = bias + weights of the features present + ``earlier`` times the earlier models' log odds."""
+    """Log odds = bias + weights of the features present + ``earlier`` times the earlier models' probabilities."""
 
     features: np.ndarray
     weights: np.ndarray
@@ -68,6 +70,10 @@ class Model:
         return np.clip(out, -30, 30)
 
 
+def probability(log_odds: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-log_odds))
+
+
 def _chosen(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """The features that tell the classes apart best by chi-square, sorted."""
     inside = np.concatenate([r for r, is_one in zip(rows, y) if is_one] or [np.zeros(0, np.int32)])
@@ -123,7 +129,7 @@ def fit(rows: list[np.ndarray], before: np.ndarray, y: np.ndarray) -> Model:
 
 
 def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) -> list[Model]:
-    """One model per column of ``labels`` (0, 1, or below 0 where unknown), each fed out-of-fold log odds."""
+    """One model per column of ``labels`` (0, 1, or below 0 where unknown), each fed out-of-fold probabilities."""
     chain, before = [], np.zeros((len(rows), 0))
     for y in labels.T:
         own = np.zeros(len(rows))
@@ -135,7 +141,7 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) ->
         for fold in range(FOLDS):
             out = folds == fold
             model = fit(*subset(known & ~out))
-            own[out] = model.log_odds([r for r, m in zip(rows, out) if m], before[out])
+            own[out] = probability(model.log_odds([r for r, m in zip(rows, out) if m], before[out]))
         chain.append(fit(*subset(known)))
         before = np.column_stack([before, own])
     return chain
@@ -151,15 +157,15 @@ class Scorer:
         for k, m in enumerate(chain):
             self.weights[np.searchsorted(self.features, m.features), k] = m.weights
         place = {int(f): i for i, f in enumerate(self.features)}
-        self.words = Memo(lambda w: np.array([place[f] for f in features_of(w) if f in place], "<i4").tobytes())
+        self.words = Memo(lambda w: np.array([place[f] for f in features_of(w) if f in place], "<i4").tobytes(), WORDS)
 
     def __call__(self, text: str | None) -> list[float]:
         present = np.unique(np.frombuffer(b"".join(map(self.words.__getitem__, (text or "").split())), "<i4"))
-        sums, odds = self.weights[present].sum(0), []
+        sums, found = self.weights[present].sum(0), []
         for k, m in enumerate(self.chain):
-            z = m.bias + sums[k] + float(np.dot(m.earlier, odds)) if odds else m.bias + sums[k]
-            odds.append(float(min(max(z, -30), 30)))
-        return [1 / (1 + float(np.exp(-z))) for z in odds]
+            z = m.bias + sums[k] + float(np.dot(m.earlier, found)) if found else m.bias + sums[k]
+            found.append(float(probability(min(max(z, -30), 30))))
+        return found
 
 
 def trained(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", categories=CATEGORIES) -> list[Model]:
@@ -195,9 +201,12 @@ def trained(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "
 def probabilities(text: Column, chain: list[Model]) -> Column:
     """Array of the categories' probabilities of a whole text; a null text is an empty one."""
 
+    # Another chain is another key.
+    name = xxhash.xxh3_64_intdigest(b"".join(x.tobytes() for m in chain for x in (m.features, m.weights, np.array([m.bias]), m.earlier)))
+
     @F.arrow_udf("array<double>")
     def score(texts: pa.Array) -> pa.Array:
-        of = Scorer(chain)
+        of = worker_kept(("chain", name), lambda: Scorer(chain))
         return pa.array([of(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
     return score(text)

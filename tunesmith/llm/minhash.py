@@ -22,6 +22,7 @@ import hashlib
 import math
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tunesmith.llm.common import lookup_join, quoted
 from tunesmith.llm.components import Forest, components
-from tunesmith.llm.tokens import Memo
 from tunesmith.sources.scratch import stored
 
 WORDS, PERCENT = 5, 80
@@ -38,6 +38,8 @@ WORDS, PERCENT = 5, 80
 ROWS, BAND_MISS, MISS = 6, 1e-5, 1e-7
 # Signature values compared at a time; members and bytes of sets in a block; pairs and shingles looked at at once.
 BATCH, BLOCK, BLOCK_BYTES, PAIRS, SHINGLES = 30, 2048, 16 << 20, 1 << 17, 1 << 15
+# Rows that are signed and given out at once.
+SIGNED_ROWS = 256
 SEED = 11
 
 
@@ -61,14 +63,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 @lru_cache(1)
 def shingler() -> Callable[[str], np.ndarray]:
     """The sorted distinct shingle hashes of a text: letters A-Z made small, words cut at blanks, tabs and line ends."""
-    words = Memo(lambda w: xxhash.xxh3_64_digest(w, SEED))
     weight = _mixed(np.arange(1, WORDS + 1, dtype=np.uint64)) | np.uint64(1)
 
     def of(text: str) -> np.ndarray:
         found = text.encode().lower().split()
         if not found:
             return np.zeros(0, np.uint64)
-        h = np.frombuffer(b"".join(map(words.__getitem__, found)), "<u8")
+        h = np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, found, repeat(SEED))), "<u8")
         if len(h) < WORDS:
             return _mixed((h * weight[: len(h)]).sum(keepdims=True) + np.uint64(len(h)))
         total = h[: len(h) - WORDS + 1] * weight[0]
@@ -82,6 +83,8 @@ def shingler() -> Callable[[str], np.ndarray]:
 def signatures(sets: list[np.ndarray], n: int) -> np.ndarray:
     """The ``n`` minimum hashes of each set, none of which is empty."""
     a, b = _permutations(n)
+    if not sets:
+        return np.empty((0, n), np.uint64)
     out, start = np.empty((len(sets), n), np.uint64), 0
     while start < len(sets):
         stop, size = start, 0
@@ -103,31 +106,36 @@ def band_hashes(values: np.ndarray, bands: int) -> np.ndarray:
     return h.view(np.int64)
 
 
-_SIGNED = pa.struct([("n", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-def signed(text: Column, percent: int) -> Column:
-    """Struct of a whole text: set size, digest of the set, signature (a byte per value) and band hashes."""
+def signed(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, k1, k2 of each row, and of its whole text the set size, digest of the set, signature (a byte per value) and band hashes.
+
+    Rows go out a few hundred at a time, so a worker holds little more than the batch it is given.
+    """
     bands = bands_for(percent)
 
-    @F.arrow_udf("struct<n: bigint, digest: binary, sig: binary, bands: array<bigint>>")
-    def sign(texts: pa.Array) -> pa.Array:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = shingler()
-        rows, sets, at = [{"n": 0, "digest": None, "sig": None, "bands": None} for _ in texts], [], []
-        for i, t in enumerate(texts):
-            found = of(t.as_py() or "")
-            if len(found):
-                rows[i] |= {"n": len(found), "digest": hashlib.blake2b(found.tobytes(), digest_size=16).digest()}
-                sets.append(found)
-                at.append(i)
-            if at and (i + 1 == len(texts) or len(at) >= 256):
+        for batch in batches:
+            for start in range(0, batch.num_rows, SIGNED_ROWS):
+                some = batch.slice(start, SIGNED_ROWS)
+                found = [of(t.as_py() or "") for t in some.column("text")]
+                sets = [x for x in found if len(x)]
                 values = signatures(sets, bands * ROWS)
-                for row, sig, hashes in zip(at, values.astype(np.uint8), band_hashes(values, bands)):
-                    rows[row] |= {"sig": sig.tobytes(), "bands": hashes}
-                sets, at = [], []
-        return pa.array(rows, _SIGNED)
+                rows = iter(zip(values.astype(np.uint8), band_hashes(values, bands)))
+                sigs, hashes, digests = [], [], []
+                for x in found:
+                    sig, own = next(rows) if len(x) else (None, None)
+                    sigs.append(None if sig is None else sig.tobytes())
+                    hashes.append(own)
+                    digests.append(hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None)
+                columns = [some.column("doc_id"), some.column("k1"), some.column("k2"), pa.array([len(x) for x in found], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(digests, pa.binary()), pa.array(sigs, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))], schema=_SIGNED)
+            pa.default_memory_pool().release_unused()
 
-    return sign(text)
+    return docs.select("doc_id", "k1", "k2", "text").mapInArrow(sign, "doc_id long, k1 long, k2 long, n long, digest binary, sig binary, bands array<long>")
 
 
 # Sequential test
@@ -298,7 +306,7 @@ def _grouped(df: DataFrame, text: str, key: str, percent: int) -> tuple[DataFram
     """Per row: doc_id, k1, k2 (hashes that name the row), n, component_id, and first, the key hash of the row to keep."""
     docs = df.select(quoted(key).cast("long").alias("doc_id"), quoted(text).alias("text"))
     docs = docs.withColumn("k1", F.xxhash64("doc_id", "text")).withColumn("k2", F.xxhash64("text", F.lit(SEED), "doc_id"))
-    rows = stored(docs.select("doc_id", "k1", "k2", signed(F.col("text"), percent).alias("s")).select("doc_id", "k1", "k2", "s.*"), "signed")
+    rows = stored(signed(docs, percent), "signed")
     # Nulls come last, so that an id is preferred to none.
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
     classes = rows.where("n > 0").groupBy("digest").agg(F.count("*").alias("copies"), F.min(order).alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))

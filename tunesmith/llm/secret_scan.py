@@ -55,7 +55,8 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]+", 20, base=True),
     Rule("hex", r"[0-9a-f]+", 24, base=True),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # Only at the beginning of a run, as a search from every "eyJ" inside a long one would be quadratic.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("git", r"gh[pousr]_[A-Za-z0-9]{36}"),
 )
 

@@ -11,18 +11,16 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Callable
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tunesmith.llm.common import quoted
-from tunesmith.llm.tokens import ByteLevel, letters_of
+from tunesmith.llm.tokens import ByteLevel, letters_of, worker_kept
 
 LIMIT = 512
 
 
-@lru_cache(2)
 def merge_ranks(path: str) -> dict[tuple[str, str], int]:
     with open(path, encoding="utf-8") as file:
         merges = json.load(file)["model"]["merges"]
@@ -59,9 +57,12 @@ def merged_count(symbols: list[str], ranks: dict[tuple[str, str], int]) -> int:
     return left
 
 
-@lru_cache(2)
 def counter(path: str) -> Callable[[str], int]:
     """Number of tokens of a text; one worker keeps the counts of the pieces it has met."""
+    return worker_kept(("counts", path), lambda: _counter(path))
+
+
+def _counter(path: str) -> Callable[[str], int]:
     ranks = merge_ranks(path)
     return ByteLevel(lambda pretoken: merged_count(list(letters_of(pretoken)), ranks), 1, sum)
 

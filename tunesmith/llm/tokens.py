@@ -9,20 +9,22 @@ normalizes its text goes through the whole library call instead.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from array import array
 from collections.abc import Callable
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import Column, functions as F
 from tokenizers import Tokenizer
 
-# Entries a worker keeps in each of two generations, and the longest piece it keeps.
-KEPT, LONGEST = 400_000, 64
+# Entries a worker keeps in each of two generations (about 200 bytes each), and the longest piece it keeps.
+KEPT, LONGEST = 300_000, 64
 
 # Unicode white space, as the vocabularies' patterns see it: a fixed value.
 WHITE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -34,7 +36,39 @@ _PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 # Up to here the library's character classes and case rules are checked against Python's in the tests.
 # (but for the capital i with a dot, whose small form is two characters).
 _BEYOND = re.compile("[^\x00-\u024f]|\u0130")
-_ENDING = re.compile(r"[.,;:!?]+\Z")
+# Signs that may end a word; such a run is a token's end under both vocabularies.
+_MARKS = ".,;:!?"
+
+
+_held: dict[tuple, tuple] = {}
+
+
+def worker_kept(key: tuple, make: Callable):
+    """What ``make`` gives, kept by this worker for the tasks of a stage, and of the next one that asks for it first.
+
+    When a task of another stage asks, all that was kept for earlier stages and is not asked for
+    goes, and its memory is given back: a worker lives for a whole session, and what one
+    step keeps must not weigh on the steps after it.
+    """
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    known = _held.get(key)
+    if known is None or known[0] != stage:
+        old = [k for k, (s, _) in _held.items() if s != stage and k != key]
+        for k in old:
+            del _held[k]
+        if old:
+            given_back()
+        _held[key] = known = (stage, known[1] if known else make())
+    return known[1]
+
+
+def given_back() -> None:
+    """Return memory that nothing uses any more to the system, where the system's library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 class Memo(dict):
@@ -113,9 +147,9 @@ class ByteLevel:
         """The value of a piece with a blank before it, or of one that begins with a line end."""
         if piece.isalpha():
             return self.of_pretoken(" " + piece)
-        end = _ENDING.search(piece)
-        if end and piece[: end.start()].isalpha():
-            return self.join([self.pieces[piece[: end.start()]], self.pretokens[end[0]]])
+        bare = piece.rstrip(_MARKS)
+        if bare.isalpha():
+            return self.join([self.pieces[bare], self.pretokens[piece[len(bare) :]]])
         if piece[0] == "\n" and piece[1:].isalpha():
             return self.join([self.pretokens["\n"], self.pretokens[piece[1:]]])
         return self._chunk(piece if piece[0] == "\n" else " " + piece)
@@ -130,9 +164,10 @@ class ByteLevel:
                 parts += [self.of_special] if k else []
                 parts += [self.pretokens[p] for p in self.pattern.findall(part)]
             return self.join(parts)
-        end = _ENDING.search(body)
-        if end and body[: end.start()].isalpha():
-            return self.join([self.pretokens[chunk[: len(chunk) - len(end[0])]], self.pretokens[end[0]]])
+        bare = body.rstrip(_MARKS)
+        if bare.isalpha():
+            cut_at = len(chunk) - len(body) + len(bare)
+            return self.join([self.pretokens[chunk[:cut_at]], self.pretokens[chunk[cut_at:]]])
         return self.join([self.pretokens[p] for p in self.pattern.findall(chunk)])
 
     def __call__(self, text: str):
@@ -147,14 +182,16 @@ def _as_bytes(ids) -> bytes:
     return array("I", ids).tobytes()
 
 
-@lru_cache(4)
 def library(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+    return worker_kept(("library", path), lambda: Tokenizer.from_file(path))
 
 
-@lru_cache(2)
 def byte_level_ids(path: str) -> Callable[[str], bytes]:
     """Ids of a text as little-endian 32-bit integers, under byte_bpe_50k.json."""
+    return worker_kept(("byte ids", path), lambda: _byte_level_ids(path))
+
+
+def _byte_level_ids(path: str) -> Callable[[str], bytes]:
     whole = library(path)
     model = whole.model
 
@@ -164,28 +201,31 @@ def byte_level_ids(path: str) -> Callable[[str], bytes]:
     return ByteLevel(of_pretoken, _as_bytes([whole.token_to_id(ByteLevel.SPECIAL)]), b"".join)
 
 
-@lru_cache(2)
 def word_ids(path: str) -> Callable[[str], bytes]:
     """Ids of a text as little-endian 32-bit integers, under word_bpe_49k.json, which drops white space."""
+    return worker_kept(("word ids", path), lambda: _word_ids(path))
+
+
+def _word_ids(path: str) -> Callable[[str], bytes]:
     whole = library(path)
     model = whole.model
 
     def of_letters(word: str) -> bytes:
         return _as_bytes([t.id for t in model.tokenize(letters_of(word.lower()))])
 
-    letters = Memo(of_letters, KEPT * 3 // 8)
+    letters = Memo(of_letters, KEPT // 2)
 
     def of_word(raw: bytes) -> bytes:
         word = raw.decode()
         if not _BEYOND.search(word):
             if word.isalpha():
                 return letters[word]
-            end = _ENDING.search(word)
-            if end and word[: end.start()].isalpha():
-                return letters[word[: end.start()]] + letters[end[0]]
+            bare = word.rstrip(_MARKS)
+            if bare.isalpha():
+                return letters[bare] + letters[word[len(bare) :]]
         return _as_bytes(whole.encode(word, add_special_tokens=False).ids)
 
-    words = Memo(of_word, KEPT * 3 // 4)
+    words = Memo(of_word, KEPT)
     return lambda text: b"".join(map(words.__getitem__, text.encode().split()))
 
 
@@ -195,6 +235,8 @@ def id_column(text: Column, path: str, end: int) -> Column:
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
         of, last = byte_level_ids(path), np.array([end], "<u4").tobytes()
-        return pa.array([of(t.as_py() or "") + last for t in texts], pa.binary())
+        found = pa.array([of(t.as_py() or "") + last for t in texts], pa.binary())
+        pa.default_memory_pool().release_unused()
+        return found
 
     return encode(text)
