@@ -165,8 +165,20 @@ def test_ordered_scan_of_everything_is_cut_in_even_parts(spark, monkeypatch):
     df = df.union(spark.sql("SELECT 'cold', 1L, 1"))
     running_sum(df, ["g"], ["i"], "v", "s", hot_rows=4_000)
     sizes = [r["count"] for r in kept["parts"].groupBy("__scan_part").count().collect()]
-    assert len(sizes) == 10 and max(sizes) < 8_000
-    assert kept["hot"].count() == 1
+    assert len(sizes) == 11 and max(sizes) < 8_000
+    # A summary of each part of the hot group, and one of the cold one, which begins the first part.
+    assert kept["carry"].count() == 12
+
+
+def test_hot_groups_are_cut_up_with_two_scans_of_the_input(spark, tmp_path, monkeypatch):
+    spark.range(30_000).select((F.col("id") % 5).alias("g"), "id", F.lit(1).alias("v")).write.parquet(str(tmp_path / "t"))
+    reads, stored = [], ordered.stored
+    path = str(tmp_path / "t")
+    # Written steps are all that reads the input; each is one scan, the range partitioning's sample a second one.
+    monkeypatch.setattr(ordered, "stored", lambda df, name: (reads.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation [g")), stored(df, name))[1])
+    out = running_sum(spark.read.parquet(path), ["g"], ["id"], "v", "s", hot_rows=2_000)
+    assert out.agg(F.sum("s")).first()[0] == 5 * 6_000 * 6_001 // 2
+    assert reads[0] == 1 and out._jdf.queryExecution().optimizedPlan().toString().count(path) == 0
 
 
 def test_salted_join_copies_hot_keys_only(spark):

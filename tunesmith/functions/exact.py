@@ -45,7 +45,7 @@ def at_most(df: DataFrame, col: str, value: Column) -> Column:
 _RANGE = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
 
 
-def _unchanged(value, kind: T.DataType) -> bool:
+def unchanged(value, kind: T.DataType) -> bool:
     """Is the value one of the column's type, so that a cast of it loses nothing?"""
     if isinstance(kind, T.IntegralType):
         half = 1 << _RANGE[kind.simpleString()] - 1
@@ -72,7 +72,7 @@ def typed(value, kind: T.DataType) -> Column:
         return F.lit(value.isoformat(sep=" ")).cast(kind)
     if isinstance(value, int) and not -(1 << 63) <= value < 1 << 63:
         value = decimal.Decimal(value)
-    return F.lit(value).cast(kind) if _unchanged(value, kind) else F.lit(value)
+    return F.lit(value).cast(kind) if unchanged(value, kind) else F.lit(value)
 
 
 def money(col) -> Column:
@@ -115,3 +115,27 @@ def spread_hash(df: DataFrame, cols=None) -> Column:
 def seconds_between(start: Column, end: Column) -> Column:
     """Elapsed seconds with microseconds, exact, whatever the session's zone."""
     return (end - start).cast("interval second").cast("decimal(20,6)")
+
+
+def exact_place(value: Column, kind: T.DataType) -> Column:
+    """A value's exact place on a line of numbers with room at both ends, whatever the session's zone.
+
+    Whole numbers and stamps (microseconds) become ``decimal(20,0)``, dates their day's number;
+    doubles and decimals stay as they are.
+    """
+    if isinstance(kind, T.IntegralType):
+        return value.cast("decimal(20,0)")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("decimal(20,0)")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("decimal(20,0)")
+    if isinstance(kind, T.TimestampNTZType):
+        return (seconds_between(F.lit("1970-01-01").cast(kind), value) * 1_000_000).cast("decimal(20,0)")
+    if isinstance(kind, T.NumericType):
+        return value
+    raise TypeError(f"no place on a line for {kind.simpleString()}")
+
+
+def line_of(kind: T.DataType) -> str:
+    """Values of kinds with one line can be compared by their places."""
+    return "number" if isinstance(kind, T.NumericType) else kind.simpleString()

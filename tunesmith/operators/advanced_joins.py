@@ -2,46 +2,56 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tunesmith.functions.exact import any_null, spread_hash
+from tunesmith.functions.exact import any_null, exact_place, line_of, spread_hash
 from tunesmith.operators.joins import broadcast_join
 from tunesmith.plans.ordered import last_value, running_sum
 from tunesmith.plans.sizing import broadcast_limit, estimated_bytes, fits_broadcast, measured_bytes
-from tunesmith.plans.skew import equi_join, key_pairs, skew_join
+from tunesmith.plans.skew import ONE_SIDED, equi_join, key_pairs, skew_join
+from tunesmith.sources.scratch import stored
 
 
 def band_join(l: DataFrame, r: DataFrame, lcol: str, rcol: str, width, keys=(), **skew) -> DataFrame:
     """Pairs with ``lcol BETWEEN rcol - width AND rcol + width`` and equal ``keys``.
 
-    Both numeric columns are cut into bins of ``width``. A right row goes to the
-    (at most four) bins its band touches, so partners share a bin and the join
-    is an equi join. Rows of one bin lie within ``width`` of each other: the
-    pairs looked at are within a small factor of the pairs returned. Hot bins
-    are cut up like any hot key.
+    Both columns are numbers, or both dates or stamps, of which ``width`` is a ``timedelta``.
+    They are compared on a line with room at both ends, so no value of their type overflows.
+    The line is cut into bins of ``width``. A right row goes to the (at most four) bins its
+    band touches, so partners share a bin and the join is an equi join. Rows of one bin lie
+    within ``width`` of each other: the pairs looked at are within a small factor of the
+    pairs returned. Hot bins are cut up like any hot key.
     """
+    kinds = l.schema[lcol].dataType, r.schema[rcol].dataType
+    if line_of(kinds[0]) != line_of(kinds[1]):
+        raise TypeError(f"a band over {kinds[0].simpleString()} and {kinds[1].simpleString()}")
+    if isinstance(width, dt.timedelta):
+        days, rest = divmod(width, dt.timedelta(days=1))
+        if isinstance(kinds[0], T.DateType) and rest:
+            raise ValueError("a band of dates is of whole days")
+        width = days if isinstance(kinds[0], T.DateType) else width // dt.timedelta(microseconds=1)
+    elif not isinstance(kinds[0], T.NumericType):
+        raise TypeError("the width of a band of dates or stamps is a timedelta")
     if width <= 0:
         raise ValueError("width must be positive")
     pairs = key_pairs(keys)
     # Dividing and rounding down keep order, also in floating point, so no
     # partner falls outside the bins.
     w = F.lit(float(width))
-    low, high = F.col(rcol) - F.lit(width), F.col(rcol) + F.lit(width)
 
     def bin_of(x):
         return F.floor(x.cast("double") / w)
 
-    left = l.where(F.col(lcol).isNotNull()).withColumn("__bin", bin_of(F.col(lcol)))
-    right = (
-        r.where(F.col(rcol).isNotNull())
-        .withColumn("__low", low)
-        .withColumn("__high", high)
-        .withColumn("__bin", F.explode(F.sequence(bin_of(low), bin_of(high))))
-    )
+    at = exact_place(F.col(rcol), kinds[1])
+    left = l.where(F.col(lcol).isNotNull()).withColumn("__place", exact_place(F.col(lcol), kinds[0]))
+    left = left.withColumn("__bin", bin_of(F.col("__place")))
+    right = r.where(F.col(rcol).isNotNull()).withColumn("__low", at - F.lit(width)).withColumn("__high", at + F.lit(width))
+    right = right.withColumn("__bin", F.explode(F.sequence(bin_of(F.col("__low")), bin_of(F.col("__high")))))
     joined = skew_join(left, right, pairs + [("__bin", "__bin")], "inner", **skew)
-    hit = joined.where(F.col(lcol).between(F.col("__low"), F.col("__high")))
+    hit = joined.where(F.col("__place").between(F.col("__low"), F.col("__high")))
     same = [a for a, b in pairs if a == b]
     return hit.select(l.columns + [c for c in r.columns if c not in same])
 
@@ -166,3 +176,51 @@ def running_total(df: DataFrame, by, order, value: str, name: str = "running", h
     ``a.order >= b.order``, whose cost grows with the square of the group.
     """
     return running_sum(df, by, order, value, name, hot_rows)
+
+
+# Bits of the map that thins a fact: 128 KB whatever the tables' sizes.
+REDUCER_BITS = 1 << 20
+
+
+def reduced_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner", limit: int | None = None, bits: int = REDUCER_BITS, **skew) -> DataFrame:
+    """Inner or left semi join that drops fact rows without a partner before they are shuffled.
+
+    A dimension under the broadcast limit is broadcast. Over it, the hashes of its keys are set
+    in a bit map of ``bits`` bits, and fact rows whose bit is not set stay where they are. Rows
+    that pass by chance (a part of about keys / ``bits``) are dropped by the join itself. With many
+    more keys than bits the map lets all through and only costs its making.
+    """
+    if how not in ("inner", *ONE_SIDED[:1]):
+        raise ValueError(f"{how} keeps fact rows without a partner")
+    pairs = key_pairs(on)
+    if fits_broadcast(dim, limit):
+        return equi_join(fact, F.broadcast(dim), pairs, how)
+    return skew_join(_with_partner(fact, dim, pairs, bits), dim, pairs, how, **skew)
+
+
+def _with_partner(fact: DataFrame, dim: DataFrame, pairs, bits: int) -> DataFrame:
+    """The fact rows whose key hash is among the dimension's."""
+    fk, dk = [a for a, _ in pairs], [b for _, b in pairs]
+    # Hashes agree only for keys of one type on both sides.
+    kinds = [_common(fact.schema[a].dataType, dim.schema[b].dataType) for a, b in pairs]
+
+    def place(keys):
+        return F.pmod(F.xxhash64(*[F.col(k).cast(t) for k, t in zip(keys, kinds)]), F.lit(bits))
+
+    marks = dim.where(~any_null(dk)).select(place(dk).alias("at"))
+    # Words are put together where the rows are; there are bits / 64 of them at most.
+    words = marks.groupBy(F.shiftright("at", 6).cast("int").alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(at % 64 AS INT))")).alias("w"))
+    every = fact.sparkSession.range(-(-bits // 64)).select(F.col("id").cast("int").alias("i"))
+    whole = every.join(words, "i", "left").agg(F.sort_array(F.collect_list(F.struct("i", F.coalesce("w", F.lit(0).cast("long")).alias("w")))).alias("m"))
+    held = stored(whole.select(F.transform("m", lambda x: x["w"]).alias("m")), "key-bits").select("m").scalar()
+    marked = fact.where(~any_null(fk)).withColumn("__at", place(fk))
+    return marked.where(F.getbit(F.get(held, F.shiftright("__at", 6).cast("int")), (F.col("__at") % 64).cast("int")) == 1).drop("__at")
+
+
+def _common(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that two keys are compared in."""
+    if a == b:
+        return a
+    if isinstance(a, T.IntegralType) and isinstance(b, T.IntegralType):
+        return T.LongType()
+    raise TypeError(f"keys of {a.simpleString()} and {b.simpleString()}")

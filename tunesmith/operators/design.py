@@ -110,6 +110,7 @@ def layout_candidates(
     max_partitions: int = 10_000,
     min_rows_per_partition: int = 1,
     max_key_share: float = 0.05,
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """Rank columns as partition, sort or bucket key.
 
@@ -122,10 +123,17 @@ def layout_candidates(
     bucket     join uses, and no value has more than ``max_key_share`` of rows
 
     Columns without a score in a role are left out; ``rank`` is within the role.
+    ``profile`` has the columns of ``column_selectivity``; left out, it is counted exactly.
+    Of a stored profile without ``max_rows``, the mean rows of a value stand in for them.
     """
-    used = [r[0] for r in predicates.select("column_name").distinct().collect()]
+    # Names that are no column of the table stay where they are.
+    own = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column_name string")
+    used = {r[0] for r in own.join(predicates.select("column_name"), "column_name", "left_semi").collect()}
     named = [c for c in df.columns if c in used]
-    profile = column_selectivity(df, named or df.columns[:1])
+    if profile is None:
+        profile = column_selectivity(df, named or df.columns[:1])
+    else:
+        profile = profile.where(F.col("column_name").isin(df.columns))
     uses = (
         predicates.groupBy("column_name")
         .agg(
@@ -147,7 +155,8 @@ def layout_candidates(
         .otherwise(filters.cast("double"))
     )
     tell_apart = F.when(values > 0, 1.0 - 1.0 / F.greatest(values, F.lit(1)).cast("double")).otherwise(0.0)
-    bucket = F.when(F.col("max_rows") > F.col("rows") * F.lit(max_key_share), 0.0).otherwise(
+    heaviest = F.coalesce(F.col("max_rows"), F.ceil(known / F.when(values > 0, values)))
+    bucket = F.when(heaviest > F.col("rows") * F.lit(max_key_share), 0.0).otherwise(
         F.col("join_uses").cast("double")
     )
     scored = F.array(

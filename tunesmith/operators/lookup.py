@@ -5,15 +5,20 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tunesmith.functions.exact import all_of, any_of, at_least, at_most, day_column, day_of, typed
 from tunesmith.operators.joins import broadcast_join
 from tunesmith.plans.ordered import row_numbers
 from tunesmith.plans.sizing import scan_tasks
+from tunesmith.sources.scratch import stored
+from tunesmith.sources.tables import table_files
 
-# Rows that one task merges.
-ONE_TASK_ROWS = 10_000_000
+# Bytes of rows that one task merges.
+ONE_TASK_BYTES = 1 << 30
+# Folders of a summary that is kept up to date: its rows, and the files that are in it.
+ROWS, FILES = "rows", "files"
 # Keys that are put into a scan's filter as literals.
 LITERAL_KEYS = 10_000
 LITERAL_LIST = 1_000
@@ -21,6 +26,10 @@ LITERAL_LIST = 1_000
 
 def write_summary(df: DataFrame, keys, measures, path: str) -> None:
     """Keep rows, sum, count, min and max of each measure per key combination."""
+    _summary(df, keys, measures).write.parquet(path)
+
+
+def _summary(df: DataFrame, keys, measures) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("rows")]
     for m in measures:
         aggs += [
@@ -29,7 +38,7 @@ def write_summary(df: DataFrame, keys, measures, path: str) -> None:
             F.min(m).alias(f"{m}__min"),
             F.max(m).alias(f"{m}__max"),
         ]
-    df.groupBy(*keys).agg(*aggs).write.parquet(path)
+    return df.groupBy(*keys).agg(*aggs)
 
 
 def from_summary(spark: SparkSession, path: str, by, aggs: dict[str, tuple[str, str | None]]) -> DataFrame:
@@ -53,18 +62,68 @@ def from_summary(spark: SparkSession, path: str, by, aggs: dict[str, tuple[str,
     return spark.read.parquet(path).groupBy(*by).agg(*columns)
 
 
+def refresh_summary(spark: SparkSession, source: str, keys, measures, path: str, derive=None) -> int:
+    """Bring the summary at ``path`` up to date with the Parquet table ``source``; returns the files it read.
+
+    ``path`` holds the summary and a list of the files in it. Files that have come since are
+    summarized alone and added; readers roll the parts up anyway. A summary cannot take rows
+    back, so a source with changed or missing files is refused: write a new summary for it.
+    ``derive`` makes the keys and measures from the source's rows where they are no columns.
+    """
+    there = table_files(spark, source)
+    try:
+        known = spark.read.parquet(f"{path}/{FILES}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = there.limit(0)
+    lost = known.join(there, known.columns, "left_anti")
+    if not lost.isEmpty():
+        raise ValueError(f"{lost.count()} files of the summary are changed or gone")
+    new = stored(there.join(known, there.columns, "left_anti"), "new-files")
+    total = new.count()
+    slices = -(-total // LITERAL_KEYS)
+    for k in range(slices):
+        some = new.where(F.pmod(F.xxhash64("file_path"), F.lit(slices)) == k)
+        names = [r["file_path"] for r in some.collect()]
+        if not names:
+            continue
+        rows = spark.read.parquet(source).where(F.col("_metadata.file_path").isin(names))
+        _summary(derive(rows) if derive else rows, keys, measures).write.mode("append").parquet(f"{path}/{ROWS}")
+        some.write.mode("append").parquet(f"{path}/{FILES}")
+    return total
+
+
+def from_smallest(spark: SparkSession, paths, by, aggs: dict[str, tuple[str, str | None]]) -> DataFrame:
+    """Answer from the summary of fewest rows that has the keys and the measures asked for."""
+    needed = set(by) | {f"{m}__{fn}" for fn, m in aggs.values() if m and fn != "avg"}
+    needed |= {f"{m}__{part}" for fn, m in aggs.values() if fn == "avg" for part in ("sum", "count")}
+    fit = [p for p in paths if needed <= set(spark.read.parquet(p).columns)]
+    if not fit:
+        raise ValueError(f"no summary has {sorted(needed)}")
+    # The rows are in the files' ends, so no data is read.
+    return from_summary(spark, min(fit, key=lambda p: spark.read.parquet(p).count()), by, aggs)
+
+
 def top_n(df: DataFrame, order, n: int, hot_rows: int | None = None) -> DataFrame:
-    """First ``n`` rows of a total order.
+    """First ``n`` rows of a total order, in that order.
 
-    Each task keeps ``n`` rows and one task merges them. When that would be too
-    many, teams of tasks are merged first, and for a large ``n`` the rows are
-    ranked in place.
+    Each task keeps ``n`` rows and one task merges them. When that would be too many
+    bytes, teams of tasks are merged first, and for a large ``n`` the rows are ranked in place
+    and sorted in parts.
     """
-    if n * scan_tasks(df) <= ONE_TASK_ROWS:
+    if _fits_one_task(df, n):
         return df.orderBy(*order).limit(n)
     if n <= _cut_before_shuffle(df):
         return _best_of_teams(df, [], order, n).orderBy(*order).limit(n)
-    return row_numbers(df, [], order, "__rn", hot_rows).where(F.col("__rn") <= n).drop("__rn")
+    ranked = row_numbers(df, [], order, "__rn", hot_rows)
+    return ranked.where(F.col("__rn") <= n).orderBy("__rn").drop("__rn")
+
+
+def _fits_one_task(df: DataFrame, n: int) -> bool:
+    """Can one task merge the best ``n`` rows of all scan tasks?"""
+    width = df._jdf.schema().defaultSize() + 16
+    return n * scan_tasks(df) * width <= ONE_TASK_BYTES
 
 
 def top_n_per_group(df: DataFrame, by, order, n: int, hot_rows: int | None = None) -> DataFrame:
@@ -75,7 +134,7 @@ def top_n_per_group(df: DataFrame, by, order, n: int, hot_rows: int | None = Non
     of tasks are merged first. For a large ``n`` hot groups are ranked in parts.
     """
     if n <= _cut_before_shuffle(df):
-        if n * scan_tasks(df) > ONE_TASK_ROWS:
+        if not _fits_one_task(df, n):
             df = _best_of_teams(df, by, order, n)
         ranked = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
     else:
@@ -198,3 +257,35 @@ def keyset_page(df: DataFrame, order, after, n: int) -> DataFrame:
                 page = (start | F.col(c).isNull()) & page
         df = df.where(page)
     return top_n(df, _sort(order), n)
+
+
+def write_pages(df: DataFrame, order, n: int, path: str, hot_rows: int | None = None) -> None:
+    """Store a directory of the pages of ``n`` rows: each page's number and last row's order values.
+
+    ``order`` is as in ``keyset_page``. Rows are numbered in parts, so no task sees them all; the
+    directory has a row per page.
+    """
+    names = [c for c, _ in order]
+    numbered = row_numbers(df.select(*names), [], _sort(order), "__rn", hot_rows)
+    last = numbered.where(F.col("__rn") % n == 0).select((F.col("__rn") / n).cast("long").alias("page"), *names)
+    last.write.parquet(path)
+
+
+def open_page(df: DataFrame, order, n: int, path: str, page: int) -> DataFrame:
+    """Page ``page`` (from 1) of the table that the directory at ``path`` was written for.
+
+    Two lines of the directory bound the page on both sides, so a scan of a table clustered on
+    the first order column opens what holds the page and no page before or after it.
+    """
+    if page < 1:
+        raise ValueError("pages are numbered from 1")
+    known = df.sparkSession.read.parquet(path).where(F.col("page").isin(page - 1, page)).collect()
+    ends = {row["page"]: [row[c] for c, _ in order] for row in known}
+    if page > 1 and page - 1 not in ends:
+        return df.limit(0)
+    (first, way), end = order[0], ends.get(page)
+    if end is not None and end[0] is not None:
+        bound = typed(end[0], df.schema[first].dataType)
+        # NULLs come last, so none is on a page that ends before them.
+        df = df.where(at_least(df, first, bound) if way == "desc" else at_most(df, first, bound))
+    return keyset_page(df, order, ends.get(page - 1), n)

@@ -97,6 +97,14 @@ def _layout_rule() -> str:
         FROM scored WHERE score > 0"""
 
 
+def _sessions(idle: str) -> str:
+    """Each user's calls with the number of their session."""
+    return f"""
+        WITH paired AS (SELECT user_id, ts, value, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS before FROM events),
+        marked AS (SELECT *, CASE WHEN before IS NULL OR ts - before >= INTERVAL {idle} THEN 1 ELSE 0 END AS begins FROM paired),
+        numbered AS (SELECT *, sum(begins) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM marked)"""
+
+
 ORACLE = {
     "best_order_of_nation": """
         SELECT c_custkey, c_name,
@@ -309,4 +317,78 @@ ORACLE = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
     "orphan_rows": """
         SELECT count(*) AS orphans FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)""",
+    "band_join_stamps": """
+        SELECT e.user_id, e.event_id AS error_id, p.event_id AS purchase_id FROM events e JOIN events p
+        ON e.user_id = p.user_id AND e.event_type = 'error' AND p.event_type = 'purchase'
+           AND e.ts BETWEEN p.ts - INTERVAL 2 HOUR AND p.ts + INTERVAL 2 HOUR""",
+    "sessions": f"""
+        {_sessions('6 HOUR')}
+        SELECT user_id, {_stamp('min(ts)')} AS session_start, {_stamp('max(ts)')} AS last_call, count(*) AS calls, {_total('value')} AS busy,
+               round(max(CASE WHEN begins = 0 THEN epoch_us(ts) - epoch_us(before) END) / 1e6, 3) AS longest_idle,
+               round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 3) AS seconds
+        FROM numbered GROUP BY user_id, session""",
+    "interval_join": f"""
+        {_sessions('3 HOUR')},
+        visits AS (SELECT user_id, min(ts) AS first, max(ts) AS last FROM numbered GROUP BY user_id, session HAVING count(*) > 1),
+        outages AS (SELECT event_id AS outage_id, ts AS down, ts + to_minutes(CAST(round(value) AS INTEGER)) AS up FROM events WHERE event_type = 'error' AND value > 60)
+        SELECT outage_id, user_id, {_stamp('first')} AS session_start FROM outages JOIN visits ON down < last AND first < up AND down < up AND first < last""",
+    "reduced_join": f"""
+        SELECT p_brand, count(*) AS n, {_total('l_extendedprice')} AS total
+        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 45 GROUP BY 1""",
+    "skipping_lookup": """
+        SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey IN (7, 421, 1333, 99999999)""",
+    "skipping_lookup_range": """
+        SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders
+        WHERE (o_totalprice >= 495000 OR o_totalprice <= 2000) AND (o_orderpriority = '1-URGENT' OR o_orderpriority IS NULL)""",
+    "key_box": """
+        SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+        WHERE o_orderdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1998-02-28' AND o_custkey BETWEEN 10 AND 60""",
+    "key_box_second_key": f"""
+        SELECT o_custkey, count(*) AS n, {_total('o_totalprice')} AS total FROM orders WHERE o_custkey BETWEEN 100 AND 130 GROUP BY 1""",
+    "bucketed_join": f"""
+        SELECT o_orderpriority, count(*) AS n, {_total('l_extendedprice')} AS total
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
+    "bucketed_join_hot": f"""
+        SELECT l_returnflag, count(*) FILTER (l_quantity > flag_mean) AS above, count(*) AS n
+        FROM lineitem LEFT JOIN (SELECT l_returnflag AS flag, {_mean('l_quantity')} AS flag_mean FROM lineitem GROUP BY 1) ON l_returnflag = flag
+        GROUP BY 1""",
+    "open_page": f"""
+        SELECT o_orderkey, {_stamp('o_orderdate')} AS o_orderdate, o_totalprice FROM orders
+        ORDER BY orders.o_orderdate DESC, o_orderkey LIMIT 100 OFFSET 600""",
+    "from_smallest": f"""
+        SELECT o_orderpriority, count(*) AS n, {_total('o_totalprice')} AS total, {_mean('o_totalprice')} AS mean, max(o_totalprice) AS greatest
+        FROM orders GROUP BY 1""",
+    "sketched_stats": """
+        SELECT 'o_orderkey' AS column_name, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) - count(o_orderkey) AS BIGINT) AS null_rows,
+               CAST(min(o_orderkey) AS DOUBLE) AS least, CAST(max(o_orderkey) AS DOUBLE) AS greatest FROM orders
+        UNION ALL SELECT 'o_custkey', count(*), count(*) - count(o_custkey), min(o_custkey), max(o_custkey) FROM orders
+        UNION ALL SELECT 'o_totalprice', count(*), count(*) - count(o_totalprice), min(o_totalprice), max(o_totalprice) FROM orders
+        UNION ALL SELECT 'o_orderpriority', count(*), count(*) - count(o_orderpriority), NULL, NULL FROM orders""",
+    "sweep_params": f"""
+        WITH p AS (SELECT o_orderpriority AS priority, strftime(o_orderdate, '%Y-%m') AS month, min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders GROUP BY 1, 2)
+        SELECT priority, month, count(o_orderkey) AS n, {_total('o_totalprice')} AS total, {_mean('o_totalprice')} AS mean
+        FROM p LEFT JOIN orders ON o_orderpriority = priority AND o_orderdate BETWEEN lo AND hi AND o_totalprice > 300000 GROUP BY 1, 2""",
+    "join_estimate": """
+        WITH l AS (SELECT user_id AS v FROM events WHERE user_id IS NOT NULL), r AS (SELECT o_custkey AS v FROM orders WHERE o_custkey IS NOT NULL),
+        lc AS (SELECT v, count(*) AS n FROM l GROUP BY v ORDER BY n DESC, v LIMIT 20), rc AS (SELECT v, count(*) AS n FROM r GROUP BY v ORDER BY n DESC, v LIMIT 20),
+        lh AS (SELECT min(v) AS low, max(v) AS high, count(*) AS n, count(DISTINCT v) AS d
+               FROM (SELECT v, ntile(16) OVER (ORDER BY v) AS b FROM l WHERE v NOT IN (SELECT v FROM lc)) GROUP BY b),
+        rh AS (SELECT min(v) AS low, max(v) AS high, count(*) AS n, count(DISTINCT v) AS d
+               FROM (SELECT v, ntile(16) OVER (ORDER BY v) AS b FROM r WHERE v NOT IN (SELECT v FROM rc)) GROUP BY b),
+        listed AS (SELECT coalesce(lc.v, rc.v) AS v, lc.n AS ln, rc.n AS rn FROM lc FULL JOIN rc ON lc.v = rc.v),
+        guessed AS (SELECT v, coalesce(ln, (SELECT arg_min(n / d, (low, high)) FROM lh WHERE v BETWEEN low AND high), 0.0)
+                            * coalesce(rn, (SELECT arg_min(n / d, (low, high)) FROM rh WHERE v BETWEEN low AND high), 0.0) AS e FROM listed),
+        met AS (SELECT lh.n AS ln, rh.n AS rn, lh.d AS ld, rh.d AS rd, (least(lh.high, rh.high) - greatest(lh.low, rh.low) + 1) / (lh.high - lh.low + 1) AS lp,
+                       (least(lh.high, rh.high) - greatest(lh.low, rh.low) + 1) / (rh.high - rh.low + 1) AS rp
+                FROM lh JOIN rh ON lh.low <= rh.high AND rh.low <= lh.high),
+        whole AS (SELECT coalesce((SELECT sum(e) FROM guessed), 0) + coalesce((SELECT sum(ln * lp * rn * rp / greatest(ld * lp, rd * rp, 1)) FROM met), 0) AS e),
+        pairs AS (SELECT a.v, CAST(a.n AS DOUBLE) * b.n AS actual FROM (SELECT v, count(*) AS n FROM l GROUP BY v) a JOIN (SELECT v, count(*) AS n FROM r GROUP BY v) b ON a.v = b.v),
+        heavy AS (SELECT v, actual FROM pairs ORDER BY actual DESC, v LIMIT 10),
+        lines AS (
+          SELECT heavy.v AS key, actual, coalesce(ln, (SELECT arg_min(n / d, (low, high)) FROM lh WHERE heavy.v BETWEEN low AND high), 0.0)
+                                 * coalesce(rn, (SELECT arg_min(n / d, (low, high)) FROM rh WHERE heavy.v BETWEEN low AND high), 0.0) AS e
+          FROM heavy LEFT JOIN listed ON heavy.v = listed.v),
+        every AS (SELECT key, e, actual FROM lines
+                  UNION ALL SELECT NULL, greatest((SELECT e FROM whole) - (SELECT sum(e) FROM lines), 0.0), (SELECT sum(actual) FROM pairs) - (SELECT sum(actual) FROM lines))
+        SELECT key, round(e, 3) AS estimated_rows, actual AS actual_rows, round(greatest(e, actual, 1.0) / least(greatest(e, 1.0), greatest(actual, 1.0)), 3) AS q_error FROM every""",
 }

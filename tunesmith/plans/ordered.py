@@ -1,10 +1,12 @@
 """Ordered scans (running totals, ranks, lag, last value) without a hot task.
 
 A window over a group puts the whole group in one task. Here that is done only
-for groups that are known to be small. Hot groups, and scans with no group at
-all, are range-partitioned on (group, order), stored with their partition
-number, scanned part by part, and each part is given what the parts before it
-left over: one summary row per part and group.
+in tables whose groups are all known to be small. Tables with a hot group, and scans
+with no group at all, are range-partitioned on (group, order), stored with their
+partition number, and scanned part by part. Only the first and the last group of a part
+can go on in another one; those are given what the parts before left over, one summary
+row per part and group. So the input is looked at for hot groups, sampled for the parts'
+bounds and stored, whatever the number of hot groups.
 """
 
 from __future__ import annotations
@@ -15,11 +17,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from tunesmith.functions.exact import null_safe
-from tunesmith.plans.skew import HOT_ROWS, few_rows, hot_keys, sketch_keys, split_hot
+from tunesmith.plans.skew import HOT_ROWS, few_rows, sketch_keys
 from tunesmith.plans.sizing import if_small, shuffle_partitions
 from tunesmith.sources.scratch import stored
 
-MAX_PARTS = 20_000
+MAX_PARTS = 100_000
 
 
 def parts_for(spark: SparkSession, rows: int, hot_rows: int) -> int:
@@ -70,41 +72,47 @@ def ordered_scan(
         rows = df.count()
         return in_one_task(df) if rows <= hot_rows else in_parts(df, rows)
     (seen,) = sketch_keys([(source, by)], hot_rows, null_is_key=True) if look else (None,)
-    if seen is None or seen.likely is None:
-        return in_one_task(df)
-    hot = stored(hot_keys(source, by, seen.likely, hot_rows, null_is_key=True), "hot")
-    total = hot.agg(F.coalesce(F.sum("__skew_n"), F.lit(0))).first()[0]
-    if total == 0:
-        return in_one_task(df)
-    cold_rows, hot_part = split_hot(df, by, hot)
-    cold, scanned = in_one_task(cold_rows), in_parts(hot_part, total)
-    # A carried sum may have a wider type.
-    kinds = {c: cold.schema[c].dataType for c in cold.columns if c not in df.columns}
-    wider = {c: k for c, k in kinds.items() if k.simpleString() != scanned.schema[c].dataType.simpleString()}
-    return cold.unionByName(scanned.withColumns({c: F.col(c).cast(k) for c, k in wider.items()}))
+    return in_one_task(df) if seen is None or seen.likely is None else in_parts(df, seen.rows)
 
 
 def _by_parts(df, by, order, name, local, summary, carry, merge, whole, parts):
     ranged = df.repartitionByRange(parts, *by, *order)
     ranged = stored(ranged.withColumn("__scan_part", F.spark_partition_id()), "parts")
-    within = Window.partitionBy("__scan_part", *by).orderBy(*order)
-    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("__scan_part").rowsBetween(Window.unboundedPreceding, -1)
-    keys = ["__scan_part", *by]
-    # One row per part and hot group.
-    left_over = ranged.groupBy(*keys).agg(summary.alias("__scan_sum"))
-    left_over = left_over.withColumn("__scan_carry", carry(F.col("__scan_sum"), before))
+    keys, group = ["__scan_part", *by], by or [F.lit(0)]
+    open_ = _open_groups(ranged, by) if by else ranged
+    left_over = open_.groupBy(*keys).agg(summary.alias("__scan_sum"))
+    before = Window.partitionBy(*group).orderBy("__scan_part").rowsBetween(Window.unboundedPreceding, -1)
+    left_over = left_over.withColumn("__scan_carry", carry(F.col("__scan_sum"), before)).withColumn("__scan_open", F.lit(True))
     extra = []
     if whole:
-        left_over = left_over.withColumn(whole[0], whole[2].over(Window.partitionBy(*(by or [F.lit(0)]))))
-        extra = [whole[0]]
-    left_over = left_over.select(*[F.col(k).alias(f"__scan_{k}") for k in keys], "__scan_carry", *extra)
+        left_over = left_over.withColumn("__scan_whole", whole[2].over(Window.partitionBy(*group)))
+        extra = ["__scan_whole"]
+    left_over = left_over.select(*[F.col(k).alias(f"__scan_{k}") for k in keys], "__scan_carry", "__scan_open", *extra)
+    # At most two rows per part.
     left_over = stored(left_over, "carry")
-    return (
-        ranged.withColumn("__scan_value", local(within))
-        .join(if_small(left_over), null_safe(keys, [f"__scan_{k}" for k in keys]), "left")
-        .withColumn(name, merge(F.col("__scan_value"), F.col("__scan_carry")))
-        .select(*df.columns, name, *extra)
-    )
+    within = Window.partitionBy("__scan_part", *by)
+    out = ranged.withColumn("__scan_value", local(within.orderBy(*order)))
+    if whole:
+        out = out.withColumn("__scan_own", whole[1].over(within))
+    out = out.join(if_small(left_over), null_safe(keys, [f"__scan_{k}" for k in keys]), "left")
+    out = out.withColumn(name, merge(F.col("__scan_value"), F.col("__scan_carry")))
+    if whole:
+        out = out.withColumn(whole[0], F.when(F.col("__scan_open"), F.col("__scan_whole")).otherwise(F.col("__scan_own")))
+    # A carried sum may have a wider type than the scan has in one task.
+    made = {name: local(Window.partitionBy(*group).orderBy(*order))} | ({whole[0]: whole[1].over(Window.partitionBy(*group))} if whole else {})
+    kinds = df.select(*[c.alias(n) for n, c in made.items()]).schema
+    wider = [n for n in made if kinds[n].dataType.simpleString() != out.schema[n].dataType.simpleString()]
+    out = out.withColumns({n: F.col(n).cast(kinds[n].dataType) for n in wider}) if wider else out
+    return out.select(*df.columns, name, *([whole[0]] if whole else []))
+
+
+def _open_groups(ranged: DataFrame, by) -> DataFrame:
+    """The rows of groups that are the first or the last of a part: all others lie in one part."""
+    key = F.struct(*by)
+    ends = ranged.groupBy("__scan_part").agg(F.array(F.min(key), F.max(key)).alias("__ends"))
+    ends = ends.select(F.explode("__ends").alias("__end")).distinct()
+    ends = ends.select(*[F.col("__end").getField(k).alias(f"__scan_{k}") for k in by])
+    return ranged.join(if_small(stored(ends, "ends")), null_safe(by, [f"__scan_{k}" for k in by]), "left_semi")
 
 
 def running_sum(df, by, order, value, name, hot_rows=None, total=None, counted_in=None):
@@ -127,6 +135,25 @@ def running_sum(df, by, order, value, name, hot_rows=None, total=None, counted_i
     )
 
 
+def running_sums(df, by, order, values, name, hot_rows=None):
+    """Struct of the running sums of several columns, NULL counting as 0."""
+
+    def each(make):
+        return F.struct(*[make(v).alias(v) for v in values])
+
+    return ordered_scan(
+        df,
+        by,
+        order,
+        name,
+        local=lambda w: each(lambda v: F.sum(F.coalesce(v, F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0))),
+        summary=each(lambda v: F.sum(F.coalesce(v, F.lit(0)))),
+        carry=lambda s, w: each(lambda v: F.sum(s[v]).over(w)),
+        merge=lambda x, c: each(lambda v: x[v] + F.coalesce(c[v], F.lit(0))),
+        hot_rows=hot_rows,
+    )
+
+
 def row_numbers(df, by, order, name, hot_rows=None):
     """1, 2, 3, ... in each group."""
     return ordered_scan(

@@ -68,6 +68,7 @@ class Sketch:
 
     likely: DataFrame | None  # buckets of key hashes that may hold a hot key; None if there is none
     nulls: int  # rows with a NULL among the keys
+    rows: int = 0  # of the side
 
 
 def _bucket(keys) -> Column:
@@ -88,15 +89,18 @@ def sketch_keys(sides, hot_rows: int, null_is_key: bool = False) -> list[Sketch]
         for i, (df, keys) in enumerate(sides)
     ]
     counts = reduce(DataFrame.unionAll, digests).groupBy("side", "__skew_bucket").agg(F.count(F.lit(1)).alias("n"))
-    crowded = stored(counts.where(F.col("__skew_bucket").isNull() | (F.col("n") > hot_rows)), "buckets")
+    # At most BUCKETS + 1 rows of a side.
+    counts = stored(counts, "buckets")
     known = F.col("__skew_bucket").isNotNull()
-    totals = crowded.groupBy("side").agg(F.count_if(known).alias("buckets"), F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("nulls"))
+    crowded = counts.where(known & (F.col("n") > hot_rows))
+    nulls = F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("nulls")
+    totals = counts.groupBy("side").agg(F.count_if(known & (F.col("n") > hot_rows)).alias("buckets"), nulls, F.sum("n").alias("rows"))
     found = {row["side"]: row for row in totals.collect()}
     out = []
     for i in range(len(sides)):
         row = found.get(i)
-        buckets = crowded.where(known & (F.col("side") == i)).select("__skew_bucket")
-        out.append(Sketch(buckets if row and row["buckets"] else None, row["nulls"] if row else 0))
+        buckets = crowded.where(F.col("side") == i).select("__skew_bucket")
+        out.append(Sketch(buckets if row and row["buckets"] else None, row["nulls"] if row else 0, row["rows"] if row else 0))
     return out
 
 

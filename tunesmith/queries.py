@@ -11,9 +11,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tunesmith.functions.exact import money, seconds_between
-from tunesmith.operators import advanced_joins, design, joins, lookup, rewrites, statistics, workload
-from tunesmith.sources import layout
-from tunesmith.sources.scratch import new_path
+from tunesmith.operators import advanced_joins, design, estimates, intervals, joins, lookup, rewrites, sketches, statistics, workload
+from tunesmith.sources import buckets, curves, layout, skipping
+from tunesmith.sources.scratch import written_once
 from tunesmith.sources.tables import table
 
 URGENT = "1-URGENT"
@@ -207,10 +207,14 @@ def star_join(spark, d):
     return joined.groupBy("n_name", "p_type").agg(F.count("*").alias("n"), total("l_extendedprice").alias("total"))
 
 
+def _orders_by_priority(spark, d) -> str:
+    orders = table(spark, d, "orders")
+    return written_once(spark, ("orders-by-priority", d), lambda path: layout.write_partitioned(orders, path, "o_orderpriority"))
+
+
 def star_join_pruned(spark, d):
-    path = new_path(spark, "orders-by-priority")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
-    layout.write_partitioned(orders, path, "o_orderpriority")
+    path = _orders_by_priority(spark, d)
     wanted = (
         orders.groupBy(F.col("o_orderpriority").alias("priority"))
         .agg(F.count("*").alias("rows"))
@@ -239,14 +243,39 @@ def running_total_hot(spark, d):
     return out.select("o_orderpriority", "o_orderkey", F.col("running").cast("double").alias("running"))
 
 
+def band_join_stamps(spark, d):
+    events = table(spark, d, "events")
+    errors = events.where(F.col("event_type") == "error").select("user_id", F.col("event_id").alias("error_id"), F.col("ts").alias("error_at"))
+    bought = events.where(F.col("event_type") == "purchase").select("user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("bought_at"))
+    pairs = advanced_joins.band_join(errors, bought, "error_at", "bought_at", dt.timedelta(hours=2), keys="user_id")
+    return pairs.select("user_id", "error_id", "purchase_id")
+
+
+def interval_join(spark, d):
+    """Outages, as long as their event's value in minutes, and the sessions of other users that they overlap."""
+    events = table(spark, d, "events")
+    minutes = F.make_dt_interval(mins=F.round("value").cast("int"))
+    outages = events.where((F.col("event_type") == "error") & (F.col("value") > 60)).select(F.col("event_id").alias("outage_id"), F.col("ts").alias("down"), (F.col("ts") + minutes).alias("up"))
+    visits = workload.sessions(events, "user_id", "ts", "3 hours").where("calls > 1").select("user_id", "session_start", "last_call")
+    pairs = intervals.interval_join(outages, visits, ("down", "up"), ("session_start", "last_call"))
+    return pairs.select("outage_id", "user_id", stamp("session_start").alias("session_start"))
+
+
+def reduced_join(spark, d):
+    """The parts are few but, with the limit off, are shuffled; so their keys thin the fact first."""
+    items = table(spark, d, "lineitem").select("l_partkey", "l_extendedprice")
+    part = table(spark, d, "part").where(F.col("p_size") > 45).select("p_partkey", "p_brand")
+    joined = advanced_joins.reduced_join(items, part, [("l_partkey", "p_partkey")], limit=-1)
+    return joined.groupBy("p_brand").agg(F.count("*").alias("n"), total("l_extendedprice").alias("total"))
+
+
 # ---- layout, lookup and key design ----------------------------------------
 
 
 def _orders_by_date(spark, d) -> str:
-    path = new_path(spark, "orders-by-date")
     orders = table(spark, d, "orders")
-    layout.write_clustered(orders, path, "o_orderdate", layout.files_for(orders, least=8))
-    return path
+    files = layout.files_for(orders, least=8)
+    return written_once(spark, ("orders-by-date", d), lambda path: layout.write_clustered(orders, path, "o_orderdate", files))
 
 
 def write_clustered(spark, d):
@@ -264,7 +293,6 @@ def key_range(spark, d):
 
 
 def write_summary(spark, d):
-    path = new_path(spark, "item-summary")
     items = table(spark, d, "lineitem").select(
         "l_returnflag",
         "l_linestatus",
@@ -272,7 +300,8 @@ def write_summary(spark, d):
         money("l_extendedprice").alias("price"),
         money("l_quantity").alias("quantity"),
     )
-    lookup.write_summary(items, ["l_returnflag", "l_linestatus", "month"], ["price", "quantity"], path)
+    keys = ["l_returnflag", "l_linestatus", "month"]
+    path = written_once(spark, ("item-summary", d), lambda path: lookup.write_summary(items, keys, ["price", "quantity"], path))
     rolled = lookup.from_summary(
         spark,
         path,
@@ -378,8 +407,7 @@ def layout_candidates(spark, d):
 
 
 def scan_footprint(spark, d):
-    path = new_path(spark, "orders-by-priority")
-    layout.write_partitioned(table(spark, d, "orders"), path, "o_orderpriority")
+    path = _orders_by_priority(spark, d)
     cond = F.col("o_orderpriority").isin(URGENT, "2-HIGH") & (F.col("o_totalprice") > 300000)
     found = layout.scan_footprint(spark, path, cond)
     return found.select("folders_total", "folders_hit", "rows_total", "rows_hit")
@@ -398,13 +426,86 @@ def scan_footprint_files(spark, d):
 
 
 def write_partitioned(spark, d):
-    path = new_path(spark, "orders-by-year")
     orders = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
-    layout.write_partitioned(orders, path, ["year", "o_orderstatus"])
+    path = written_once(spark, ("orders-by-year", d), lambda path: layout.write_partitioned(orders, path, ["year", "o_orderstatus"]))
     cond = F.col("year").between(1996, 1997) & (F.col("o_orderstatus") == "F")
     return layout.read_partitioned(spark, path, cond, ["o_orderkey", "o_custkey", "o_totalprice", "year"])
 
 
+def skipping_lookup(spark, d):
+    """Orders by key in a table that is sorted by date: four keys, of which one is in no file."""
+    wanted = {"o_orderkey": [7, 421, 1333, 99_999_999]}
+    return skipping.skipping_lookup(spark, _orders_by_date(spark, d), _order_side(spark, d), wanted, ["o_orderkey", "o_custkey", "o_totalprice"])
+
+
+def skipping_lookup_range(spark, d):
+    wanted = {"o_totalprice": [(495000.0, None), (None, 2000.0)], "o_orderpriority": [URGENT, None]}
+    return skipping.skipping_lookup(spark, _orders_by_date(spark, d), _order_side(spark, d), wanted, ["o_orderkey", "o_totalprice", "o_orderpriority"])
+
+
+def _order_side(spark, d) -> str:
+    source = _orders_by_date(spark, d)
+    cols = ["o_orderkey", "o_totalprice", "o_orderpriority"]
+    return written_once(spark, ("order-files", d), lambda path: skipping.write_skipping(spark, source, cols, path))
+
+
+def _orders_on_curve(spark, d) -> str:
+    orders = table(spark, d, "orders")
+    files = layout.files_for(orders, least=16)
+    return written_once(spark, ("orders-on-curve", d), lambda path: curves.write_zordered(orders, path, ["o_orderdate", "o_custkey"], files))
+
+
+def key_box(spark, d):
+    box = {"o_orderdate": (dt.datetime(1997, 3, 1), dt.datetime(1998, 2, 28)), "o_custkey": (10, 60)}
+    return curves.key_box(spark, _orders_on_curve(spark, d), box, ["o_orderkey", "o_custkey", "o_totalprice"])
+
+
+def key_box_second_key(spark, d):
+    found = curves.key_box(spark, _orders_on_curve(spark, d), {"o_custkey": (100, 130)})
+    return found.groupBy("o_custkey").agg(F.count("*").alias("n"), total("o_totalprice").alias("total"))
+
+
+def bucketed_join(spark, d):
+    items = table(spark, d, "lineitem").select("l_orderkey", "l_extendedprice")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
+    n = max(4, buckets.buckets_for(items, orders))
+    joined = buckets.bucketed_join(buckets.write_bucketed(items, "l_orderkey", n), buckets.write_bucketed(orders, "o_orderkey", n))
+    return joined.groupBy("o_orderpriority").agg(F.count("*").alias("n"), total("l_extendedprice").alias("total"))
+
+
+def bucketed_join_hot(spark, d):
+    """Each of the three flags has a third of all rows, so none is in a bucket."""
+    items = table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_quantity")
+    levels = items.groupBy(F.col("l_returnflag").alias("flag")).agg(mean("l_quantity").alias("flag_mean"))
+    left = buckets.write_bucketed(items, "l_returnflag", 4, hot_rows=1_500)
+    joined = buckets.bucketed_join(left, buckets.write_bucketed(levels, "flag", 4), how="left", hot_rows=5_000)
+    return joined.groupBy("l_returnflag").agg(F.count_if(F.col("l_quantity") > F.col("flag_mean")).alias("above"), F.count("*").alias("n"))
+
+
+def open_page(spark, d):
+    orders, source = [("o_orderdate", "desc"), ("o_orderkey", "asc")], _orders_by_date(spark, d)
+    pages = spark.read.parquet(source)
+    path = written_once(spark, ("order-pages", d), lambda path: lookup.write_pages(pages, orders, 100, path))
+    page = lookup.open_page(pages, orders, 100, path, 7)
+    return page.select("o_orderkey", stamp("o_orderdate").alias("o_orderdate"), "o_totalprice")
+
+
+def _with_month(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("month", month("o_orderdate")).withColumn("price", money("o_totalprice"))
+
+
+def from_smallest(spark, d):
+    """Of two summaries, the one with the fewer rows that has the keys asked for."""
+    source = _orders_by_date(spark, d)
+    paths = [
+        written_once(spark, (name, d), lambda path, keys=keys: lookup.refresh_summary(spark, source, keys, ["price"], path, _with_month))
+        for name, keys in (("orders-by-month", ["month", "o_orderpriority"]), ("orders-by-customer", ["month", "o_orderpriority", "o_custkey"]))
+    ]
+    aggs = {"n": ("rows", None), "total": ("sum", "price"), "mean": ("avg", "price"), "greatest": ("max", "price")}
+    rolled = lookup.from_smallest(spark, [f"{p}/{lookup.ROWS}" for p in paths], ["o_orderpriority"], aggs)
+    return rolled.select("o_orderpriority", "n", *[F.col(c).cast("double").alias(c) for c in ("total", "mean", "greatest")])
+
+
 # ---- workload analysis ----------------------------------------------------
 
 
@@ -443,6 +544,25 @@ def wait_gaps(spark, d):
     )
 
 
+def sessions(spark, d):
+    found = workload.sessions(table(spark, d, "events"), "user_id", "ts", "6 hours", money("value"))
+    return found.select(
+        "user_id",
+        stamp("session_start").alias("session_start"),
+        stamp("last_call").alias("last_call"),
+        "calls",
+        F.col("busy").cast("double").alias("busy"),
+        F.round(F.col("longest_idle").cast("double"), 3).alias("longest_idle"),
+        F.round(F.col("seconds").cast("double"), 3).alias("seconds"),
+    )
+
+
+def join_estimate(spark, d):
+    events, orders = table(spark, d, "events"), table(spark, d, "orders")
+    found = estimates.join_estimate(events, orders, [("user_id", "o_custkey")], k=10, common=20, buckets=16)
+    return rounded(found, "estimated_rows", "q_error", digits=3)
+
+
 # ---- statistics, reuse and rewrites ----------------------------------------
 
 
@@ -452,6 +572,13 @@ def column_stats(spark, d):
     return statistics.column_stats(plain)
 
 
+def sketched_stats(spark, d):
+    """Bounds and counts of a table from the sketches of its parts, one per priority."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    path = written_once(spark, ("order-sketches", d), lambda path: sketches.write_sketches(orders, F.col("o_orderpriority"), path))
+    return sketches.sketched_stats(spark, path).select("column_name", "rows", "null_rows", "least", "greatest")
+
+
 def equi_height(spark, d):
     orders = table(spark, d, "orders").select(money("o_totalprice").alias("price"))
     found = statistics.equi_height(orders, "price", 20, hot_rows=2_000)
@@ -497,6 +624,15 @@ def run_params(spark, d):
     return found.select(stamp("lo").alias("lo"), stamp("hi").alias("hi"), "n", "total")
 
 
+def sweep_params(spark, d):
+    """The months of each priority's orders of 300,000 and more, as ranges from the first to the last day seen."""
+    orders = table(spark, d, "orders").select("o_orderpriority", "o_orderdate", "o_totalprice", money("o_totalprice").alias("price"))
+    dear = orders.where(F.col("o_totalprice") > 300000)
+    spans = orders.groupBy(F.col("o_orderpriority").alias("priority"), month("o_orderdate").alias("month")).agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    found = rewrites.sweep_params(dear, spans, "o_orderdate", "lo", "hi", {"n": ("rows", None), "total": ("sum", "price"), "mean": ("avg", "price")}, [("o_orderpriority", "priority")])
+    return found.select("priority", "month", "n", F.col("total").cast("double").alias("total"), "mean")
+
+
 def run_once(spark, d):
     text = "SELECT o_orderkey, o_totalprice FROM {orders} WHERE o_orderpriority = :priority AND o_totalprice > :floor"
     args = {"priority": URGENT, "floor": 400000.0}
@@ -602,6 +738,9 @@ ALL = [
     not_in,
     not_in_null_list,
     band_join,
+    band_join_stamps,
+    interval_join,
+    reduced_join,
     asof_join,
     salted_join,
     star_join,
@@ -618,6 +757,14 @@ ALL = [
     top_n_per_group,
     top_n_per_hot_group,
     keyset_page,
+    open_page,
+    from_smallest,
+    skipping_lookup,
+    skipping_lookup_range,
+    key_box,
+    key_box_second_key,
+    bucketed_join,
+    bucketed_join_hot,
     column_selectivity,
     prefix_selectivity,
     clustering_factor,
@@ -632,12 +779,16 @@ ALL = [
     response_percentiles_hot,
     response_windows,
     wait_gaps,
+    sessions,
+    join_estimate,
+    sketched_stats,
     column_stats,
     equi_height,
     equi_height_few_values,
     common_values,
     statement_reuse,
     run_params,
+    sweep_params,
     run_once,
     shared,
     or_join,

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
-# Paths given out in this process, in order.
+# Paths given out in this process, in order, names of tables in the catalog, and layouts by what they hold.
 _paths: list[str] = []
+_tables: list[str] = []
+_layouts: dict[tuple, str] = {}
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -43,14 +45,37 @@ def released(spark: SparkSession) -> Iterator[None]:
 
     A result that is read from them must be used inside the block.
     """
-    before = len(_paths)
+    paths, tables, layouts = len(_paths), len(_tables), set(_layouts)
     try:
         yield
     finally:
-        for path in _paths[before:]:
+        for name in _tables[tables:]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in _paths[paths:]:
             place = spark._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-        del _paths[before:]
+        del _paths[paths:], _tables[tables:]
+        for key in set(_layouts) - layouts:
+            del _layouts[key]
+
+
+def drop_later(name: str) -> None:
+    """Have ``released`` drop a table of the catalog, whose files are in the scratch folder."""
+    _tables.append(name)
+
+
+def written_once(spark: SparkSession, key: tuple, write: Callable[[str], None]) -> str:
+    """The path of the layout that ``write`` makes, made at the first call of the session with this key.
+
+    ``key`` says what the layout holds: its source and how it is laid out. It is for sources
+    that do not change while the session lasts.
+    """
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _layouts:
+        path = new_path(spark, str(key[1]))
+        write(path)
+        _layouts[key] = path
+    return _layouts[key]
 
 
 def stored(df: DataFrame, name: str = "stored") -> DataFrame:
