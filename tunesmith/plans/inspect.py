@@ -36,20 +36,30 @@ def plan_nodes(df: DataFrame) -> list[str]:
     return re.findall(r"^[\s:+\-|]*(?:\*\(\d+\) )?([A-Z]\w+)", text, re.M)
 
 
-def rows_scanned(df: DataFrame) -> int:
-    """Run ``df`` and add up the rows its file scans gave out.
-
-    The plan's text shows filters even where they let every row group through;
-    this count does not.
-    """
+def _of_scans(df: DataFrame, metric: str) -> int:
+    """Run ``df`` and add up a metric of its file scans."""
     with settings(df.sparkSession, spark__sql__adaptive__enabled="false"):
         run = df.select("*")._jdf.queryExecution()
         run.toRdd().count()
-    plans, rows = [run.executedPlan()], 0
+    plans, found = [run.executedPlan()], 0
     while plans:
         node = plans.pop()
-        if node.nodeName().startswith("Scan"):
-            rows += node.metrics().apply("numOutputRows").value()
+        if node.nodeName().startswith("Scan") and node.metrics().contains(metric):
+            found += node.metrics().apply(metric).value()
         children = node.children()
         plans += [children.apply(i) for i in range(children.size())]
-    return rows
+    return found
+
+
+def rows_scanned(df: DataFrame) -> int:
+    """Run ``df`` and add up the rows its file scans gave out.
+
+    The plan's text shows filters even where they let every row group through;
+    this count does not.
+    """
+    return _of_scans(df, "numOutputRows")
+
+
+def files_scanned(df: DataFrame) -> int:
+    """Run ``df`` and add up the files its scans were given to open."""
+    return _of_scans(df, "numFiles")
