@@ -88,3 +88,54 @@ def test_held_out_accuracy(spark):
 def test_query(spark):
     found = queries.op9_chains(spark, "/root/testdata/sf0.001")
     assert found.columns == ["doc_id", "p_low_quality", "p_toxic", "rejected"] and found.count() == 200
+
+
+# The same chain by a plain solver: dense matrices, chi-square by loops, Newton steps to the end.
+
+
+def plain_features(rows, y):
+    names = sorted({int(f) for r in rows for f in r})
+    scored = []
+    for f in names:
+        has = np.array([f in set(r.tolist()) for r in rows])
+        a, b = int((has & (y == 1)).sum()), int((has & (y == 0)).sum())
+        ones, zeros = int(y.sum()), int((y == 0).sum())
+        below = ones * zeros * (a + b) * (len(y) - a - b)
+        chi = (a * (zeros - b) - b * (ones - a)) ** 2 * len(y) / max(below, 1)
+        if max(a, b) >= C.LEAST_ROWS and chi > 0:
+            scored.append((-chi, f))
+    return sorted(f for _, f in sorted(scored)[: C.USED])
+
+
+def plain_matrix(rows, features, before):
+    present = np.array([[f in set(r.tolist()) for f in features] for r in rows], float).reshape(len(rows), len(features))
+    return np.column_stack([present, before, np.ones(len(rows))])
+
+
+def plain_fit(rows, before, y):
+    features = plain_features(rows, y)
+    x = plain_matrix(rows, features, before)
+    theta, decay = np.zeros(x.shape[1]), np.full(x.shape[1], C.DECAY)
+    decay[-1] = 0
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-(x @ theta)))
+        slope = x.T @ (p - y) + decay * theta
+        theta = theta - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(decay + 1e-9), slope)
+    return lambda others, earlier: 1 / (1 + np.exp(-(plain_matrix(others, features, earlier) @ theta)))
+
+
+def test_chain_equals_a_plain_solver():
+    texts, labels = made(240)
+    rows, folds = C.rows_of(texts), np.arange(240) % C.FOLDS
+    others, _ = made(120, 5)
+    unseen, before, theirs = C.rows_of(others), np.zeros((240, 0)), np.zeros((120, 0))
+    for y in labels.T:
+        own = np.zeros(240)
+        for fold in range(C.FOLDS):
+            out = folds == fold
+            own[out] = plain_fit([r for r, m in zip(rows, out) if not m], before[~out], y[~out])([r for r, m in zip(rows, out) if m], before[out])
+        found = plain_fit(rows, before, y)(unseen, theirs)
+        before, theirs = np.column_stack([before, own]), np.column_stack([theirs, found])
+    scorer = C.Scorer(C.fit_chain(rows, labels, folds))
+    got = np.array([scorer(t) for t in others])
+    assert np.abs(got - theirs).max() < 0.05 and ((got >= 0.5) == (theirs >= 0.5)).mean() > 0.99

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import types as T
@@ -85,3 +86,20 @@ def test_query_against_a_full_scan(spark):
         assert row["base_sha256"] == hashlib.sha256(own.encode()).hexdigest()
         assert row["spans"] == ",".join(f"{S.RULES[k].kind}:{a}:{b}" for a, k, b in spans)
         assert (row["n_assign"], row["n_access"], row["n_hex"]) == tuple(sum(s[1] == k for s in spans) for k in range(3))
+
+
+LONG = ["eyJ" * 340_000 + " .eyJ", "token" * 200_000, "password" + " " * 1_000_000 + "x", "AKIA" * 250_000, "-----BEGIN " + "A " * 500_000, "0" * 1_000_000, "gh" * 500_000, "token= " * 140_000 + " " * 100_000]
+
+
+@pytest.mark.parametrize("text", LONG, ids=[t[:12] for t in LONG])
+def test_long_runs_take_linear_time(text):
+    S.scan_block(["warm"])
+    start = time.process_time()
+    S.scan_block([text])
+    assert time.process_time() - start < 2
+
+
+def test_a_token_begins_a_run_of_its_characters():
+    token = ".".join(["eyJ" + "a" * 9, "eyJ" + "b" * 9, "c" * 9])
+    found = [[S.RULES[k].kind for _, k, _ in spans] for spans in S.scan_block([f"x {token} y", f"({token})", "x" + token, f"{token} {token}"])]
+    assert found == [["jwt"], ["jwt"], [], ["jwt", "jwt"]]

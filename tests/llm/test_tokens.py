@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -65,3 +66,39 @@ def test_counts_of_odd_rows(spark):
     long = next(r for r in got if r[1] == 200_000)
     assert long[2] == len(tokens.library(path).encode("é" * 100_000, add_special_tokens=False).ids) and long[3]
     assert token_counts.token_counts(df.limit(0), path).collect() == []
+
+
+# Long runs that a search from each of their characters would look at again and again.
+RUNS = {"marks before a letter": "x " + "." * 1_000_000 + "a", "mixed marks": "x " + ".,;:!?" * 160_000 + "a", "marks": "!" * 1_000_000, "white space": "a" + " \n\t" * 330_000, "letters": "ab" * 500_000 + "."}
+
+
+@pytest.mark.parametrize("text", RUNS.values(), ids=RUNS)
+def test_long_runs_take_linear_time(text):
+    for name, of in [*PATHS.items(), ("byte_bpe_50k.json", token_counts.counter)]:
+        path = public_tokenizers.path(name)
+        of, whole = of(path), tokens.library(path)
+        start = time.process_time()
+        found = of(text)
+        own = time.process_time() - start
+        ids = whole.encode(text, add_special_tokens=False).ids
+        library = time.process_time() - start - own
+        assert (found if isinstance(found, int) else len(found) // 4) == len(ids)
+        assert isinstance(found, int) or np.frombuffer(found, "<u4").tolist() == ids
+        # The heap's merging is in Python; the rest is the library's.
+        assert own < (20 if isinstance(found, int) else 2 + 3 * library), name
+
+
+def test_a_worker_keeps_what_its_stage_uses(monkeypatch):
+    stage = [1]
+    monkeypatch.setattr(tokens.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"stageId": lambda self: stage[0]})()))
+    monkeypatch.setattr(tokens, "_held", {})
+    made = []
+    keep = lambda name: tokens.worker_kept((name,), lambda: made.append(name) or name)
+    assert [keep(x) for x in "aabba"] == list("aabba") and made == ["a", "b"]
+    stage[0] = 2
+    assert keep("a") == "a" and keep("a") == "a" and made == ["a", "b"]
+    # What the new stage did not ask for first is gone.
+    assert keep("b") == "b" and made == ["a", "b", "b"] and set(tokens._held) == {("a",), ("b",)}
+    stage[0] = 3
+    keep("c")
+    assert set(tokens._held) == {("c",)}
