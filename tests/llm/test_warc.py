@@ -1,10 +1,12 @@
 import gzip
 import hashlib
+import random
 
 import pytest
 from pyspark.sql import types as T
 
 from tunesmith.llm import warc as W
+from tunesmith.plans.inspect import settings
 
 BIG = "ä" * 600
 SCHEMA = T.StructType([T.StructField(n, T.LongType() if n == "page_id" else T.StringType()) for n in ("page_id", "url", "html", "U", "payload_digest")])
@@ -146,3 +148,15 @@ def test_members_of_several_records(spark, tmp_path):
         (at, len(mixed), f"the block's digest differs, in bytes {a} to {b} of the member unpacked"),
         (content.index(whole[:-9], at), len(whole) - 9, "the member is damaged"),
     ]
+
+
+@pytest.mark.parametrize("members", [True, False])
+def test_files_are_cut_by_bytes(spark, tmp_path, members):
+    rng = random.Random(1)
+    pages = [(i, f"http://h/{i}", rng.randbytes(50_000 if i % 10 else 300_000).hex()) for i in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    with settings(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes=1_000_000, spark__sql__shuffle__partitions=60):
+        W.write_warc(df, str(tmp_path / "w"), members=members)
+    sizes = [f.stat().st_size for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    assert len(sizes) >= 4 and max(sizes) < 5_000_000
+    assert W.page_records(W.read_warc(spark, str(tmp_path / "w"))).count() == 60

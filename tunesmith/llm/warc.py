@@ -102,15 +102,17 @@ def write_warc(pages: DataFrame, path: str, payload: str = "html", page: str = "
     """Write one record per row; ``members`` compresses each into a gzip member of its own.
 
     A null payload is empty, a null url has no header, a null page id an empty one. Rows
-    that repeat are written each; an empty table gives archives without records.
+    that repeat are written each; an empty table gives archives without records. Records
+    are dealt out by their bytes: a file holds about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``
+    (64 MB unless set) of them, as a reader takes a file whole, and ``FILE_RECORDS`` at most.
     """
     narrow = pages.select(quoted(page).cast("long").alias("p"), quoted(url).cast("string").alias("u"), F.coalesce(quoted(payload), F.lit("")).alias("h"))
     rows = with_types(narrow, "h", "p").select(record("h", "p", "u", date).alias("value"))
     if members:
         rows = rows.select(_member(F.col("value")).cast("string").alias("value"))
-        write = rows.write.option("encoding", "ISO-8859-1").option("lineSep", _EMPTY_MEMBER.decode("latin-1"))
+        write = rows.hint("rebalance").write.option("encoding", "ISO-8859-1").option("lineSep", _EMPTY_MEMBER.decode("latin-1"))
     else:
-        write = rows.write.option("lineSep", END.decode())
+        write = rows.hint("rebalance").write.option("lineSep", END.decode())
     write.option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
