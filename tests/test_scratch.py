@@ -47,3 +47,23 @@ def test_released_tables_are_deleted(spark, tmp_path, monkeypatch):
 def test_a_local_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError):
         scratch_folder(session("local-cluster[2,1,1024]"))
+
+
+def test_a_layout_is_written_once_until_it_is_gone(spark):
+    made = []
+
+    def write(path):
+        made.append(path)
+        spark.range(3).write.parquet(path)
+
+    with scratch.released(spark):
+        first = scratch.written_once(spark, ("three", "here"), write)
+        assert scratch.written_once(spark, ("three", "here"), write) == first and len(made) == 1
+        assert scratch.written_once(spark, ("three", "there"), write) != first
+        files, place = scratch._place(spark, first)
+        files.delete(place, True)
+        again = scratch.written_once(spark, ("three", "here"), write)
+        assert again != first and spark.read.parquet(again).count() == 3
+    # Released ones are forgotten.
+    with scratch.released(spark):
+        assert scratch.written_once(spark, ("three", "here"), write) not in made[:-1]

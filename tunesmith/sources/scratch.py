@@ -52,13 +52,24 @@ def released(spark: SparkSession) -> Iterator[None]:
         for name in _tables[tables:]:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
         for path in _paths[paths:]:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+            files, place = _place(spark, path)
+            files.delete(place, True)
         del _paths[paths:], _tables[tables:]
         for key in set(_layouts) - layouts:
             del _layouts[key]
 
 
+def _place(spark: SparkSession, path: str):
+    """The file system of a path, and the path in its terms."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _is_there(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
 def drop_later(name: str) -> None:
     """Have ``released`` drop a table of the catalog, whose files are in the scratch folder."""
     _tables.append(name)
@@ -68,10 +79,10 @@ def written_once(spark: SparkSession, key: tuple, write: Callable[[str], None])
     """The path of the layout that ``write`` makes, made at the first call of the session with this key.
 
     ``key`` says what the layout holds: its source and how it is laid out. It is for sources
-    that do not change while the session lasts.
+    that do not change while the session lasts. A layout that someone has deleted is made again.
     """
     key = (spark.sparkContext.applicationId, *key)
-    if key not in _layouts:
+    if key not in _layouts or not _is_there(spark, _layouts[key]):
         path = new_path(spark, str(key[1]))
         write(path)
         _layouts[key] = path
