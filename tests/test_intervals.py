@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tunesmith.operators import advanced_joins
 from tunesmith.operators.intervals import interval_join
-from tunesmith.plans.inspect import plan_nodes, settings
+from tunesmith.plans.inspect import plan_nodes, plan_text, settings
 
 BASE = dt.datetime(2024, 3, 10)
 KINDS = {
@@ -69,6 +69,36 @@ def test_long_and_short_intervals_meet_with_few_copies(spark):
     assert interval_join(l, r, ("s", "e"), ("rs", "re")).count() == sum(1 for a in range(100) for b in range(1000) if a < b + 0.5)
 
 
+def test_rows_that_meet_in_a_bin_are_mostly_pairs(spark, monkeypatch):
+    from tunesmith.operators import intervals as module
+
+    met, join = [], module.skew_join
+    monkeypatch.setattr(module, "skew_join", lambda *a, **k: met.append(join(*a, **k)) or met[-1])
+    l = spark.range(400).select("id", (F.col("id") * 7).alias("s"), (F.col("id") * 7 + 300 + F.col("id") % 150).alias("e"))
+    r = spark.range(400).select(F.col("id").alias("rid"), (F.col("id") * 7 + 3).alias("rs"), (F.col("id") * 7 + 250 + F.col("id") % 90).alias("re"))
+    pairs = interval_join(l, r, ("s", "e"), ("rs", "re")).count()
+    assert sum(m.count() for m in met) < 1.4 * pairs
+
+
+def test_tasks_are_not_merged_and_conditions_compare_columns_alone(spark):
+    """Few rows make very many pairs: AQE would put all bins into one task by their bytes."""
+    l = spark.range(100).select("id", F.col("id").alias("s"), (F.col("id") + 50).alias("e"))
+    r = spark.range(100).select(F.col("id").alias("rid"), F.col("id").alias("rs"), (F.col("id") + 40).alias("re"))
+    joined = interval_join(l, r, ("s", "e"), ("rs", "re"))
+    tasks = joined.select(F.spark_partition_id().alias("p")).distinct().count()
+    joins = [x for x in plan_text(joined).splitlines() if "SortMergeJoin" in x]
+    assert tasks > 8 and len(joins) == 2 and not any("POWER" in x for x in joins)
+
+
+def test_each_pair_of_touching_and_equal_starts_comes_once(spark):
+    l = spark.createDataFrame([(1, 0, 8), (2, 8, 16), (3, 5, 6), (4, 0, 8)], "id long, s int, e int")
+    r = spark.createDataFrame([(1, 0.0, 8.0), (2, 5.0, 5.5), (3, 7.999, 8.0)], "rid long, rs double, re double")
+    got = sorted(tuple(x) for x in interval_join(l, r, ("s", "e"), ("rs", "re")).select("id", "rid").collect())
+    assert got == [(1, 1), (1, 2), (1, 3), (3, 1), (3, 2), (4, 1), (4, 2), (4, 3)]
+    got = sorted(tuple(x) for x in interval_join(l, r, ("s", "e"), ("rs", "re"), closed=True).select("id", "rid").collect())
+    assert got == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 3), (3, 1), (3, 2), (4, 1), (4, 2), (4, 3)]
+
+
 def test_endless_intervals(spark):
     inf = float("inf")
     l = spark.createDataFrame([(1, 0.0, inf), (2, -inf, inf), (3, 5.0, 6.0), (4, inf, inf)], "id long, s double, e double")
