@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tunesmith.functions.exact import null_safe
-from tunesmith.plans.sizing import estimated_bytes, if_small
+from tunesmith.plans.sizing import if_small, rows_and_bytes
 from tunesmith.plans.skew import HOT_ROWS, equi_join, few_rows, hot_keys, key_pairs, sketch_keys, skew_join, split_hot
 from tunesmith.sources.scratch import drop_later, new_path, stored
 
@@ -45,8 +45,13 @@ class Bucketed:
 
 
 def buckets_for(*tables: DataFrame) -> int:
-    """Buckets for tables that are to be joined: of about ``BUCKET_BYTES`` in the largest."""
-    return max(1, math.ceil(max(estimated_bytes(t) for t in tables) / BUCKET_BYTES))
+    """Buckets for tables that are to be joined: of ``HOT_ROWS`` rows and ``BUCKET_BYTES`` at most, on average.
+
+    A task sorts a whole bucket in memory, where rows take their full width. So they are counted:
+    files are compressed, and an estimate that goes by them says little.
+    """
+    counted = [rows_and_bytes(t) for t in tables]
+    return max(1, *(math.ceil(max(rows / HOT_ROWS, size / BUCKET_BYTES)) for rows, size in counted))
 
 
 def write_bucketed(df: DataFrame, keys, buckets: int | None = None, hot_rows: int | None = None) -> Bucketed:
