@@ -1,7 +1,10 @@
+import re
+
 import numpy as np
 from pyspark.sql import functions as F, types as T
 
 from tunesmith.llm import rabitq as R
+from tunesmith.plans.inspect import plan_nodes, plan_text
 
 SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("RANK", T.StringType()), T.StructField("dim", T.StringType())])
 
@@ -66,3 +69,26 @@ def test_odd_rows(spark):
 def test_many_equal_vectors(spark):
     rows = [(k, [1.0, 2.0, 2.0]) for k in range(300)]
     assert run(spark, rows) == brute(rows)
+
+
+def test_copies_of_queries_are_not_broadcast_and_chunks_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(R, "BLOCK_BYTES", 60_000)
+    monkeypatch.setattr(R, "QUERY_BLOCK", 7)
+    rows = clustered(3000, 40)
+    df = spark.createDataFrame([(i, [float(x) for x in v], None, "d") for i, v in rows], SCHEMA)
+    nodes = plan_nodes(R.nearest(df, F.col("vec_id") % 100 == 0))
+    assert "BroadcastExchange" not in nodes and "SortMergeJoin" not in nodes
+    monkeypatch.setattr(R, "CHUNK_BYTES", 30_000)
+    found = R.nearest(df, F.col("vec_id") % 100 == 0)
+    assert re.findall(r"direct_shuffle_partition_id\(chunk#\d+\), (\d+)\)", plan_text(found)) == [str(-(-3000 * 40 * 8 // 30_000))]
+    got, want = sorted(map(tuple, found.collect())), brute(rows)
+    assert len(got) == len(want) and len({(g[0], g[2]) for g in got} & {(w[0], w[2]) for w in want}) >= 0.99 * len(want)
+
+
+def test_sample_of_low_hashes_is_that_of_all(spark, monkeypatch):
+    monkeypatch.setattr(R, "SAMPLE", 50)
+    rows = spark.range(3000).select("id", F.array("id").alias("v"))
+    assert R._sample(rows, 3000) == rows.orderBy(F.xxhash64("id"), "id").limit(50).select("v").collect()
+    # Hashes that are all alike and high: the rows come all the same.
+    alike = spark.range(300).select(F.lit(1).alias("id"), F.array("id").alias("v"))
+    assert len(R._sample(alike, 300)) == 50

@@ -1,15 +1,16 @@
 """Nearest neighbours by randomly rotated one-bit codes (op1).
 
-Each vector is taken relative to its cell's centroid, rotated at random and stored as its
+Each vector is taken relative to its cell's centroid, rotated at random and kept as its
 signs, with two correction scalars: the length, and the inner product of the rotated unit
 vector with its own sign vector. A query's inner product with a vector is estimated from
 the packed signs (the query in 8-bit planes, "and" and bit counts) and the scalars; an error
 bound says how far off the estimate may be. Only vectors whose lower bound of the distance
 is within the tenth best exact distance so far are compared exactly.
 
-Every query meets every vector, in blocks: blocks of vectors are dealt out to chunks, and
-each block of queries is sent to each chunk once. A task keeps the best of one block of
-queries at a time.
+Every query meets every vector: vectors are dealt out to chunks of bounded size, a task for
+each, and each query is sent to each chunk once. A task codes its chunk once, holds it and
+meets a block of queries at a time. Copies of queries are shuffled, never broadcast: Spark's
+estimates do not see that they are copies.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ from tunesmith.llm.common import quoted
 from tunesmith.plans.sizing import shuffle_partitions
 from tunesmith.sources.scratch import stored
 
-# Bytes of vectors in a block and queries in a block of those.
-BLOCK_BYTES, QUERY_BLOCK = 2 << 20, 256
+# Bytes of vectors that are coded at once and worth a chunk; bytes of a chunk, about, at most; queries in a block, and bytes of its estimates.
+BLOCK_BYTES, CHUNK_BYTES, QUERY_BLOCK, MATRIX_BYTES = 2 << 20, 16 << 20, 256, 8 << 20
+# Chunks for each core, as long as they are no larger than that.
+WAVES = 4
 # Cells, and the bounded sample of vectors that their centroids are fitted on.
 CELLS, SAMPLE, ROUNDS = 16, 2048, 8
 # The bound holds for a vector with a probability of 1 - 2 exp(-c BOUND**2).
@@ -123,10 +126,15 @@ class Best:
         self.compared = 0
 
     def _compare(self, i: int, rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        self.compared += len(rows)
         rest = vectors[rows] - self.queries.vectors[i]
+        if len(rows) > self.k:
+            squares = np.einsum("ij,ij->i", rest, rest)
+            # However the squares are added up, those beyond the k-th by more than rounding are out.
+            close = squares <= np.partition(squares, self.k - 1)[self.k - 1] * (1 + 1e-9) + 1e-300
+            rows, rest = rows[close], rest[close]
         # A running sum adds up in order, so equal vectors get equal scores anywhere.
         scores = np.sqrt(np.cumsum(rest * rest, axis=1)[:, -1]) if len(rows) else np.zeros(0)
-        self.compared += len(rows)
         scores, ids = np.concatenate([self.found[i][0], scores]), np.concatenate([self.found[i][1], ids[rows]])
         order = np.lexsort((ids, scores))[: self.k]
         self.found[i] = scores[order], ids[order]
@@ -160,20 +168,40 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & (F.size(vector) > 0) & ~odd & F.exists(vector, lambda x: x != 0)
 
 
-def _blocks(rows: DataFrame, size: Column) -> DataFrame:
-    """One row per block: dim, block, and its ids and vectors as one array."""
-    return rows.groupBy("dim", (F.pmod(F.xxhash64("id"), size)).cast("int").alias("block")).agg(F.collect_list(F.struct("id", "v")).alias("rows"))
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """Each run of rows of one length and role, in order."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        dims, roles = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("dim", "role"))
+        edges = [0, *(np.flatnonzero((dims[1:] != dims[:-1]) | (roles[1:] != roles[:-1])) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            yield int(dims[a]), int(roles[a]), batch.slice(a, b - a)
+
+
+def _arrays(batch: pa.RecordBatch, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of a batch."""
+    vectors = batch.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return batch.column("id").to_numpy(zero_copy_only=False), vectors
 
 
-def _arrays(rows: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors of one block."""
-    flat = rows.values if hasattr(rows, "values") else rows
-    vectors = flat.field("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-    return flat.field("id").to_numpy(zero_copy_only=False), vectors
+def _coded(vectors: np.ndarray, centroids: np.ndarray) -> dict[str, np.ndarray]:
+    """``codes_of`` in blocks of bounded size."""
+    step = max(1, BLOCK_BYTES // (8 * vectors.shape[1]))
+    parts = [codes_of(vectors[a : a + step], centroids) for a in range(0, len(vectors), step)]
+    return {c: np.concatenate([x[c] for x in parts]) for c in parts[0]}
 
 
-def _centroids(vectors: DataFrame, dim: int) -> np.ndarray:
-    sample = vectors.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()
+def _sample(rows: DataFrame, n: int) -> list:
+    """The SAMPLE rows of least hash among ``n``. Rows of a low hash are looked at first, as each task sends as many as are asked for."""
+    digest, few = F.xxhash64("id"), min(SAMPLE, n)
+    low = rows if n <= 4 * SAMPLE else rows.where(digest < F.lit(4 * SAMPLE * 2**64 // n - 2**63))
+    found = low.orderBy(digest, "id").limit(SAMPLE).select("v").collect()
+    return found if len(found) == few else rows.orderBy(digest, "id").limit(SAMPLE).select("v").collect()
+
+
+def _centroids(vectors: DataFrame, dim: int, n: int) -> np.ndarray:
+    sample = _sample(vectors.where(F.col("dim") == dim), n)
     return fit_cells(np.array([r["v"] for r in sample], dtype=np.float64).reshape(-1, dim))
 
 
@@ -188,50 +216,37 @@ def nearest(df: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", v
     rows = df.where(usable(quoted(vector)) & quoted(key).isNotNull()).select(quoted(key).cast("long").alias("id"), quoted(vector).alias("v"), is_query.alias("q"))
     rows = stored(rows.groupBy("id", "q").agg(F.min("v").alias("v")).withColumn("dim", F.size("v")), "vectors")
     sizes = {r["dim"]: r["n"] for r in rows.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(1).collect()}
-    total = rows.agg(F.count("*").alias("n"), F.count_if("q").alias("q"), F.max("dim").alias("dim")).first()
-    widest = max(total["dim"] or 1, 1)
     # Cells are fitted for the commonest length; vectors of another length have one cell at zero.
-    cells = {dim: _centroids(rows, dim) for dim in sizes}
-    n_blocks = max(1, -(-total["n"] * 8 * widest // BLOCK_BYTES))
-    chunks = min(n_blocks, shuffle_partitions(df.sparkSession))
-
-    def centroids(dim: int) -> np.ndarray:
-        return cells.get(dim, np.zeros((1, dim)))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                dim = batch.column("dim")[i].as_py()
-                ids, vectors = _arrays(batch.column("rows")[i].values, dim)
-                codes = codes_of(vectors, centroids(dim))
-                blobs = [ids.astype("<i8"), vectors, codes["cell"], codes["length"], codes["own"], codes["signs"]]
-                yield pa.RecordBatch.from_arrays([pa.array([dim], pa.int32()), batch.column("block")[i : i + 1], *[pa.array([b.tobytes()], pa.binary()) for b in blobs]], _CODED)
-
-    index = stored(_blocks(rows, F.lit(n_blocks)).mapInArrow(encode, "dim int, block int, ids binary, vectors binary, cell binary, length binary, own binary, signs binary"), "codes")
-    asked = _blocks(rows.where("q"), F.lit(max(1, -(-total["q"] // QUERY_BLOCK)))).withColumnRenamed("block", "question").withColumnRenamed("rows", "asked")
-    asked = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-    pairs = asked.join(index.withColumn("chunk", F.col("block") % chunks), ["dim", "chunk"])
+    cells = {dim: _centroids(rows, dim, n) for dim, n in sizes.items()}
+    spark = df.sparkSession
+    size = 8 * (rows.agg(F.sum("dim")).first()[0] or 0)
+    tasks = min(shuffle_partitions(spark), WAVES * spark.sparkContext.defaultParallelism)
+    chunks = max(1, min(-(-size // BLOCK_BYTES), tasks), -(-size // CHUNK_BYTES))
+    index = rows.select("dim", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), F.lit(0).alias("role"), "id", "v")
+    asked = rows.where("q").select("dim", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), F.lit(1).alias("role"), "id", "v")
+    met = index.unionByName(asked).repartitionById(chunks, "chunk").sortWithinPartitions("dim", "role", "id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, best = None, None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                dim, question = batch.column("dim")[i].as_py(), batch.column("question")[i].as_py()
-                if (dim, question) != at:
-                    if best is not None:
-                        yield best.rows()
-                    at = dim, question
-                    best = Best(Queries(*_arrays(batch.column("asked")[i].values, dim), centroids(dim)), k)
-                raw = {c: batch.column(c)[i].as_py() for c in _CODED[2:]}
-                codes = {"cell": np.frombuffer(raw["cell"], "<i4"), "length": np.frombuffer(raw["length"]), "own": np.frombuffer(raw["own"])}
-                codes["signs"] = np.frombuffer(raw["signs"], "<u8").reshape(len(codes["own"]), -1)
-                best.meet(np.frombuffer(raw["ids"], "<i8"), np.frombuffer(raw["vectors"]).reshape(-1, dim), codes)
-        if best is not None:
-            yield best.rows()
-
-    found = pairs.select("dim", "question", "asked", *_CODED[2:]).mapInArrow(search, "query_id long, vec_id long, score double")
+        at, held, codes = None, [], None
+        for dim, role, batch in _runs(batches):
+            if dim != at:
+                at, held, codes = dim, [], None
+            ids, vectors = _arrays(batch, dim)
+            if role == 0:
+                held.append((ids, vectors))
+                continue
+            if not held:
+                continue
+            fitted = cells.get(dim, np.zeros((1, dim)))
+            if codes is None:
+                held = [tuple(np.concatenate(x) for x in zip(*held))]
+                codes = _coded(held[0][1], fitted)
+            step = max(1, min(QUERY_BLOCK, MATRIX_BYTES // (8 * len(held[0][0]))))
+            for a in range(0, len(ids), step):
+                best = Best(Queries(ids[a : a + step], vectors[a : a + step], fitted), k)
+                best.meet(*held[0], codes)
+                yield best.rows()
+
+    found = met.mapInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-_CODED = ["dim", "block", "ids", "vectors", "cell", "length", "own", "signs"]
