@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from oracle_check import same_rows
@@ -90,6 +91,27 @@ def test_tasks_are_not_merged_and_conditions_compare_columns_alone(spark):
     assert tasks > 8 and len(joins) == 2 and not any("POWER" in x for x in joins)
 
 
+def test_late_columns_and_places_are_not_shuffled(spark):
+    l = spark.range(300).select("id", F.col("id").alias("s"), (F.col("id") + 20).alias("e"))
+    r = spark.range(100).select(F.col("id").alias("rid"), (F.col("id") * 3).alias("rs"), (F.col("id") * 3 + 7).alias("re"))
+    late = ({"text": F.concat(F.lit("s"), F.col("s").cast("string"))}, {"twice": F.col("rs") * 2})
+    for hot in ({}, {"hot_rows": 20}):
+        joined = interval_join(l, r, ("s", "e"), ("rs", "re"), late=late, **hot)
+        assert joined.columns == ["id", "s", "e", "text", "rid", "rs", "re", "twice"]
+        want = {(i, j, f"s{i}", 6 * j) for i in range(300) for j in range(100) if i < 3 * j + 7 and 3 * j < i + 20}
+        got = [tuple(x) for x in joined.select("id", "rid", "text", "twice").collect()]
+        assert len(got) == len(want) and set(got) == want
+    # What is shuffled is a side's own columns, a level and a bin.
+    lines = plan_text(interval_join(l, r, ("s", "e"), ("rs", "re"), late=late)).splitlines()
+    below = [lines[i + 1] for i, x in enumerate(lines) if "Exchange hashpartitioning(__at" in x]
+    moved = [sorted(re.findall(r"(\w+)#", x[x.rindex("[", 0, x.rindex(", false, [")) :])) for x in below]
+    assert sorted(moved) == [["__at", "__bin", "e", "id", "s"]] * 2 + [["__at", "__bin", "re", "rid", "rs"]] * 2
+    with pytest.raises(ValueError, match="there already"):
+        interval_join(l, r, ("s", "e"), ("rs", "re"), late=({"id": F.lit(1)}, {}))
+    with pytest.raises(ValueError, match="both sides"):
+        interval_join(l, r, ("s", "e"), ("rs", "re"), late=({"rid": F.lit(1)}, {}))
+
+
 def test_each_pair_of_touching_and_equal_starts_comes_once(spark):
     l = spark.createDataFrame([(1, 0, 8), (2, 8, 16), (3, 5, 6), (4, 0, 8)], "id long, s int, e int")
     r = spark.createDataFrame([(1, 0.0, 8.0), (2, 5.0, 5.5), (3, 7.999, 8.0)], "rid long, rs double, re double")

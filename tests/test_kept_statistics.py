@@ -6,7 +6,7 @@ from oracle_check import same_rows
 from pyspark.sql import functions as F
 
 from tunesmith.operators import design, estimates, lookup, sketches, workload
-from tunesmith.plans.inspect import rows_scanned
+from tunesmith.plans.inspect import plan_nodes, rows_scanned
 from tunesmith.sources import layout
 
 FOLDER = "/root/testdata/sf0.1"
@@ -105,6 +105,30 @@ def test_sessions_equal_gaps_and_islands(spark, hot_rows):
     )
 
 
+def test_sessions_shuffle_calls_once_where_no_user_is_hot(spark, monkeypatch):
+    log = spark.range(200).select((F.col("id") % 7).alias("u"), F.timestamp_seconds(F.col("id") * 1000).alias("ts"))
+    written = []
+    monkeypatch.setattr(workload, "stored", lambda df, name="": written.append(name) or df)
+    found = workload.sessions(log, "u", "ts", "1 hour")
+    assert plan_nodes(found).count("Exchange") == 1 and not written
+    # Times of users 0 to 6 are 7,000 seconds apart.
+    assert found.count() == 200
+    workload.sessions(log, "u", "ts", "1 hour", hot_rows=10)
+    assert written == ["calls"]
+
+
+@pytest.mark.parametrize("idle", ["0 seconds", "20 minutes", "1 day"])
+@pytest.mark.parametrize("kind", ["int", "decimal(9,3)"])
+def test_sessions_of_hot_and_other_users_are_alike(spark, idle, kind):
+    rng = random.Random(5)
+    start = dt.datetime(2024, 3, 31)
+    rows = [(rng.choice(["a", "b", None]), start + dt.timedelta(minutes=10 * rng.randint(0, 40)), rng.choice([1, 2, None])) for _ in range(200)]
+    log = spark.createDataFrame(rows, "u string, ts timestamp_ntz, ms int")
+    one, other = (workload.sessions(log, "u", "ts", idle, F.col("ms").cast(kind), hot_rows) for hot_rows in (None, 20))
+    assert one.dtypes == other.dtypes
+    assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+
+
 def test_no_calls_no_sessions(spark):
     log = spark.createDataFrame([("a", None)], "u string, ts timestamp_ntz")
     assert workload.sessions(log, "u", "ts", "1 hour").count() == 0
